@@ -103,3 +103,386 @@ def q_top_channels_last_click(spark, sf_dir):
             .agg(round_to(exact_sum("attributed_value_usd"), 6).alias("revenue"),
                  F.countDistinct("conversion_id").alias("conversions"))
             .orderBy(F.col("revenue").desc(), "channel"))
+
+
+# ---- sources ---------------------------------------------------------------------
+
+@register("read_events")
+def q_read_events(spark, sf_dir):
+    """Nested export shape -> partition-filtered scan -> flatten (auto mode:
+    last-click struct, then collected struct, then params)."""
+    from ..sources.events import filter_event_dates, flatten_events
+    from ..sources.fixtures import fixture_events_nested
+    cfg = pipe(spark, sf_dir).cfg.with_(source_mode="auto")
+    flat = flatten_events(filter_event_dates(fixture_events_nested(spark, sf_dir), cfg), cfg)
+    return flat.select("event_date", "event_timestamp", "event_name", "user_pseudo_id", "session_id", "source",
+                       "medium", "campaign", "transaction_id", "purchase_revenue", "purchase_revenue_in_usd",
+                       "device_category", "country", "event_value", "event_currency")
+
+
+# ---- stand-alone staging -----------------------------------------------------------
+
+@register("sessions_first_non_auto")
+def q_sessions_fna(spark, sf_dir):
+    return pipe(spark, sf_dir).sa_sessions
+
+
+@register("conversions_purchase")
+def q_conversions_purchase(spark, sf_dir):
+    return pipe(spark, sf_dir).sa_conversions.drop("conversion_us")
+
+
+@register("journeys_exact30")
+def q_journeys_exact30(spark, sf_dir):
+    j = pipe(spark, sf_dir).sa_journeys
+    return j.select("user_pseudo_id", "conversion_ts", "conversion_id", "conversion_revenue", "transaction_id",
+                    "path_length", path_string().alias("path_string"))
+
+
+@register("path_rows_standalone")
+def q_path_rows_sa(spark, sf_dir):
+    return pipe(spark, sf_dir).sa_path_rows
+
+
+@register("session_acquisition")
+def q_session_acq(spark, sf_dir):
+    from ..operators.standalone import session_acquisition
+    return session_acquisition(pipe(spark, sf_dir).sa_sessions)
+
+
+@register("session_acquisition_stslc")
+def q_session_acq_stslc(spark, sf_dir):
+    from ..operators.standalone import session_acquisition_stslc
+    p = pipe(spark, sf_dir)
+    return session_acquisition_stslc(p.sa_events, p.sa_cfg)
+
+
+# ---- marts, funnels, paths, traffic -------------------------------------------------
+
+@register("cross_channel")
+def q_cross_channel(spark, sf_dir):
+    return pipe(spark, sf_dir).cross_channel
+
+
+@register("attribution_dashboard")
+def q_attribution_dashboard(spark, sf_dir):
+    return pipe(spark, sf_dir).dashboard
+
+
+@register("paths_dashboard")
+def q_paths_dashboard(spark, sf_dir):
+    from ..operators.reports import paths_dashboard
+    return paths_dashboard(pipe(spark, sf_dir).journeys).drop("path")
+
+
+@register("path_analysis")
+def q_path_analysis(spark, sf_dir):
+    return pipe(spark, sf_dir).path_analysis
+
+
+@register("daily_traffic_overview")
+def q_traffic(spark, sf_dir):
+    return pipe(spark, sf_dir).traffic
+
+
+@register("purchase_funnel")
+def q_funnel(spark, sf_dir):
+    return pipe(spark, sf_dir).funnel
+
+
+@register("cart_abandonment")
+def q_abandonment(spark, sf_dir):
+    return pipe(spark, sf_dir).abandonment
+
+
+@register("cart_abandonment_user")
+def q_abandonment_user(spark, sf_dir):
+    from ..operators.reports import cart_abandonment
+    return cart_abandonment(pipe(spark, sf_dir).conversions, user_scoped=True)
+
+
+@register("funnel_dashboard")
+def q_funnel_dashboard(spark, sf_dir):
+    from ..operators.reports import funnel_dashboard
+    p = pipe(spark, sf_dir)
+    return funnel_dashboard(p.funnel, p.abandonment)
+
+
+# ---- stand-alone reports ---------------------------------------------------------------
+
+def _sa_channel(model):
+    def fn(spark, sf_dir):
+        from ..operators.standalone import channel_report
+        return channel_report(pipe(spark, sf_dir).sa_journeys, model)
+    return fn
+
+
+for _m, _key in (("first_click", "first_click_channel"), ("last_click", "last_click_channel"),
+                 ("last_non_direct", "last_non_direct_channel"), ("linear", "linear_channel"),
+                 ("time_decay", "time_decay_channel"), ("u_shape", "u_shape_channel")):
+    register(_key)(_sa_channel(_m))
+
+
+@register("cross_channel_wide")
+def q_cross_channel_wide(spark, sf_dir):
+    from ..operators.standalone import cross_channel_wide
+    return cross_channel_wide(pipe(spark, sf_dir).sa_journeys)
+
+
+@register("attribution_dashboard_long")
+def q_dashboard_long(spark, sf_dir):
+    from ..operators.standalone import attribution_dashboard_long
+    return attribution_dashboard_long(pipe(spark, sf_dir).sa_journeys)
+
+
+@register("attribution_mart_legacy")
+def q_mart_legacy(spark, sf_dir):
+    from ..operators.models import attribution_mart_legacy
+    return attribution_mart_legacy(pipe(spark, sf_dir).sa_journeys).select(
+        "user_pseudo_id", "conversion_ts", "model", "channel",
+        F.round("attributed_conversions", 9).alias("attributed_conversions"))
+
+
+@register("path_analysis_top50")
+def q_path_top50(spark, sf_dir):
+    from ..operators.standalone import path_analysis_top
+    return path_analysis_top(pipe(spark, sf_dir).sa_journeys, cap=20, top=50)
+
+
+@register("paths_dashboard_top20")
+def q_paths_top20(spark, sf_dir):
+    from ..operators.standalone import paths_dashboard_top
+    return paths_dashboard_top(pipe(spark, sf_dir).sa_journeys, cap=10, top=20)
+
+
+@register("purchase_funnel_steps")
+def q_funnel_steps(spark, sf_dir):
+    from ..operators.standalone import purchase_funnel_steps
+    p = pipe(spark, sf_dir)
+    return purchase_funnel_steps(p.sa_events, p.sa_cfg)
+
+
+@register("cart_abandonment_events")
+def q_abandonment_events(spark, sf_dir):
+    from ..operators.standalone import cart_abandonment_events
+    p = pipe(spark, sf_dir)
+    return cart_abandonment_events(p.sa_events, p.sa_cfg)
+
+
+# ---- data quality -----------------------------------------------------------------------
+
+def _dq(fn):
+    return fn
+
+
+@register("dq_conversions_assertions")
+def q_dq_conv(spark, sf_dir):
+    from ..operators.quality import CONVERSION_ASSERTIONS, assertion_failures
+    return assertion_failures(pipe(spark, sf_dir).conversions, CONVERSION_ASSERTIONS)
+
+
+@register("dq_journeys_assertions")
+def q_dq_journeys(spark, sf_dir):
+    from ..operators.quality import JOURNEY_ASSERTIONS, assertion_failures
+    return assertion_failures(pipe(spark, sf_dir).journeys, JOURNEY_ASSERTIONS)
+
+
+@register("dq_path_rows_assertions")
+def q_dq_path_rows(spark, sf_dir):
+    from ..operators.quality import PATH_ROW_ASSERTIONS, assertion_failures
+    return assertion_failures(pipe(spark, sf_dir).path_rows, PATH_ROW_ASSERTIONS)
+
+
+@register("dq_credit_sums")
+def q_dq_credit(spark, sf_dir):
+    from ..operators.quality import dq_credit_sums
+    return dq_credit_sums(pipe(spark, sf_dir).rule_mart)
+
+
+@register("dq_unknown_events")
+def q_dq_unknown(spark, sf_dir):
+    from ..operators.quality import dq_unknown_events
+    p = pipe(spark, sf_dir)
+    return dq_unknown_events(p.rule_mart, p.cfg)
+
+
+@register("dq_revenue_conservation")
+def q_dq_revenue(spark, sf_dir):
+    from ..operators.quality import dq_revenue_conservation
+    p = pipe(spark, sf_dir)
+    return dq_revenue_conservation(p.rule_mart, p.journeys, p.cfg)
+
+
+@register("dq_count_mode_null")
+def q_dq_count_null(spark, sf_dir):
+    from ..operators.quality import dq_count_mode_null
+    p = pipe(spark, sf_dir)
+    return dq_count_mode_null(p.rule_mart, p.cfg)
+
+
+@register("dq_fixed_mode")
+def q_dq_fixed(spark, sf_dir):
+    from ..operators.quality import dq_fixed_mode
+    p = pipe(spark, sf_dir)
+    return dq_fixed_mode(p.rule_mart, p.cfg)
+
+
+@register("dq_channel_coverage")
+def q_dq_channels(spark, sf_dir):
+    from ..operators.quality import dq_channel_coverage
+    return dq_channel_coverage(pipe(spark, sf_dir).rule_mart)
+
+
+@register("dq_session_dupes")
+def q_dq_session_dupes(spark, sf_dir):
+    from ..operators.quality import dq_session_dupes
+    return dq_session_dupes(pipe(spark, sf_dir).sessions)
+
+
+@register("dq_journey_dupes")
+def q_dq_journey_dupes(spark, sf_dir):
+    from ..operators.quality import dq_journey_dupes
+    return dq_journey_dupes(pipe(spark, sf_dir).journeys)
+
+
+@register("dq_last_non_direct_forms")
+def q_dq_lnd_forms(spark, sf_dir):
+    from ..operators.models import last_non_direct_click_full_outer
+    from ..operators.quality import lnd_forms_agree
+    p = pipe(spark, sf_dir)
+    return lnd_forms_agree(p.model("last_non_direct_click"), last_non_direct_click_full_outer(p.path_rows, p.cfg))
+
+
+# ---- cost ----------------------------------------------------------------------------------
+
+@register("read_cost_google")
+def q_cost_google(spark, sf_dir):
+    return pipe(spark, sf_dir).cost_platforms[0]
+
+
+@register("read_cost_meta")
+def q_cost_meta(spark, sf_dir):
+    return pipe(spark, sf_dir).cost_platforms[1]
+
+
+@register("read_cost_other")
+def q_cost_other(spark, sf_dir):
+    return pipe(spark, sf_dir).cost_platforms[2]
+
+
+@register("unified_cost")
+def q_unified_cost(spark, sf_dir):
+    return pipe(spark, sf_dir).unified_cost
+
+
+@register("roas")
+def q_roas(spark, sf_dir):
+    return pipe(spark, sf_dir).roas_rule
+
+
+@register("roas_with_data_driven")
+def q_roas_dd(spark, sf_dir):
+    return pipe(spark, sf_dir).roas
+
+
+# ---- data-driven ---------------------------------------------------------------------------
+
+@register("train_set")
+def q_train_set(spark, sf_dir):
+    return pipe(spark, sf_dir).train_compact
+
+
+@register("model_weights")
+def q_model_weights(spark, sf_dir):
+    """Fitted coefficients (19 flags + intercept), largest |weight| first."""
+    p = pipe(spark, sf_dir)
+    return p.dd_model.weights_frame(spark)
+
+
+@register("model_evaluate")
+def q_model_evaluate(spark, sf_dir):
+    from ..operators.data_driven import model_evaluate
+    p = pipe(spark, sf_dir)
+    return model_evaluate(p.train_compact, p.dd_model)
+
+
+@register("data_driven")
+def q_data_driven(spark, sf_dir):
+    return pipe(spark, sf_dir).data_driven
+
+
+@register("attribution_mart_full")
+def q_mart_full(spark, sf_dir):
+    return pipe(spark, sf_dir).mart
+
+
+@register("dq_model_event_rows")
+def q_dq_model_rows(spark, sf_dir):
+    from ..operators.quality import dq_model_event_rows
+    return dq_model_event_rows(pipe(spark, sf_dir).data_driven)
+
+
+@register("dq_channel_coverage_data_driven")
+def q_dq_dd_channels(spark, sf_dir):
+    from ..operators.quality import dq_channel_coverage
+    return dq_channel_coverage(pipe(spark, sf_dir).data_driven)
+
+
+@register("journey_features")
+def q_journey_features(spark, sf_dir):
+    return pipe(spark, sf_dir).sa_features
+
+
+@register("feature_importance")
+def q_feature_importance(spark, sf_dir):
+    from ..operators.data_driven import feature_importance
+    p = pipe(spark, sf_dir)
+    return feature_importance(p.sa_model, spark)
+
+
+@register("data_driven_legacy")
+def q_dd_legacy(spark, sf_dir):
+    from ..operators.data_driven import data_driven_legacy
+    p = pipe(spark, sf_dir)
+    return data_driven_legacy(p.sa_features, p.sa_model)
+
+
+@register("channel_volume")
+def q_channel_volume(spark, sf_dir):
+    from ..operators.data_driven import channel_volume
+    p = pipe(spark, sf_dir)
+    return channel_volume(p.sa_events, p.sa_cfg)
+
+
+# ---- BI recipes -------------------------------------------------------------------------------
+
+def _bi(name, build):
+    register(name)(build)
+
+
+def _reg_bi():
+    from ..operators import bi
+
+    _bi("model_summary", lambda s, d: bi.model_summary(pipe(s, d).rule_mart))
+    _bi("channel_summary", lambda s, d: bi.channel_summary(pipe(s, d).cross_channel))
+    _bi("top_paths", lambda s, d: bi.top_paths(pipe(s, d).path_analysis))
+    _bi("daily_revenue_by_model", lambda s, d: bi.daily_revenue_by_model(pipe(s, d).rule_mart))
+    _bi("path_length_revenue", lambda s, d: bi.path_length_revenue(pipe(s, d).rule_mart))
+    _bi("longest_journeys", lambda s, d: bi.longest_journeys(pipe(s, d).journeys).select(*JOURNEY_OUT))
+    _bi("kpi_totals", lambda s, d: bi.kpi_totals(pipe(s, d).rule_mart))
+    _bi("share_of_conversions", lambda s, d: bi.share_of_conversions(pipe(s, d).rule_mart))
+    _bi("channel_model_heatmap", lambda s, d: bi.channel_model_heatmap(pipe(s, d).rule_mart))
+    _bi("path_length_histogram", lambda s, d: bi.path_length_histogram(pipe(s, d).journeys, bucket_from=10))
+    _bi("revenue_by_path_length", lambda s, d: bi.revenue_by_path_length(pipe(s, d).journeys))
+    _bi("device_breakdown", lambda s, d: bi.device_breakdown(pipe(s, d).journeys))
+    _bi("sessions_per_user", lambda s, d: bi.sessions_per_user(pipe(s, d).traffic))
+    _bi("traffic_mix", lambda s, d: bi.traffic_mix(pipe(s, d).traffic))
+    _bi("daily_users_by_channel", lambda s, d: bi.daily_users_by_channel(pipe(s, d).traffic))
+    _bi("converting_users", lambda s, d: bi.converting_users(pipe(s, d).dashboard))
+    _bi("conversion_rate_proxy", lambda s, d: bi.conversion_rate_proxy(pipe(s, d).traffic, pipe(s, d).dashboard))
+    _bi("model_delta_daily", lambda s, d: bi.model_delta_daily(pipe(s, d).rule_mart))
+    _bi("channel_share_per_model", lambda s, d: bi.channel_share_per_model(pipe(s, d).rule_mart))
+    _bi("wow_revenue_change", lambda s, d: bi.wow_revenue_change(pipe(s, d).rule_mart))
+
+
+_reg_bi()

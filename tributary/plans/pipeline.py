@@ -18,9 +18,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..config import FIXTURE_CONFIG, AttributionConfig
 from ..operators import conversions as conv_ops
+from ..operators import cost as cost_ops
+from ..operators import data_driven as dd_ops
 from ..operators import journeys as journey_ops
 from ..operators import models as model_ops
+from ..operators import reports as report_ops
 from ..operators import sessions as session_ops
+from ..sources.cost import fixture_cost_by_platform
 from ..sources.events import filter_event_dates, flatten_events, read_events
 from ..sources.fixtures import fixture_events
 from .session import shared_dir
@@ -47,8 +51,11 @@ class Pipeline:
 
     @classmethod
     def from_fixture(cls, spark: SparkSession, sf_dir: str, cfg: AttributionConfig = FIXTURE_CONFIG) -> Pipeline:
-        """The driver's synthetic event table, mapped per FIXTURES.md."""
-        return cls(fixture_events(spark, sf_dir), cfg, standalone_cfg=STANDALONE_FIXTURE_CONFIG)
+        """The driver's synthetic event table, mapped per FIXTURES.md, with
+        the cost fixture as the three platform inputs."""
+        p = cls(fixture_events(spark, sf_dir), cfg, standalone_cfg=STANDALONE_FIXTURE_CONFIG)
+        p.cost_platforms = fixture_cost_by_platform(spark, sf_dir)
+        return p
 
     # -- staging -----------------------------------------------------------
     @cached_property
@@ -81,6 +88,73 @@ class Pipeline:
     def model(self, name: str) -> DataFrame:
         return model_ops.single_model(self.journeys, self.cfg, name)
 
+    # -- data-driven model --------------------------------------------------
+    @cached_property
+    def train_set(self) -> DataFrame:
+        return dd_ops.train_set(self.journeys, self.sessions, self.conversions)
+
+    @cached_property
+    def train_compact(self) -> DataFrame:
+        return dd_ops.compact_train_set(self.train_set)
+
+    @cached_property
+    def dd_model(self) -> dd_ops.LogisticModel:
+        """Fitted once per pipeline (an action: iterative optimiser)."""
+        return dd_ops.train_model(self.train_compact)
+
+    @cached_property
+    def data_driven(self) -> DataFrame:
+        return dd_ops.data_driven(self.journeys, self.dd_model, self.cfg)
+
+    @cached_property
+    def mart(self) -> DataFrame:
+        """All eight models (seven rule-based + data-driven)."""
+        return model_ops.attribution_mart(self.journeys, self.cfg, self.data_driven)
+
+    # -- marts and reports ---------------------------------------------------
+    @cached_property
+    def cross_channel(self) -> DataFrame:
+        return report_ops.cross_channel(self.rule_mart, self.cfg)
+
+    @cached_property
+    def dashboard(self) -> DataFrame:
+        return report_ops.attribution_dashboard(self.rule_mart, self.cfg)
+
+    @cached_property
+    def traffic(self) -> DataFrame:
+        return report_ops.daily_traffic_overview(self.sessions)
+
+    @cached_property
+    def funnel(self) -> DataFrame:
+        return report_ops.purchase_funnel(self.conversions)
+
+    @cached_property
+    def abandonment(self) -> DataFrame:
+        return report_ops.cart_abandonment(self.conversions)
+
+    @cached_property
+    def path_analysis(self) -> DataFrame:
+        return report_ops.path_analysis(self.journeys)
+
+    # -- cost --------------------------------------------------------------
+    cost_platforms: tuple | None = None
+
+    @cached_property
+    def unified_cost(self) -> DataFrame:
+        if self.cost_platforms is None:
+            raise ValueError("no cost inputs: set Pipeline.cost_platforms = (google, meta, other)")
+        return cost_ops.unified_cost(*self.cost_platforms)
+
+    @cached_property
+    def roas_rule(self) -> DataFrame:
+        """ROAS over the seven rule models (no marginal value without the
+        data-driven model)."""
+        return cost_ops.roas(self.rule_mart, self.unified_cost, self.cfg)
+
+    @cached_property
+    def roas(self) -> DataFrame:
+        return cost_ops.roas(self.mart, self.unified_cost, self.cfg)
+
     # -- stand-alone layer -------------------------------------------------
     @cached_property
     def sa_events(self) -> DataFrame:
@@ -102,6 +176,14 @@ class Pipeline:
     def sa_path_rows(self) -> DataFrame:
         return journey_ops.path_rows_standalone(self.sa_journeys)
 
+    @cached_property
+    def sa_features(self) -> DataFrame:
+        return dd_ops.journey_features(self.sa_events, self.sa_cfg)
+
+    @cached_property
+    def sa_model(self) -> dd_ops.LogisticModel:
+        return dd_ops.train_model_legacy(self.sa_features)
+
     # -- materialisation ---------------------------------------------------
     def materialize(self, name: str, mode: str = "overwrite") -> DataFrame:
         """Write layer ``name`` to parquet in the shared checkpoint folder and

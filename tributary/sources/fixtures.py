@@ -98,6 +98,11 @@ def _epoch_micros(ts_col: str, dtype: T.DataType) -> Column:
 
 def fixture_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Driver ``events`` (+ ``nation``) -> flat analytics events."""
+    return fixture_base(spark, sf_dir).select(*FLAT_EVENT_COLUMNS)
+
+
+def fixture_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flat events plus the (copy-adjusted) raw ``_value`` of every event."""
     ev = spark.read.parquet(f"{sf_dir}/events.parquet")
     nation = spark.read.parquet(f"{sf_dir}/nation.parquet").select(
         F.col("n_nationkey").cast("long").alias("_nk"), F.col("n_name").alias("country"))
@@ -153,10 +158,11 @@ def fixture_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(is_purchase, value).alias("event_value"),
         F.when(is_purchase, F.lit(FIXTURE_CURRENCY)).alias("event_currency"),
         s("bigint").alias("event_quantity"),
+        value.alias("_value"),
     )
     # nation is a 25-row dimension; broadcast only behind a row-count check.
     out = flat.join(bounded_broadcast(nation, max_rows=100_000), on="_nk", how="left")
-    return out.select(*FLAT_EVENT_COLUMNS)
+    return out.select(*FLAT_EVENT_COLUMNS, "_value")
 
 
 def fixture_events_nested(spark: SparkSession, sf_dir: str, modern: bool = True) -> DataFrame:
