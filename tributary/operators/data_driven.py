@@ -103,6 +103,14 @@ def train_model(compact: DataFrame, max_iter: int = MAX_ITER, auto_class_weights
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.feature import VectorAssembler
 
+    from ..plans.session import shared_dir
+
+    # The optimiser makes one pass per iteration: cut the lineage first, so
+    # no pass (and no retry after an executor loss) recomputes the journeys.
+    # The compact table is bounded (<= 2 x 2^19 rows) -- checkpointed to the
+    # cluster's shared checkpoint folder, never to a node-local one.
+    shared_dir(compact.sparkSession)
+    compact = compact.checkpoint(eager=True)
     assert_non_empty(compact)
     if auto_class_weights:
         tot = compact.groupBy(label).agg(F.sum("n").alias("_nc"))

@@ -54,7 +54,7 @@ class Pipeline:
         """The driver's synthetic event table, mapped per FIXTURES.md, with
         the cost fixture as the three platform inputs."""
         p = cls(fixture_events(spark, sf_dir), cfg, standalone_cfg=STANDALONE_FIXTURE_CONFIG)
-        p.cost_platforms = fixture_cost_by_platform(spark, sf_dir)
+        p._cost_source = lambda: fixture_cost_by_platform(spark, sf_dir)
         return p
 
     # -- staging -----------------------------------------------------------
@@ -137,7 +137,14 @@ class Pipeline:
         return report_ops.path_analysis(self.journeys)
 
     # -- cost --------------------------------------------------------------
-    cost_platforms: tuple | None = None
+    _cost_source = None
+
+    @cached_property
+    def cost_platforms(self) -> tuple:
+        """(google, meta, other) cost tables; built on first use."""
+        if self._cost_source is None:
+            raise ValueError("no cost inputs: set Pipeline.cost_platforms = (google, meta, other)")
+        return self._cost_source()
 
     @cached_property
     def unified_cost(self) -> DataFrame:

@@ -17,6 +17,12 @@ DEFAULT_CONF = {
     "spark.sql.optimizer.nestedSchemaPruning.enabled": "true",
     "spark.ui.enabled": "false",
 }
+# Local / small-data runs: let AQE coalesce tiny shuffles, but not below a
+# size that would leave cores idle (on a cluster the advisory size governs).
+LOCAL_CONF = {
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "256k",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8m",
+}
 
 
 def build_session(master: str | None = None, app: str = "tributary", shuffle_partitions: int | None = None,
@@ -27,6 +33,8 @@ def build_session(master: str | None = None, app: str = "tributary", shuffle_par
     if master:
         b = b.master(master)
     conf = dict(DEFAULT_CONF)
+    if master and master.startswith("local"):
+        conf.update(LOCAL_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})

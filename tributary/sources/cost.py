@@ -99,11 +99,17 @@ def fixture_cost(spark: SparkSession, sf_dir: str) -> DataFrame:
     platform = platform.otherwise("google_ads")
     e = ev.select(F.date_from_unix_date(F.floor(F.col("event_timestamp") / F.lit(MICROS_PER_DAY)).cast("int"))
                   .alias("date"), ch.alias("channel"), F.coalesce("campaign", F.lit("")).alias("campaign"), "_value")
-    agg = e.where(F.col("channel").isin(*PAID_CHANNELS)).groupBy("date", "channel", "campaign").agg(
+    # The paid-channel test is kept as an aggregate flag and applied to the
+    # aggregated rows: as a row filter the optimizer would push it under the
+    # mapping projection and re-evaluate the whole channel CASE (and the
+    # property parse inside it) once per reference, per row.
+    agg = e.groupBy("date", "channel", "campaign").agg(
         F.round(F.sum(F.col("_value").cast("decimal(38,10)")) * F.lit(0.1).cast("decimal(2,1)"), 2)
         .cast("double").alias("cost_usd"),
-        (F.count(F.lit(1)) * 100).alias("impressions"), (F.count(F.lit(1)) * 7).alias("clicks"))
-    return agg.withColumn("source_system", platform).select(*COST_COLUMNS)
+        (F.count(F.lit(1)) * 100).alias("impressions"), (F.count(F.lit(1)) * 7).alias("clicks"),
+        F.max(F.col("channel").isin(*PAID_CHANNELS)).alias("_paid"),
+        F.max(platform).alias("source_system"))  # constant per channel
+    return agg.where(F.col("_paid")).select(*COST_COLUMNS)
 
 
 def fixture_cost_by_platform(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
