@@ -90,7 +90,8 @@ def incremental_stream(spark: SparkSession, source_path: str, schema, out_dir: s
     flatten = flatten or (lambda df: flatten_events(df, cfg))
 
     def refresh(batch: DataFrame, batch_id: int) -> None:
-        days = [r[0] for r in batch.select("event_date").distinct().collect()]
+        # partition discovery may type event_date as an integer: normalise
+        days = [str(r[0]) for r in batch.select("event_date").distinct().collect()]
         if not days:
             return
         run_cfg = cfg.with_(start_date=min(days), end_date=max(days), end_inclusive=True)
