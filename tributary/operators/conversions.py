@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import AttributionConfig
@@ -65,15 +65,19 @@ def conversions(events: DataFrame, cfg: AttributionConfig) -> DataFrame:
 def conversions_purchase(events: DataFrame, cfg: AttributionConfig) -> DataFrame:
     """Stand-alone: every purchase event in the window, no dedup, numbered per
     user by time (ties by transaction id)."""
+    from ..config import MICROS_PER_DAY
+    from ..plans.joins import row_number_within
+
     ev = events.where(F.col("event_name") == "purchase")
     ev = ev.where(F.col("event_timestamp").between(F.lit(cfg.start_micros), F.lit(cfg.end_micros)))
-    w = Window.partitionBy("user_pseudo_id").orderBy(
-        "event_timestamp", F.col("transaction_id").asc_nulls_first(),
-        F.col("purchase_revenue").asc_nulls_first())
+    ev = row_number_within(
+        ev, "user_pseudo_id", F.floor(F.col("event_timestamp") / F.lit(MICROS_PER_DAY)),
+        ["event_timestamp", F.col("transaction_id").asc_nulls_first(), F.col("purchase_revenue").asc_nulls_first()],
+        "conversion_id")
     return ev.select(
         "user_pseudo_id",
         F.timestamp_micros("event_timestamp").alias("conversion_ts"),
-        F.row_number().over(w).cast("bigint").alias("conversion_id"),
+        "conversion_id",
         F.col("purchase_revenue").alias("conversion_revenue"),
         "transaction_id",
         F.col("event_timestamp").alias("conversion_us"),

@@ -12,18 +12,20 @@ Plan shape (pipeline semantics):
    ``path`` array (``array_sort(collect_list(struct))``, partial aggregate).
 3. The conversion payload is joined back on the NULL-free conversion key;
    the aggregate output is already hash-partitioned on that key.
-4. ``user_conversion_seq`` numbers a user's conversions.
+4. ``user_conversion_seq`` numbers a user's conversions exactly, per
+   (user, day) plus the counts of the user's earlier days, so no task ever
+   holds all of one user's conversions.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import MICROS_PER_DAY, MICROS_PER_HOUR, STANDALONE_LOOKBACK_DAYS, AttributionConfig
 from ..functions.conversion import lookback_case
 from ..functions.util import whole_hours
-from ..plans.joins import explode_buckets
+from ..plans.joins import explode_buckets, row_number_within
 from .conversions import CONVERSION_PAYLOAD
 
 # Struct fields of one path element. session_start leads (then session_id)
@@ -93,15 +95,16 @@ def journeys(sessions: DataFrame, conversions: DataFrame, cfg: AttributionConfig
         F.count(F.lit(1)).alias("path_length"),
     )
     j = paths.join(conversions, on=list(CONV_KEY), how="inner")
-    w = Window.partitionBy("user_pseudo_id").orderBy(
-        "conversion_us", "conversion_event", F.coalesce(F.col("transaction_id"), F.lit("")))
-    seq = F.row_number().over(w).cast("bigint")
+    j = row_number_within(
+        j, "user_pseudo_id", F.floor(F.col("conversion_us") / F.lit(MICROS_PER_DAY)),
+        ["conversion_us", "conversion_event", F.coalesce(F.col("transaction_id"), F.lit(""))],
+        "user_conversion_seq")
     out = j.select(
         "user_pseudo_id", "conversion_ts", "conversion_event", "event_date", "platform", "transaction_id",
         F.col("purchase_revenue").alias("conversion_value_local"),
         F.col("purchase_revenue_in_usd").alias("conversion_value_usd"),
         *CONVERSION_PAYLOAD, "conversion_session_id", "path", "path_length",
-        seq.alias("user_conversion_seq"), "conversion_us", "conversion_key",
+        "user_conversion_seq", "conversion_us", "conversion_key",
     )
     return out.select(
         *[c for c in JOURNEY_COLUMNS if c not in ("conversion_id",)][:-2],

@@ -22,3 +22,29 @@ def explode_buckets(lo_us, hi_us, bucket_us: int, name: str = "_bucket"):
     lo = F.floor(lo_us / F.lit(bucket_us))
     hi = F.floor(hi_us / F.lit(bucket_us))
     return F.explode(F.sequence(lo.cast("long"), hi.cast("long"))).alias(name)
+
+
+def row_number_within(df: DataFrame, key: str, day, order_cols, name: str) -> DataFrame:
+    """Exact ``row_number() OVER (PARTITION BY key ORDER BY order_cols)``
+    without putting a whole key group in one task.
+
+    ``day`` (a Column or column name) must be monotone in ``order_cols``
+    (e.g. the day of the leading timestamp). Rows are numbered within
+    (key, day); each (key, day) is then offset by the row counts of the key's
+    earlier days, taken from a per-(key, day) count table whose window runs
+    over at most one row per active day. A key with a third of all rows is
+    thus split over its days; both shuffles of the fact rows are by
+    (key, day), and the count table is small.
+    """
+    from pyspark.sql import Window
+
+    d = F.col(day) if isinstance(day, str) else day
+    df = df.withColumn("_rn_day", d)
+    local = Window.partitionBy(key, "_rn_day").orderBy(*order_cols)
+    numbered = df.withColumn("_rn_local", F.row_number().over(local))
+    counts = numbered.groupBy(key, "_rn_day").agg(F.count(F.lit(1)).alias("_rn_n"))
+    earlier = Window.partitionBy(key).orderBy("_rn_day").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(key, "_rn_day", F.coalesce(F.sum("_rn_n").over(earlier), F.lit(0)).alias("_rn_off"))
+    out = numbered.join(offsets, [key, "_rn_day"], "inner")
+    return out.withColumn(name, (F.col("_rn_off") + F.col("_rn_local")).cast("bigint")) \
+              .drop("_rn_day", "_rn_local", "_rn_off")
