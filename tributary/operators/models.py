@@ -96,12 +96,14 @@ def model_credits(journeys_df: DataFrame, cfg: AttributionConfig, models=RULE_MO
         "u_shape": _rnd(u_shape_credit(n, p, q), cfg),
         "position_weighted": _rnd(position_weighted_credit(n, p, q), cfg),
     }
+    # explode every (model, credit) pair and drop the non-crediting ones with a
+    # plain Filter: unlike a higher-order filter() over the array, both the
+    # generator and the predicate run inside whole-stage code generation
     arr = F.array(*[F.struct(F.lit(m).alias("model"), credit[m].alias("credit")) for m in models])
-    arr = F.filter(arr, lambda x: x["credit"].isNotNull())
     e = t.select(*_JOURNEY_KEEP,
                  F.col("tp.source").alias("source"), F.col("tp.medium").alias("medium"),
                  F.col("tp.campaign").alias("campaign"), F.col("tp.channel").alias("channel"),
-                 F.explode(arr).alias("mc"))
+                 F.explode(arr).alias("mc")).where(F.col("mc.credit").isNotNull())
     return e.select(
         *_JOURNEY_KEEP, "source", "medium", "campaign", "channel",
         F.col("mc.model").alias("model"),
@@ -207,6 +209,6 @@ def attribution_mart_legacy(journeys_sa: DataFrame) -> DataFrame:
                  else F.lit(True).alias("hit"))
         for key, name in STANDALONE_MODEL_NAMES.items()
     ])
-    e = w.select("user_pseudo_id", "conversion_ts", "channel", F.explode(F.filter(arr, lambda x: x["hit"])).alias("m"))
+    e = w.select("user_pseudo_id", "conversion_ts", "channel", F.explode(arr).alias("m")).where(F.col("m.hit"))
     return e.select("user_pseudo_id", "conversion_ts", F.col("m.model").alias("model"), "channel",
                     F.col("m.weight").alias("attributed_conversions"))
