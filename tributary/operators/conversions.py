@@ -65,13 +65,13 @@ def conversions(events: DataFrame, cfg: AttributionConfig) -> DataFrame:
 def conversions_purchase(events: DataFrame, cfg: AttributionConfig) -> DataFrame:
     """Stand-alone: every purchase event in the window, no dedup, numbered per
     user by time (ties by transaction id)."""
-    from ..config import MICROS_PER_DAY
+    from ..config import MICROS_PER_HOUR
     from ..plans.joins import row_number_within
 
     ev = events.where(F.col("event_name") == "purchase")
     ev = ev.where(F.col("event_timestamp").between(F.lit(cfg.start_micros), F.lit(cfg.end_micros)))
     ev = row_number_within(
-        ev, "user_pseudo_id", F.floor(F.col("event_timestamp") / F.lit(MICROS_PER_DAY)),
+        ev, "user_pseudo_id", F.floor(F.col("event_timestamp") / F.lit(cfg.join_bucket_hours * MICROS_PER_HOUR)),
         ["event_timestamp", F.col("transaction_id").asc_nulls_first(), F.col("purchase_revenue").asc_nulls_first()],
         "conversion_id")
     return ev.select(

@@ -24,7 +24,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..config import AttributionConfig, MICROS_PER_DAY, MICROS_PER_HOUR
+from ..config import MICROS_PER_DAY, MICROS_PER_HOUR, AttributionConfig
 from ..functions.channels import FEATURE_CHANNELS, feature_name
 from ..functions.conversion import value_expr
 from .models import MART_COLUMNS
@@ -213,14 +213,16 @@ def journey_features(events: DataFrame, cfg: AttributionConfig) -> DataFrame:
     those pairs, each touch gets its multiplicity m = later purchases, from
     (a) purchases at or after it on the same day (window per user-day) plus
     (b) purchases on later days (suffix sum over a per-user-day count table).
-    Only a user-day is ever one window partition.
+    Only a user-day (a user-bucket of ``cfg.join_bucket_hours``) is ever one
+    window partition.
     """
     ev = events.where(F.col("event_timestamp").between(F.lit(cfg.start_micros), F.lit(cfg.end_micros))) \
         .where(F.col("user_pseudo_id").isNotNull())
     W = Window
     is_p = (F.col("event_name") == "purchase").cast("long")
     t = ev.select("user_pseudo_id", "event_timestamp", "source", "medium",
-                  F.floor(F.col("event_timestamp") / F.lit(MICROS_PER_DAY)).cast("long").alias("_day"),
+                  F.floor(F.col("event_timestamp") / F.lit(cfg.join_bucket_hours * MICROS_PER_HOUR))
+                  .cast("long").alias("_day"),
                   is_p.alias("_p"))
     same_day = W.partitionBy("user_pseudo_id", "_day").orderBy("event_timestamp") \
         .rangeBetween(0, W.unboundedFollowing)

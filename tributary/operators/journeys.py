@@ -96,7 +96,7 @@ def journeys(sessions: DataFrame, conversions: DataFrame, cfg: AttributionConfig
     )
     j = paths.join(conversions, on=list(CONV_KEY), how="inner")
     j = row_number_within(
-        j, "user_pseudo_id", F.floor(F.col("conversion_us") / F.lit(MICROS_PER_DAY)),
+        j, "user_pseudo_id", F.floor(F.col("conversion_us") / F.lit(cfg.join_bucket_hours * MICROS_PER_HOUR)),
         ["conversion_us", "conversion_event", F.coalesce(F.col("transaction_id"), F.lit(""))],
         "user_conversion_seq")
     out = j.select(
