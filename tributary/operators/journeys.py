@@ -19,6 +19,7 @@ Plan shape (pipeline semantics):
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -95,8 +96,14 @@ def journeys(sessions: DataFrame, conversions: DataFrame, cfg: AttributionConfig
         F.count(F.lit(1)).alias("path_length"),
     )
     j = paths.join(conversions, on=list(CONV_KEY), how="inner")
+    # The numbering reads j twice (per-bucket numbers, per-bucket counts). The
+    # two reads project different columns, so without a shared materialisation
+    # Spark would re-run the whole lookback join for the counts. Persisting j
+    # (memory, spilling to disk) computes it once; lost blocks are recomputed
+    # from lineage if an executor dies.
+    pre = j.persist(StorageLevel.MEMORY_AND_DISK)
     j = row_number_within(
-        j, "user_pseudo_id", F.floor(F.col("conversion_us") / F.lit(cfg.join_bucket_hours * MICROS_PER_HOUR)),
+        pre, "user_pseudo_id", F.floor(F.col("conversion_us") / F.lit(cfg.join_bucket_hours * MICROS_PER_HOUR)),
         ["conversion_us", "conversion_event", F.coalesce(F.col("transaction_id"), F.lit(""))],
         "user_conversion_seq")
     out = j.select(
@@ -106,11 +113,13 @@ def journeys(sessions: DataFrame, conversions: DataFrame, cfg: AttributionConfig
         *CONVERSION_PAYLOAD, "conversion_session_id", "path", "path_length",
         "user_conversion_seq", "conversion_us", "conversion_key",
     )
-    return out.select(
+    res = out.select(
         *[c for c in JOURNEY_COLUMNS if c not in ("conversion_id",)][:-2],
         F.concat(F.col("user_pseudo_id"), F.lit("-"), F.col("user_conversion_seq").cast("string")).alias("conversion_id"),
         "conversion_us", "conversion_key",
     )
+    res.cached_inputs = [pre]  # released by Pipeline.release()
+    return res
 
 
 PATH_ROW_JOURNEY_COLUMNS = (

@@ -191,6 +191,14 @@ class Pipeline:
     def sa_model(self) -> dd_ops.LogisticModel:
         return dd_ops.train_model_legacy(self.sa_features)
 
+    def release(self) -> None:
+        """Unpersist the intermediate frames the layers cached (the journeys'
+        pre-numbering join)."""
+        for name in ("journeys", "sa_journeys"):
+            df = self.__dict__.get(name)
+            for c in getattr(df, "cached_inputs", []) if df is not None else []:
+                c.unpersist()
+
     # -- materialisation ---------------------------------------------------
     def materialize(self, name: str, mode: str = "overwrite") -> DataFrame:
         """Write layer ``name`` to parquet in the shared checkpoint folder and
