@@ -30,8 +30,10 @@ from ..functions.conversion import value_expr
 from .models import MART_COLUMNS
 
 FEATURES = tuple(feature_name(c) for c in FEATURE_CHANNELS)
+# --- fixed values (model id in the mart, optimiser iteration cap) ---------------
 DATA_DRIVEN_MODEL = "data_driven_bqml"
 MAX_ITER = 50
+# ------------------------------------------------------------------------------
 
 
 def _flags_from_channel(channel: Column) -> list[Column]:
@@ -179,11 +181,17 @@ def data_driven(journeys_df: DataFrame, model: LogisticModel, cfg: AttributionCo
 
 # ---- stand-alone (legacy) variant -------------------------------------------------
 
+# --- fixed values (stand-alone script: flag column -> reported channel label) ---
 LEGACY_FLAGS = (
     ("has_organic", "Organic Search"), ("has_cpc", "Paid Search (CPC)"), ("has_social", "Social"),
     ("has_email", "Email"), ("has_display", "Display"), ("has_referral", "Referral"),
     ("has_affiliate", "Affiliate"), ("has_direct", "Direct"),
 )
+# Coefficient interpretation texts of the feature-importance report.
+INTERPRETATION_POSITIVE = "Positive driver — having this channel increases P(conversion)"
+INTERPRETATION_NEGATIVE = "Negative driver — having this channel decreases P(conversion)"
+INTERPRETATION_NONE = "No effect"
+# ------------------------------------------------------------------------------
 LEGACY_FEATURES = ("touchpoint_count", "distinct_channels", *[f for f, _ in LEGACY_FLAGS], "journey_hours")
 
 
@@ -263,9 +271,9 @@ def train_model_legacy(features_df: DataFrame, seed: int = 42, train_fraction: f
 def feature_importance(model: LogisticModel, spark) -> DataFrame:
     rows = [(f, round(float(w), 4)) for f, w in zip(model.features, model.weights)]
     df = spark.createDataFrame(rows, "feature string, coefficient double")
-    interp = (F.when(F.col("coefficient") > 0, "Positive driver — having this channel increases P(conversion)")
-              .when(F.col("coefficient") < 0, "Negative driver — having this channel decreases P(conversion)")
-              .otherwise("No effect"))
+    interp = (F.when(F.col("coefficient") > 0, INTERPRETATION_POSITIVE)
+              .when(F.col("coefficient") < 0, INTERPRETATION_NEGATIVE)
+              .otherwise(INTERPRETATION_NONE))
     return df.withColumn("interpretation", interp).orderBy(F.abs("coefficient").desc(), "feature")
 
 

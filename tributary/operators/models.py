@@ -20,10 +20,12 @@ from ..config import (
 )
 from ..functions.conversion import value_expr
 
+# --- fixed values (model ids of the mart, in the reference's union order) ------
 RULE_MODELS = (
     "first_click", "last_click", "last_non_direct_click", "linear", "time_decay", "u_shape",
     "position_weighted",
 )
+# ------------------------------------------------------------------------------
 MART_COLUMNS = (
     "user_pseudo_id", "conversion_id", "conversion_ts", "conversion_event", "transaction_id",
     "conversion_value_local", "conversion_value_usd", "path_length", "source", "medium", "campaign",
@@ -162,6 +164,7 @@ def attribution_mart(journeys_df: DataFrame, cfg: AttributionConfig, data_driven
 
 # ---- stand-alone model variants (channel-level reports) -----------------------
 
+# --- fixed values (stand-alone display names, in the scripts' union order) -----
 STANDALONE_MODEL_NAMES = {
     "last_click": "Last Click", "first_click": "First Click", "last_non_direct": "Last Non-Direct",
     "linear": "Linear", "time_decay": "Time Decay", "u_shape": "U-Shaped",
