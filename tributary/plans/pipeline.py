@@ -14,7 +14,6 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from ..config import FIXTURE_CONFIG, AttributionConfig
@@ -69,10 +68,12 @@ class Pipeline:
 
     @cached_property
     def conversions(self) -> DataFrame:
-        """Deduplicated conversions, persisted: the journeys read them twice
-        (the exploded keys and the payload join-back) with different column
-        sets, which would otherwise repeat the scan and the dedup aggregate."""
-        return conv_ops.conversions(self.scanned, self.cfg).persist(StorageLevel.MEMORY_AND_DISK)
+        """Deduplicated conversions. The journeys read them twice (exploded
+        keys, payload join-back) with different column sets, so the filtered
+        conversion scan and dedup run twice per journeys query; caching them
+        measured slower than the repeat at these sizes, and a production run
+        materialises the layer once (``materialize("conversions")``)."""
+        return conv_ops.conversions(self.scanned, self.cfg)
 
     # -- intermediate ------------------------------------------------------
     @cached_property
@@ -196,14 +197,12 @@ class Pipeline:
         return dd_ops.train_model_legacy(self.sa_features)
 
     def release(self) -> None:
-        """Unpersist the intermediate frames the layers cached (conversions and
-        the journeys' pre-numbering join)."""
+        """Unpersist the intermediate frames the layers cached (the journeys'
+        pre-numbering join)."""
         for name in ("journeys", "sa_journeys"):
             df = self.__dict__.get(name)
             for c in getattr(df, "cached_inputs", []) if df is not None else []:
                 c.unpersist()
-        if "conversions" in self.__dict__:
-            self.conversions.unpersist()
 
     # -- materialisation ---------------------------------------------------
     def materialize(self, name: str, mode: str = "overwrite") -> DataFrame:
