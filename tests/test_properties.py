@@ -79,3 +79,15 @@ def test_bucket_width_does_not_change_results(spark, pipe, hours):
     assert base.exceptAll(got).count() == 0 and got.exceptAll(base).count() == 0
     assert other.sa_features.exceptAll(pipe.sa_features).count() == 0
     assert other.sa_conversions.exceptAll(pipe.sa_conversions).count() == 0
+
+
+def test_materialized_layers_give_same_marts(spark):
+    from tributary.plans.session import shared_dir
+    p = Pipeline.from_fixture(spark, SF_SMALL)
+    ref = Pipeline.from_fixture(spark, SF_SMALL).rule_mart
+    for layer in ("sessions", "conversions", "journeys"):
+        p.materialize(layer)
+    assert p.run_id in p.journeys.inputFiles()[0] and shared_dir(spark) in p.journeys.inputFiles()[0].replace("file:", "")
+    got = p.rule_mart
+    assert got.exceptAll(ref).count() == 0 and ref.exceptAll(got).count() == 0
+    p.release()

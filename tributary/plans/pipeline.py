@@ -12,6 +12,7 @@ so later jobs survive executor loss without recomputing from raw events.
 
 from __future__ import annotations
 
+import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -42,6 +43,8 @@ class Pipeline:
         self.cfg = cfg
         self.sa_cfg = standalone_cfg or cfg.standalone()
         self.spark = events_flat.sparkSession
+        # materialised layers of this run go to <checkpoint dir>/layers/<run_id>/
+        self.run_id = f"{cfg.start_date}-{cfg.end_date}-{uuid.uuid4().hex[:12]}"
 
     # -- constructors ------------------------------------------------------
     @classmethod
@@ -207,10 +210,13 @@ class Pipeline:
     # -- materialisation ---------------------------------------------------
     def materialize(self, name: str, mode: str = "overwrite") -> DataFrame:
         """Write layer ``name`` to parquet in the shared checkpoint folder and
-        replace it by the re-read table (lineage cut, executor-loss safe)."""
+        replace it by the re-read table (lineage cut, executor-loss safe).
+        Materialise a layer before reading the layers built on it."""
         df = getattr(self, name)
-        path = f"{shared_dir(self.spark)}/layers/{name}"
+        path = f"{shared_dir(self.spark)}/layers/{self.run_id}/{name}"
         df.write.mode(mode).parquet(path)
         out = self.spark.read.parquet(path)
+        for c in getattr(df, "cached_inputs", []):
+            c.unpersist()  # the written table replaces the cached intermediate
         self.__dict__[name] = out
         return out
