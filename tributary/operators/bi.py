@@ -79,6 +79,14 @@ def kpi_totals(mart: DataFrame, model: str | None = None) -> DataFrame:
     )
 
 
+def aov(mart: DataFrame) -> DataFrame:
+    """Average order value per model: sum of attributed value / sum of credit."""
+    agg = mart.groupBy("model").agg(exact_sum("attributed_value_usd").alias("_u"),
+                                    exact_sum("attributed_credit").alias("_c"))
+    return agg.select("model", F.round(safe_div(F.col("_u").cast("double"), F.col("_c").cast("double")), 2)
+                      .alias("aov_usd"))
+
+
 def share_of_conversions(mart: DataFrame) -> DataFrame:
     """channel x model share of all credited conversions."""
     agg = mart.groupBy("channel", "model").agg(exact_sum("attributed_credit").alias("_c"))

@@ -470,6 +470,7 @@ def _reg_bi():
     _bi("path_length_revenue", lambda s, d: bi.path_length_revenue(pipe(s, d).rule_mart))
     _bi("longest_journeys", lambda s, d: bi.longest_journeys(pipe(s, d).journeys).select(*JOURNEY_OUT))
     _bi("kpi_totals", lambda s, d: bi.kpi_totals(pipe(s, d).rule_mart))
+    _bi("aov", lambda s, d: bi.aov(pipe(s, d).rule_mart))
     _bi("share_of_conversions", lambda s, d: bi.share_of_conversions(pipe(s, d).rule_mart))
     _bi("channel_model_heatmap", lambda s, d: bi.channel_model_heatmap(pipe(s, d).rule_mart))
     _bi("path_length_histogram", lambda s, d: bi.path_length_histogram(pipe(s, d).journeys, bucket_from=10))
