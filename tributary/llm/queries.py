@@ -3,14 +3,25 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tributary.llm import bpe, host_rules, language_id, mixing, quote_linking, simhash, token_counts
+from tributary.llm import bpe, host_rules, language_id, mixing, quote_linking, simhash, substring_dedup, suffix_dedup, token_counts
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substring_dedup.substring_dedup(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup.suffix_dedup(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(_table(spark, sf_dir, "documents"))
 
@@ -39,7 +50,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op3_token_counts, op4_language_id, op5_bpe_round_trip, op7_mixing, op8_quote_linking,
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_suffix_dedup, op3_token_counts, op4_language_id, op5_bpe_round_trip, op7_mixing, op8_quote_linking,
                                    op9_host_rules, op10_simhash)}
 
 ORACLES: dict[str, str] = {}
