@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,3 +40,21 @@ def components(edges: DataFrame) -> DataFrame:
         old = state = new
         if not moved:
             return state.select("node", F.col("grand").alias("label"))
+
+
+def spanning(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Edges from each node to the smallest node that it reaches through pairs (a, b)."""
+    nodes, inv = np.unique(np.concatenate([a, b]), return_inverse=True)
+    a, b, label = inv[:len(a)], inv[len(a):], np.arange(len(nodes))
+    while True:
+        old = label.copy()
+        low = np.minimum(label[a], label[b])
+        np.minimum.at(label, label[a], low)
+        np.minimum.at(label, label[b], low)
+        label = label[label]
+        np.minimum.at(label, a, low)
+        np.minimum.at(label, b, low)
+        if np.array_equal(label, old):
+            break
+    own = label != np.arange(len(nodes))
+    return nodes[own], nodes[label[own]]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tributary.llm import bpe, host_rules, language_id, mixing, quote_linking, simhash, substring_dedup, suffix_dedup, token_counts
+from tributary.llm import bpe, graph_dedup, host_rules, language_id, mixing, quote_linking, simhash, substring_dedup, suffix_dedup, token_counts
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,6 +34,10 @@ def op5_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.bpe_round_trip(_table(spark, sf_dir, "documents"))
 
 
+def op6_graph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return graph_dedup.graph_dedup(_table(spark, sf_dir, "embeddings"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents"))
 
@@ -50,7 +54,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_groups(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_suffix_dedup, op3_token_counts, op4_language_id, op5_bpe_round_trip, op7_mixing, op8_quote_linking,
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_suffix_dedup, op3_token_counts, op4_language_id, op5_bpe_round_trip, op6_graph_dedup, op7_mixing, op8_quote_linking,
                                    op9_host_rules, op10_simhash)}
 
 ORACLES: dict[str, str] = {}

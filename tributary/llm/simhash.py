@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tributary.llm.common import map_rows, written
-from tributary.llm.components import components
+from tributary.llm.components import components, spanning
 
 
 def fingerprint(text: str, shingle: int, seed: int = 42) -> int:
@@ -110,24 +110,6 @@ def within(tree: tuple, fp: np.ndarray, query_fp: np.ndarray, query_shard: np.nd
     return np.concatenate([h[0] for h in hits]), np.concatenate([h[1] for h in hits])
 
 
-def spanning(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Edges from each node to the smallest node that it reaches through pairs (a, b)."""
-    nodes, inv = np.unique(np.concatenate([a, b]), return_inverse=True)
-    a, b, label = inv[:len(a)], inv[len(a):], np.arange(len(nodes))
-    while True:
-        old = label.copy()
-        low = np.minimum(label[a], label[b])
-        np.minimum.at(label, label[a], low)
-        np.minimum.at(label, label[b], low)
-        label = label[label]
-        np.minimum.at(label, a, low)
-        np.minimum.at(label, b, low)
-        if np.array_equal(label, old):
-            break
-    own = label != np.arange(len(nodes))
-    return nodes[own], nodes[label[own]]
-
-
 def link_edges(members: DataFrame, radius: int, tree_size: int) -> DataFrame:
     """members (shard columns, fp, i, j, tree, query) -> edges (a, b) that
     span the links of each task. Rows come sorted by shard; a shard that
