@@ -130,8 +130,9 @@ def training_sample(docs: DataFrame, train, per_language: int, max_chars: int) -
 
 
 def language_id(docs: DataFrame, per_language: int = 200, max_chars: int = 20000, landmarks: int = 48, orders: int = 3,
-                batch: int = 128) -> DataFrame:
-    """docs (doc_id, text, lang) -> doc_id, held_out, lang_pred, score, one row for each row.
+                batch: int = 128, carry: tuple[str, ...] = ()) -> DataFrame:
+    """docs (doc_id, text, lang) -> doc_id, held_out, lang_pred, score, and
+    ``carried`` (a struct of the columns named in ``carry``); one row for each row.
 
     Documents whose crc32(doc_id as text) mod 4 is 2 are held out, the others
     with a label may be learned from; a bounded sample of them is
@@ -159,10 +160,12 @@ def language_id(docs: DataFrame, per_language: int = 200, max_chars: int = 20000
                 best = margins.argmax(axis=1)
                 for i, b, v in zip(ok, best.tolist(), margins.max(axis=1).tolist(), strict=True):
                     lang[i], score[i] = m.languages[b], min(1.0, max(0.0, (v + 1) / 2))
-            return rows_to_batch(list(zip(ids, held_out, lang, score, strict=True)), ARROW)
+            out = rows_to_batch(list(zip(ids, held_out, lang, score, strict=True)), ARROW)
+            return pa.RecordBatch.from_arrays([*out.columns, part.column(3)], [*out.schema.names, "carried"]) if carry else out
 
         for b in batches:
             for at in range(0, b.num_rows, batch):
                 yield slice_of(b.slice(at, batch))
 
-    return docs.select("doc_id", "text", held.alias("held_out")).mapInArrow(run, DDL)
+    some = docs.select("doc_id", "text", held.alias("held_out"), *([F.struct(*carry).alias("carried")] if carry else []))
+    return some.mapInArrow(run, f"{DDL}, carried {some.schema['carried'].dataType.simpleString()}" if carry else DDL)

@@ -17,11 +17,12 @@ from tributary.llm.common import WORD, written
 BITS, LEVELS = 12, 3
 
 
-def sizes(docs: DataFrame) -> DataFrame:
+def sizes(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, source, size in words, and a 36-bit key from the id's MD5."""
     key = F.conv(F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), 1, BITS * LEVELS // 4), 16, 10)
     return docs.select("doc_id", F.col("source").cast("string").alias("source"), F.coalesce(
-        F.regexp_count(F.col("text"), F.lit(WORD)), F.lit(0)).cast("long").alias("size"), key.cast("long").alias("key"))
+        F.regexp_count(F.col("text"), F.lit(WORD)), F.lit(0)).cast("long").alias("size"), key.cast("long").alias("key"),
+        *([F.struct(*carry).alias("carried")] if carry else []))
 
 
 def targets(items: DataFrame, most: int = 3) -> DataFrame:
@@ -88,8 +89,22 @@ def mix(docs: DataFrame, most: int = 3) -> DataFrame:
     source, read from a written table: Spark broadcasts it by its file size.
     """
     items = written(sizes(docs), "mix-sizes")
-    goals = written(targets(items, most), "mix-targets")
-    cut = thresholds(items, goals)
+    return _taken(items, _cut(items, most)).select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("times")).alias("taken"))
+
+
+def mixed_rows(docs: DataFrame, most: int = 3, carry: tuple[str, ...] = ()) -> DataFrame:
+    """The mix itself: ``carried`` (a struct of the columns named in
+    ``carry``), as often as the mix takes the document. A document without
+    words goes by the same rule. Sizes are computed anew while the texts pass,
+    so they are neither shuffled nor joined by id."""
+    cut = _cut(written(sizes(docs), "mix-sizes"), most)
+    return _taken(sizes(docs, carry), cut).filter("times > 0").select("carried", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times")))).select("carried")
+
+
+def _cut(items: DataFrame, most: int) -> DataFrame:
+    return thresholds(items, written(targets(items, most), "mix-targets"))
+
+
+def _taken(items: DataFrame, cut: DataFrame) -> DataFrame:
     part = (F.col("key") < F.col("threshold")) | (F.col("edge") & (F.col("key") == F.col("threshold")))
-    return items.alias("i").join(cut.alias("c"), F.expr("i.source <=> c.source")).select(
-        "doc_id", "size", "source_size", "target", (F.col("size") * (F.col("repeats") + part.cast("long"))).alias("taken"))
+    return items.alias("i").join(cut.alias("c"), F.expr("i.source <=> c.source")).withColumn("times", F.col("repeats") + part.cast("long"))

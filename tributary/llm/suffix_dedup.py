@@ -215,11 +215,12 @@ def sort_collections(length: int):
     return flags
 
 
-def suffix_dedup(docs: DataFrame, length: int = 200, most: int = 1 << 16, carry: tuple[str, ...] = (), chunk_bytes: int = 4 << 20,
-                 bucket_bytes: int = 16 << 20) -> DataFrame:
+def suffix_dedup(docs: DataFrame, length: int = 200, most: int = 1 << 16, carry: tuple[str, ...] = (), as_text: bool = False,
+                 chunk_bytes: int = 4 << 20, bucket_bytes: int = 16 << 20) -> DataFrame:
     """docs (doc_id, text) -> doc_id, n_bytes, n_removed, n_spans, kept (the
-    bytes left), and ``carried`` (a struct of the columns named in ``carry``);
-    one row for each row.
+    bytes left; with ``as_text`` a string, without the rest of a character of
+    which only some bytes are left), and ``carried`` (a struct of the columns
+    named in ``carry``); one row for each row.
 
     A byte is removed if a string of ``length`` bytes (64 to 255 + 31) that
     covers it starts elsewhere too, in the same text or another; matches never
@@ -288,8 +289,9 @@ def suffix_dedup(docs: DataFrame, length: int = 200, most: int = 1 << 16, carry:
         removed, spans = (np.r_[0, np.cumsum(x)][offset] for x in (gone, first))
         left = content[~gone].tobytes()
         for i, doc_id in enumerate(row["doc_ids"]):
+            kept = left[offset[i] - removed[i]:offset[i + 1] - removed[i + 1]]
             yield {"doc_id": doc_id, "n_bytes": int(sizes[i]), "n_removed": int(removed[i + 1] - removed[i]), "n_spans": int(spans[i + 1] - spans[i]),
-                   "kept": left[offset[i] - removed[i]:offset[i + 1] - removed[i + 1]], **({"carried": row["carried"][i]} if carry else {})}
+                   "kept": kept.decode(errors="ignore") if as_text else kept, **({"carried": row["carried"][i]} if carry else {})}
 
     named = written(C.by_bucket(C.map_chunks(chunks, name, FIRST_DDL, FIRST), group_segments(most), ["keys", "segment", "own"]), "suffix-named")
     known = C.with_answers(chunks, named=named)
@@ -297,7 +299,8 @@ def suffix_dedup(docs: DataFrame, length: int = 200, most: int = 1 << 16, carry:
     some_hot = named.filter(F.instr(F.hex("flags"), "04") > 0).limit(1).count()
     hot = C.by_bucket(C.map_chunks(known, send_hot, C.KEYS_DDL, C.KEYS), C.repeated_keys, ["first", "second", "own"]) if some_hot else done.limit(0)
     final = C.with_answers(chunks, named=named, sorted=done, hot=written(hot, "suffix-hot"))
-    ddl, schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary", [("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept", pa.binary())]
+    ddl = f"doc_id long, n_bytes long, n_removed long, n_spans long, kept {'string' if as_text else 'binary'}"
+    schema = [*((c, pa.int64()) for c in ("doc_id", "n_bytes", "n_removed", "n_spans")), ("kept", pa.string() if as_text else pa.binary())]
     if carry:
         from pyspark.sql.pandas.types import to_arrow_type
         kind = chunks.schema["carried"].dataType.elementType
