@@ -13,7 +13,7 @@ EXPECTED_19 = [
     "Direct", "Paid Search Brand", "Paid Search Non-Brand", "Cross-network", "Paid Shopping", "Paid Video",
     "Paid Social", "Display", "Organic Shopping", "Organic Video", "Organic Social", "Organic Search", "Email",
     "SMS", "Affiliate", "Audio", "Mobile Push", "Referral", "Unknown", "Paid Search Non-Brand", "Direct",
-    "Paid Video", "Unknown", "Organic Social",
+    "Paid Video", "Unknown", "Organic Social", "Cross-network", "Cross-network",
 ]
 
 
@@ -22,7 +22,7 @@ def _traffic(spark):
                                  "i int, source string, medium string, campaign string")
 
 
-def test_24_rows_cover_all_19_channels(spark):
+def test_lookup_rows_cover_all_19_channels(spark):
     df = _traffic(spark).select("i", channel_grouping_19(
         F.coalesce("medium", F.lit("(none)")), F.coalesce("source", F.lit("(direct)")),
         F.coalesce("campaign", F.lit(""))).alias("channel"))

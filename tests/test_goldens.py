@@ -195,7 +195,7 @@ def test_organic_channel_in_roas_has_no_cost(spark):
     rows = [session_event("u", 1, c - 3_600_000_000, "google", "organic"),
             conversion_event("u", c, usd=100.0, local=90.0, tid="T")]
     _, _, j = run(spark, rows)
-    mart = models.attribution_mart(j, CFG)
+    mart = models.counted_mart(j, CFG)
     cost = _cost(spark, [(date(2024, 1, 20), "Paid Social", "c", 10.0, 100, 7, "meta_ads")])
     r = cost_ops.roas(mart, cost_ops.unified_cost(cost), CFG).where("model = 'last_click'").first()
     assert r.channel == "Organic Search" and r.cost_usd is None and r.roas is None and r.cpa is None

@@ -1,11 +1,14 @@
-"""Table sinks: dynamic partition overwrite and the streaming refresh."""
+"""Table sinks: dynamic partition overwrite and the incremental refresh."""
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
-from tributary.config import FIXTURE_CONFIG
+from conftest import SF_SMALL, conversion_event, make_events, session_event, us
+from tributary.config import FIXTURE_CONFIG, AttributionConfig
 from tributary.sources.fixtures import fixture_events, fixture_events_nested
-from tributary.streaming.incremental import incremental_stream, refresh_staging, write_incremental
+from tributary.streaming.incremental import days_between, incremental_stream, refresh_staging, write_incremental
+
+ALL_DAYS = days_between(FIXTURE_CONFIG.scan_start_date, FIXTURE_CONFIG.end_date)
+CFG = AttributionConfig(start_date="20240110", end_date="20240131")
 
 
 def test_write_incremental_overwrites_only_present_partitions(spark, tmp_path):
@@ -17,18 +20,46 @@ def test_write_incremental_overwrites_only_present_partitions(spark, tmp_path):
     assert got == [("a", "d1"), ("c", "d2")]
 
 
+def test_write_incremental_clears_named_partitions_without_rows(spark, tmp_path):
+    path = str(tmp_path / "t")
+    write_incremental(spark.createDataFrame([("a", "d1", 1), ("b", "d2", 2), ("c", "d3", 2)], "k string, d string, v int"), path, "d")
+    write_incremental(spark.createDataFrame([("x", "d1", 1), ("y", "d3", 1)], "k string, d string, v int"), path, "d", values=["d1", "d2"])
+    assert sorted((r.k, r.d) for r in spark.read.parquet(path).collect()) == [("c", "d3"), ("x", "d1")]
+
+
 def test_refresh_staging_is_idempotent_and_matches_full(spark, tmp_path):
     out = str(tmp_path / "stg")
     ev = fixture_events(spark, SF_SMALL)
-    refresh_staging(ev, FIXTURE_CONFIG, out, trailing_days=None)
-    full = spark.read.parquet(f"{out}/stg_conversions").count()
-    refresh_staging(ev, FIXTURE_CONFIG, out, trailing_days=3)
-    refresh_staging(ev, FIXTURE_CONFIG, out, trailing_days=3)
-    assert spark.read.parquet(f"{out}/stg_conversions").count() == full
+    refresh_staging(ev, FIXTURE_CONFIG, out, ALL_DAYS)
+    read = lambda: (spark.read.parquet(f"{out}/stg_conversions").count(), spark.read.parquet(f"{out}/stg_sessions").count())
+    full = read()
+    refresh_staging(ev, FIXTURE_CONFIG, out)
+    assert read() == full
+    refresh_staging(ev, FIXTURE_CONFIG, out)
+    assert read() == full
     s = spark.read.parquet(f"{out}/stg_sessions")
     assert s.groupBy("user_pseudo_id", "session_id").count().where("count > 1").count() == 0
 
 
+def test_trailing_refresh_keeps_the_whole_last_day(spark, tmp_path):
+    """Three conversions on the end date, all after midnight, survive the default refresh."""
+    out, end = str(tmp_path / "stg"), us(2024, 1, 31, 9)
+    ev = make_events(spark, [conversion_event("u", end + i * 3_600_000_000, usd=1.0, tid=f"T{i}") for i in range(3)])
+    for _ in range(2):
+        refresh_staging(ev, CFG, out)
+        assert spark.read.parquet(f"{out}/stg_conversions").count() == 3
+
+
+def test_late_event_moves_a_session_to_the_day_before(spark, tmp_path):
+    out, noon = str(tmp_path / "stg"), us(2024, 1, 20, 0, 30)
+    first = [session_event("u", 9, noon, "news", "email")]
+    refresh_staging(make_events(spark, first), CFG, out, ["20240120"])
+    late = first + [session_event("u", 9, noon - 3_600_000_000, "google", "organic")]
+    refresh_staging(make_events(spark, late), CFG, out, ["20240119"])
+    got = [(r.session_id, r.channel, str(r.session_date)) for r in spark.read.parquet(f"{out}/stg_sessions").collect()]
+    assert got == [(9, "Organic Search", "2024-01-19")]
+
+
 def test_streaming_refresh_available_now(spark, tmp_path):
     src = str(tmp_path / "export")
     nested = fixture_events_nested(spark, SF_SMALL)

@@ -88,3 +88,14 @@ def test_empty_training_table_aborts(spark):
     empty = _toy_compact(spark).limit(0)
     with pytest.raises(ValueError):
         dd.train_model(empty)
+
+
+def test_both_classes_train_and_a_saved_model_scores_the_same(spark, tmp_path):
+    p = Pipeline.from_fixture(spark, SF_SMALL)
+    labels = {r.converted: r.n for r in p.train_compact.groupBy("converted").agg(F.sum("n").alias("n")).collect()}
+    assert labels[0] > 0 and labels[1] > 0
+    m = p.dd_model
+    assert math.isfinite(m.intercept) and any(m.weights)
+    m.save(spark, str(tmp_path / "model"))
+    again = dd.LogisticModel.load(spark, str(tmp_path / "model"))
+    assert again == m

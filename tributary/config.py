@@ -75,10 +75,12 @@ class AttributionConfig:
     lookback_mode: str = "whole_days"  # or 'exact'
     round_credit: bool = True
     widen_scan: bool = True  # scan start - max lookback (False = stand-alone truncation)
-    # Width of the time buckets used to split a user's sessions in the lookback
-    # join (hours). Smaller buckets spread a hot user over more tasks at the
-    # cost of replicating each conversion key over more buckets.
-    join_bucket_hours: int = 24
+    # Width of the time buckets of the lookback join, in days; None: as wide as
+    # the longest window, so that a conversion has at most two copies. Skewed
+    # buckets are split by the adaptive skew join.
+    join_bucket_days: int | None = None
+    # Width of the time buckets in which a user's conversions are numbered.
+    number_bucket_seconds: int = 60
     extra: dict = field(default_factory=dict, hash=False, compare=False)
 
     def __post_init__(self):
@@ -88,8 +90,8 @@ class AttributionConfig:
             raise ValueError("lookback_mode must be 'whole_days' or 'exact'")
         if not self.conversion_events:
             raise ValueError("at least one conversion event is required")
-        if 24 % self.join_bucket_hours and self.join_bucket_hours % 24:
-            raise ValueError("join_bucket_hours must divide or be a multiple of 24")
+        if self.number_bucket_seconds < 1 or (self.join_bucket_days is not None and self.join_bucket_days < 1):
+            raise ValueError("bucket widths must be positive")
         _parse_yyyymmdd(self.start_date)
         _parse_yyyymmdd(self.end_date)
 
@@ -105,6 +107,14 @@ class AttributionConfig:
     def max_lookback(self) -> int:
         return max(e.lookback_days for e in self.conversion_events)
 
+    @property
+    def join_bucket_micros(self) -> int:
+        return (self.join_bucket_days or self.max_lookback + 1) * MICROS_PER_DAY
+
+    @property
+    def number_bucket_micros(self) -> int:
+        return self.number_bucket_seconds * 1_000_000
+
     def events_by_mode(self, mode: str) -> list[str]:
         return [e.event for e in self.conversion_events if e.value_mode == mode]
 

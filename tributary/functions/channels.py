@@ -23,7 +23,8 @@ FEATURE_CHANNELS = (
     "Referral", "Affiliate", "Direct", "Cross-network", "Paid Shopping",
     "Organic Shopping", "SMS", "Audio", "Mobile Push", "Unknown",
 )
-CROSS_NETWORK_CAMPAIGN_TERMS = ("pmax", "performance_max", "demand_gen", "demand-gen")
+# LIKE patterns: an underscore stands for any character ("Performance Max").
+CROSS_NETWORK_CAMPAIGN_PATTERNS = ("%pmax%", "%performance_max%", "%demand_gen%", "%demand-gen%")
 PAID_SEARCH_MEDIUMS = ("cpc", "ppc", "paidsearch")
 VIDEO_SOURCES_PAID = ("youtube", "vimeo")
 PAID_VIDEO_MEDIUMS = ("cpc", "ppc", "cpv", "cpm", "paid")
@@ -34,7 +35,7 @@ VIDEO_SOURCES_ORGANIC = ("youtube", "vimeo", "dailymotion")
 EMAIL_MEDIUMS = ("email", "e-mail", "mail", "newsletter")
 AUDIO_MEDIUMS = ("audio", "podcast")
 PUSH_MEDIUMS = ("push", "mobile-push", "app-push")
-UNKNOWN_SOURCE_MARKERS = ("data deleted", "<Other>")
+UNKNOWN_SOURCE_PATTERNS = ("%data deleted%", "%<Other>%")
 # Stand-alone 8-way taxonomy: (medium list, channel) checked in order, then
 # `source / medium`.
 CHANNELS_8 = ("Paid Search", "Organic Search", "Social", "Email", "Display", "Referral", "Affiliate", "Direct")
@@ -45,10 +46,10 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _contains_any(c: Column, terms) -> Column:
+def _like_any(c: Column, patterns) -> Column:
     cond = None
-    for t in terms:
-        term = c.contains(t)
+    for p in patterns:
+        term = c.like(p)
         cond = term if cond is None else (cond | term)
     return cond
 
@@ -66,7 +67,7 @@ def channel_grouping_19(medium, source, campaign, brand_regex: str = DEFAULT_BRA
     m = F.coalesce(medium, F.lit(""))
     paid_search = m.isin(*PAID_SEARCH_MEDIUMS)
     return (
-        F.when(_contains_any(lc, CROSS_NETWORK_CAMPAIGN_TERMS), "Cross-network")
+        F.when(_like_any(lc, CROSS_NETWORK_CAMPAIGN_PATTERNS), "Cross-network")
         .when(paid_search & (ls.contains("shopping") | lc.contains("shopping")), "Paid Shopping")
         .when(paid_search & F.lower(F.coalesce(campaign, F.lit(""))).rlike(brand_regex), "Paid Search Brand")
         .when(paid_search, "Paid Search Non-Brand")
@@ -84,7 +85,7 @@ def channel_grouping_19(medium, source, campaign, brand_regex: str = DEFAULT_BRA
         .when(m.isin(*PUSH_MEDIUMS), "Mobile Push")
         .when(m == "referral", "Referral")
         .when(F.coalesce(medium, F.lit("(none)")).isin("(none)", ""), "Direct")
-        .when(_contains_any(F.coalesce(source, F.lit("")), UNKNOWN_SOURCE_MARKERS), "Unknown")
+        .when(_like_any(F.coalesce(source, F.lit("")), UNKNOWN_SOURCE_PATTERNS), "Unknown")
         .otherwise("Unknown")
     )
 

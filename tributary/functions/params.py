@@ -11,11 +11,11 @@ KINDS = ("string", "int", "float", "double")
 def event_param(key: str, kind: str = "string", params: str = "event_params") -> Column:
     """Value of ``key`` in ``event_params`` as ``<kind>_value``, NULL if absent.
 
-    A higher-order ``filter`` replaces the correlated scalar subquery over
-    UNNEST; it runs inside whole-stage codegen. If a key repeats, the first
-    entry wins.
+    The position of the key picks the value out of the parallel array of
+    values: one scan of the keys, inside whole-stage codegen, without a
+    lambda. If a key repeats, the first entry wins.
     """
     if kind not in KINDS:
         raise ValueError(f"kind must be one of {KINDS}")
-    hit = F.try_element_at(F.filter(F.col(params), lambda p: p["key"] == F.lit(key)), F.lit(1))
-    return hit["value"][f"{kind}_value"]
+    at = F.array_position(F.col(f"{params}.key"), F.lit(key))
+    return F.get(F.col(f"{params}.value.{kind}_value"), (at - 1).cast("int"))

@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 
 def path_string(path: str = "path", sep: str = " > ", field: str = "channel") -> Column:
     """Ordered STRING_AGG of the path channels (the array is already ordered)."""
-    return F.array_join(F.transform(F.col(path), lambda x: x[field]), sep)
+    return F.array_join(F.col(f"{path}.{field}"), sep)
 
 
 def path_string_capped(n: int, path: str = "path", sep: str = " → ", field: str = "channel") -> Column:
     """First ``n`` touches joined with an arrow (stand-alone reports)."""
-    return F.array_join(F.slice(F.transform(F.col(path), lambda x: x[field]), 1, n), sep)
+    return F.array_join(F.slice(F.col(f"{path}.{field}"), 1, n), sep)

@@ -21,10 +21,10 @@ def _money(c: str, digits: int = 6):
 
 
 def model_summary(mart: DataFrame) -> DataFrame:
-    """Per model: conversions, credit, revenue, avg value per credit, channels."""
+    """Per model of the counted mart: conversions, credit, revenue, avg value per credit, channels."""
     _ratio = safe_div(F.col("attributed_value_usd"), F.col("attributed_credit"))
     return mart.groupBy("model").agg(
-        F.countDistinct("conversion_id").alias("conversion_count"),
+        F.sum("first_of_model").alias("conversion_count"),
         _money("attributed_credit").alias("total_credited_conversions"),
         _money("attributed_value_usd").alias("total_revenue_usd"),
         F.round(safe_div(exact_sum(_ratio).cast("double"), F.count(_ratio)), 2).alias("avg_aov"),
@@ -54,7 +54,7 @@ def path_length_revenue(mart: DataFrame, model: str = "last_click") -> DataFrame
     """Conversions and revenue by path length, from one model's rows (one row
     per conversion for single-touch models)."""
     return mart.where(F.col("model") == model).groupBy("path_length").agg(
-        F.countDistinct("conversion_id").alias("conversions"),
+        F.count(F.lit(1)).alias("conversions"),
         _money("conversion_value_usd").alias("total_revenue"),
         F.round(safe_div(exact_sum("conversion_value_usd").cast("double"), F.count("conversion_value_usd")), 2)
         .alias("avg_revenue"),

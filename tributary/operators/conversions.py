@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..config import AttributionConfig
 from ..sources.events import modeled_events_filter
 
+# fixed values: the payload columns, in output order
 CONVERSION_PAYLOAD = (
     "total_item_quantity", "shipping_value", "tax_value", "refund_value", "unique_items", "items",
     "event_value", "event_currency", "event_quantity",
@@ -47,6 +48,9 @@ def conversions(events: DataFrame, cfg: AttributionConfig) -> DataFrame:
     )).alias("b")
     agg = ev.groupBy("user_pseudo_id", F.col("event_timestamp").alias("conversion_us"),
                      F.col("event_name").alias("conversion_event"), key.alias("conversion_key")).agg(best)
+    # always true; it keeps the payload in plans that read the keys alone, so
+    # that both reads of the journeys share one exchange and one scan
+    agg = agg.where(F.col("b").isNotNull())
     return agg.select(
         "user_pseudo_id",
         F.timestamp_micros(F.col("conversion_us")).alias("conversion_ts"),
@@ -63,15 +67,14 @@ def conversions(events: DataFrame, cfg: AttributionConfig) -> DataFrame:
 
 
 def conversions_purchase(events: DataFrame, cfg: AttributionConfig) -> DataFrame:
-    """Stand-alone: every purchase event in the window, no dedup, numbered per
+    """Stand-alone: every purchase event of the scan, no dedup, numbered per
     user by time (ties by transaction id)."""
-    from ..config import MICROS_PER_HOUR
     from ..plans.joins import row_number_within
 
-    ev = events.where(F.col("event_name") == "purchase")
-    ev = ev.where(F.col("event_timestamp").between(F.lit(cfg.start_micros), F.lit(cfg.end_micros)))
+    ev = events.where(F.col("event_name") == "purchase").select(
+        "user_pseudo_id", "event_timestamp", "purchase_revenue", "transaction_id")
     ev = row_number_within(
-        ev, "user_pseudo_id", F.floor(F.col("event_timestamp") / F.lit(cfg.join_bucket_hours * MICROS_PER_HOUR)),
+        ev, "user_pseudo_id", F.floor(F.col("event_timestamp") / F.lit(cfg.number_bucket_micros)),
         ["event_timestamp", F.col("transaction_id").asc_nulls_first(), F.col("purchase_revenue").asc_nulls_first()],
         "conversion_id")
     return ev.select(

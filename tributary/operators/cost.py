@@ -58,7 +58,8 @@ def cost_daily(unified: DataFrame) -> DataFrame:
 def roas(mart: DataFrame, unified: DataFrame, cfg: AttributionConfig,
          data_driven_model: str = "data_driven_bqml") -> DataFrame:
     """date x model x event x channel with cost (purchase rows only), ROAS,
-    CPA, RPC, marginal value (data-driven minus last click) and efficiency.
+    CPA, RPC, marginal value (data-driven minus last click) and efficiency,
+    from the counted mart (a conversion has one date).
 
     Last-click and data-driven values come from the same rollup through a
     window over (date, event, channel) instead of two extra scans and joins.
@@ -67,7 +68,7 @@ def roas(mart: DataFrame, unified: DataFrame, cfg: AttributionConfig,
         utc_date("conversion_ts").alias("date"), "model", "conversion_event",
         value_mode_case("conversion_event", cfg).alias("value_mode"), "channel",
     ).agg(
-        F.countDistinct("conversion_id").alias("attributed_conversions"),
+        F.sum("first_of_channel").alias("attributed_conversions"),
         exact_sum("attributed_credit").alias("_credit"),
         exact_sum("attributed_value_usd").alias("_value"),
     )

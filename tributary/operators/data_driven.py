@@ -18,21 +18,21 @@ Scale notes:
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..config import MICROS_PER_DAY, MICROS_PER_HOUR, AttributionConfig
+from ..config import MICROS_PER_HOUR, AttributionConfig
 from ..functions.channels import FEATURE_CHANNELS, feature_name
 from ..functions.conversion import value_expr
-from .models import MART_COLUMNS
+from .models import COUNT_COLUMNS, MART_COLUMNS
 
 FEATURES = tuple(feature_name(c) for c in FEATURE_CHANNELS)
 # --- fixed values (model id in the mart, optimiser iteration cap) ---------------
 DATA_DRIVEN_MODEL = "data_driven_bqml"
 MAX_ITER = 50
+INTERCEPT = "__INTERCEPT__"
 # ------------------------------------------------------------------------------
 
 
@@ -40,18 +40,15 @@ def _flags_from_channel(channel: Column) -> list[Column]:
     return [(channel == c).cast("int").alias(f) for c, f in zip(FEATURE_CHANNELS, FEATURES)]
 
 
-def _has_channel(path: Column, channel: str) -> Column:
-    return F.exists(path, lambda x: x["channel"] == F.lit(channel))
-
-
-def _flags_from_path(path: Column) -> list[Column]:
-    return [_has_channel(path, c).cast("int").alias(f) for c, f in zip(FEATURE_CHANNELS, FEATURES)]
+def _flags_from_path(channels: Column) -> list[Column]:
+    """19 flags from the array of a journey's channels."""
+    return [F.array_contains(channels, c).cast("int").alias(f) for c, f in zip(FEATURE_CHANNELS, FEATURES)]
 
 
 def train_set(journeys_df: DataFrame, sessions_df: DataFrame, conversions_df: DataFrame) -> DataFrame:
     """Positives: users with attributed journeys, flags = channel seen on any
     path. Negatives: users with sessions and no conversion at all."""
-    pos_rows = journeys_df.select("user_pseudo_id", *_flags_from_path(F.col("path")))
+    pos_rows = journeys_df.select("user_pseudo_id", *_flags_from_path(F.col("path.channel")))
     pos = pos_rows.groupBy("user_pseudo_id").agg(*[F.max(f).alias(f) for f in FEATURES]) \
         .withColumn("converted", F.lit(1))
     s = sessions_df.select("user_pseudo_id", *_flags_from_channel(F.col("channel")), F.lit(0).alias("_conv"))
@@ -88,8 +85,19 @@ class LogisticModel:
             z = z + F.lit(float(w)) * c.cast("double")
         return z
 
+    def save(self, spark, path: str) -> None:
+        """Write the fitted numbers under ``path`` (a named model)."""
+        rows = [(i, f, float(w)) for i, (f, w) in enumerate(zip(self.features, self.weights))] + [(-1, INTERCEPT, float(self.intercept))]
+        spark.createDataFrame(rows, "position int, feature string, weight double").coalesce(1).write.mode("overwrite").parquet(path)
+
+    @staticmethod
+    def load(spark, path: str) -> LogisticModel:
+        """Read a model that :meth:`save` wrote (one row per feature)."""
+        rows = spark.read.parquet(path).orderBy("position").collect()
+        return LogisticModel(rows[0]["weight"], tuple(r["weight"] for r in rows[1:]), tuple(r["feature"] for r in rows[1:]))
+
     def weights_frame(self, spark) -> DataFrame:
-        rows = [(f, float(w)) for f, w in zip(self.features, self.weights)] + [("__INTERCEPT__", float(self.intercept))]
+        rows = [(f, float(w)) for f, w in zip(self.features, self.weights)] + [(INTERCEPT, float(self.intercept))]
         df = spark.createDataFrame(rows, "feature string, weight double")
         return df.orderBy(F.abs("weight").desc(), "feature")
 
@@ -145,14 +153,14 @@ def base_features(journeys_df: DataFrame) -> DataFrame:
         "user_pseudo_id", "conversion_id", "conversion_event", "conversion_value_usd", "conversion_value_local",
         "conversion_ts", "transaction_id", "path_length",
         first["source"].alias("source"), first["medium"].alias("medium"), first["campaign"].alias("campaign"),
-        *_flags_from_path(F.col("path")),
+        *_flags_from_path(F.col("path.channel")),
     )
 
 
 def data_driven(journeys_df: DataFrame, model: LogisticModel, cfg: AttributionConfig) -> DataFrame:
     """Removal-effect attribution: effect_c = max(p_all - p_without_c, 0);
     share = effect / sum(effects), or 1/19 to every channel when all effects
-    are 0; zero shares dropped; ROUND(share, 6)."""
+    are 0; zero shares dropped; ROUND(share, 6). With the mart's count columns."""
     bf = base_features(journeys_df)
     z = model.logit()
     n = len(FEATURE_CHANNELS)
@@ -166,7 +174,7 @@ def data_driven(journeys_df: DataFrame, model: LogisticModel, cfg: AttributionCo
     s = scored.select(*[c for c in scored.columns if c not in ("_z", "_ch")], eff.alias("_eff"))
     s = s.withColumn("_tot", F.aggregate("_eff", F.lit(0.0), lambda acc, e: acc + e["eff"]))
     keep = F.filter("_eff", lambda e: (e["eff"] > 0) | (F.col("_tot") == 0))
-    e = s.select(*[c for c in s.columns if c not in ("_eff",)], F.explode(keep).alias("_e"))
+    e = s.select(*[c for c in s.columns if c not in ("_eff",)], F.posexplode(keep).alias("_at", "_e"))
     share = F.when(F.col("_tot") == 0, F.lit(1.0 / n)).otherwise(F.col("_e.eff") / F.col("_tot"))
     credit = F.round(share, 6)
     return e.select(
@@ -176,7 +184,8 @@ def data_driven(journeys_df: DataFrame, model: LogisticModel, cfg: AttributionCo
         credit.alias("attributed_credit"),
         value_expr("conversion_event", "conversion_value_usd", credit, cfg).alias("attributed_value_usd"),
         value_expr("conversion_event", "conversion_value_local", credit, cfg).alias("attributed_value_local"),
-    ).select(*MART_COLUMNS)
+        F.lit(1).alias("first_of_channel"), (F.col("_at") == 0).cast("int").alias("first_of_model"),
+    ).select(*MART_COLUMNS, *COUNT_COLUMNS)
 
 
 # ---- stand-alone (legacy) variant -------------------------------------------------
@@ -218,31 +227,29 @@ def journey_features(events: DataFrame, cfg: AttributionConfig) -> DataFrame:
     later-or-equal purchase of the user; touches with none form the
     ``converted = 0`` row, the others the ``converted = 1`` row, and touch
     counts multiply by the number of later purchases. Rather than emitting
-    those pairs, each touch gets its multiplicity m = later purchases, from
-    (a) purchases at or after it on the same day (window per user-day) plus
-    (b) purchases on later days (suffix sum over a per-user-day count table).
-    Only a user-day (a user-bucket of ``cfg.join_bucket_hours``) is ever one
-    window partition.
+    those pairs, touches and purchases are first summed per (user, instant,
+    source, medium), combined before the shuffle; each such row then gets its
+    multiplicity m = later purchases, from (a) purchases at or after it in its
+    time bucket (window per user and bucket) plus (b) purchases in later
+    buckets (suffix sum over a count table). Only a user's minute
+    (``cfg.number_bucket_seconds``) is ever one window partition.
     """
-    ev = events.where(F.col("event_timestamp").between(F.lit(cfg.start_micros), F.lit(cfg.end_micros))) \
-        .where(F.col("user_pseudo_id").isNotNull())
+    ev = events.where(F.col("user_pseudo_id").isNotNull())
     W = Window
-    is_p = (F.col("event_name") == "purchase").cast("long")
-    t = ev.select("user_pseudo_id", "event_timestamp", "source", "medium",
-                  F.floor(F.col("event_timestamp") / F.lit(cfg.join_bucket_hours * MICROS_PER_HOUR))
-                  .cast("long").alias("_day"),
-                  is_p.alias("_p"))
+    t = ev.groupBy("user_pseudo_id", "event_timestamp", "source", "medium").agg(
+        F.count(F.lit(1)).alias("_n"), F.sum((F.col("event_name") == "purchase").cast("long")).alias("_p"))
+    t = t.withColumn("_day", F.floor(F.col("event_timestamp") / F.lit(cfg.number_bucket_micros)).cast("long"))
     same_day = W.partitionBy("user_pseudo_id", "_day").orderBy("event_timestamp") \
         .rangeBetween(0, W.unboundedFollowing)
-    t = t.withColumn("_m_same", F.sum("_p").over(same_day))
     per_day = t.groupBy("user_pseudo_id", "_day").agg(F.sum("_p").alias("_pd"))
+    t = t.withColumn("_m_same", F.coalesce(F.sum("_p").over(same_day), F.lit(0)))
     later = W.partitionBy("user_pseudo_id").orderBy("_day").rowsBetween(1, W.unboundedFollowing)
     per_day = per_day.select("user_pseudo_id", "_day", F.coalesce(F.sum("_pd").over(later), F.lit(0)).alias("_m_later"))
     t = t.join(per_day, ["user_pseudo_id", "_day"], "inner")
     m = F.col("_m_same") + F.col("_m_later")
     t = t.withColumn("converted", (m > 0).cast("int")).withColumn("_mult", F.when(m > 0, m).otherwise(F.lit(1)))
     agg = t.groupBy("user_pseudo_id", "converted").agg(
-        F.sum("_mult").alias("touchpoint_count"),
+        F.sum(F.col("_mult") * F.col("_n")).alias("touchpoint_count"),
         F.countDistinct(F.concat(F.col("source"), F.lit(" / "), F.col("medium"))).alias("distinct_channels"),
         F.max(F.col("event_timestamp")).alias("_mx"), F.min(F.col("event_timestamp")).alias("_mn"),
         *[F.max(e).alias(f) for e, (f, _) in zip(_legacy_flag_exprs(F.col("medium")), LEGACY_FLAGS)],
@@ -255,14 +262,16 @@ def journey_features(events: DataFrame, cfg: AttributionConfig) -> DataFrame:
 
 def train_model_legacy(features_df: DataFrame, seed: int = 42, train_fraction: float = 0.8,
                        max_iter: int = MAX_ITER) -> LogisticModel:
-    """11-feature logistic regression on a random training split (the
-    script's automatic split); unweighted."""
+    """11-feature logistic regression, unweighted, on a training split by a
+    hash of the user id (the script's automatic split; the same whatever the
+    partitioning)."""
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.feature import VectorAssembler
 
     feats = [f for f in LEGACY_FEATURES]
-    data = features_df.select(*[F.col(f).cast("double") for f in feats], F.col("converted").cast("double"))
-    train, _ = data.randomSplit([train_fraction, 1 - train_fraction], seed=seed)
+    part = F.pmod(F.xxhash64("user_pseudo_id", F.lit(seed)), F.lit(1000))
+    train = features_df.where(part < int(1000 * train_fraction)).select(
+        *[F.col(f).cast("double") for f in feats], F.col("converted").cast("double"))
     vec = VectorAssembler(inputCols=feats, outputCol="_x").transform(train)
     m = LogisticRegression(featuresCol="_x", labelCol="converted", maxIter=max_iter, regParam=0.0).fit(vec)
     return LogisticModel(float(m.intercept), tuple(float(x) for x in m.coefficients), tuple(feats))
@@ -302,19 +311,14 @@ def data_driven_legacy(features_df: DataFrame, model: LogisticModel) -> DataFram
 
 def channel_volume(events: DataFrame, cfg: AttributionConfig, top: int | None = 50) -> DataFrame:
     """source / medium: distinct users, purchase events, pct of purchases."""
-    W = Window
-    ev = events.where(F.col("event_timestamp").between(F.lit(cfg.start_micros), F.lit(cfg.end_micros))) \
-        .where(F.col("user_pseudo_id").isNotNull())
+    ev = events.where(F.col("user_pseudo_id").isNotNull())
     agg = ev.groupBy(F.concat(F.col("source"), F.lit(" / "), F.col("medium")).alias("channel")).agg(
         F.countDistinct("user_pseudo_id").alias("users"),
         F.count(F.when(F.col("event_name") == "purchase", 1)).alias("conversions"))
-    tot = F.sum("conversions").over(W.partitionBy())
+    # the total is one row by itself: no window over all source/medium pairs
+    tot = ev.agg(F.count(F.when(F.col("event_name") == "purchase", 1)).alias("_t")).scalar()
     out = agg.select("channel", "users", "conversions",
                      F.round(F.try_divide(F.col("conversions").cast("double") * 100.0,
-                                          F.when(tot != 0, tot).cast("double")), 2).alias("pct"))
+                                          F.nullif(tot, F.lit(0)).cast("double")), 2).alias("pct"))
     out = out.orderBy(F.col("conversions").desc(), F.col("channel").asc_nulls_first())
     return out.limit(top) if top else out
-
-
-def sigmoid_py(z: float) -> float:
-    return 1.0 / (1.0 + math.exp(-z))

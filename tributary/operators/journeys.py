@@ -2,35 +2,40 @@
 
 Plan shape (pipeline semantics):
 
-1. Conversion *keys* only (4 key columns + event) are replicated over the
-   time buckets their lookback window overlaps; sessions carry their own
-   bucket. The join is an equi-join on ``(user_pseudo_id, bucket)`` with the
-   exact range test as a residual, so one heavy user's sessions spread over
-   as many tasks as the user has active buckets, and each pair test stays
-   inside its bucket (no per-user quadratic sort-merge group).
+1. Conversion *keys* only (4 key columns + event) meet sessions in time buckets
+   as wide as the longest lookback window, so a conversion has at most two
+   copies. The join is an equi-join on ``(user_pseudo_id, bucket)`` with the
+   exact range test as a residual; a heavy user's bucket is split at run time
+   by the adaptive skew join.
 2. The matched touchpoints are aggregated per conversion into the ordered
    ``path`` array (``array_sort(collect_list(struct))``, partial aggregate).
+   Only the session fields that the caller names go through the join.
 3. The conversion payload is joined back on the NULL-free conversion key;
-   the aggregate output is already hash-partitioned on that key.
+   the aggregate output is already hash-partitioned on that key, and the
+   conversions' own exchange is reused, so events are scanned twice in all.
 4. ``user_conversion_seq`` numbers a user's conversions exactly, per
-   (user, day) plus the counts of the user's earlier days, so no task ever
-   holds all of one user's conversions.
+   (user, minute) plus the counts of the user's earlier minutes, so no task
+   holds all of one user's conversions, or all of one day's.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
+from collections.abc import Callable
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..config import MICROS_PER_DAY, MICROS_PER_HOUR, STANDALONE_LOOKBACK_DAYS, AttributionConfig
+from ..config import MICROS_PER_DAY, STANDALONE_LOOKBACK_DAYS, AttributionConfig
 from ..functions.conversion import lookback_case
 from ..functions.util import whole_hours
 from ..plans.joins import explode_buckets, row_number_within
 from .conversions import CONVERSION_PAYLOAD
 
-# Struct fields of one path element. session_start leads (then session_id)
-# so that sorting the array orders by time with a deterministic tie-break.
+# --- fixed values: struct fields of one path element. session_start leads (then
+# session_id), so that sorting the array orders by time with a deterministic
+# tie-break. ---
 PATH_FIELDS = (
     "session_start", "session_id", "source", "medium", "campaign", "content", "term", "channel",
     "gclid", "dclid", "srsltid", "msclkid", "fbclid", "ttclid", "twclid", "li_fat_id",
@@ -38,6 +43,8 @@ PATH_FIELDS = (
     "privacy_analytics_storage", "privacy_ads_storage", "privacy_uses_transient_token",
     "hours_before_conversion",
 )
+# The fields that models, reports and the training set read.
+MODEL_FIELDS = ("session_start", "session_id", "source", "medium", "campaign", "channel", "hours_before_conversion")
 CONV_KEY = ("user_pseudo_id", "conversion_us", "conversion_event", "conversion_key")
 
 JOURNEY_COLUMNS = (
@@ -65,10 +72,12 @@ def touchpoints(sessions: DataFrame, conversions: DataFrame, cfg: AttributionCon
 
     ``lookback``: Column of days per conversion (default: per-event config).
     """
-    bucket_us = cfg.join_bucket_hours * MICROS_PER_HOUR
+    bucket_us = cfg.join_bucket_micros
     lb = lookback if lookback is not None else lookback_case(F.col("conversion_event"), cfg)
     c = conversions.select(*CONV_KEY, lb.cast("long").alias("_lb"))
-    c = c.withColumn("_lo", lookback_lower_bound(F.col("conversion_us"), F.col("_lb"), cfg))
+    # never null (conversion times are not): stated, so that no null test on it is
+    # pushed below the conversions' aggregate
+    c = c.withColumn("_lo", F.coalesce(lookback_lower_bound(F.col("conversion_us"), F.col("_lb"), cfg), F.lit(0)))
     c = c.select(*CONV_KEY, "_lo", explode_buckets(F.col("_lo"), F.col("conversion_us"), bucket_us))
     wanted = [f for f in session_fields if f not in ("hours_before_conversion",)]
     s = sessions.select(
@@ -86,40 +95,44 @@ def touchpoints(sessions: DataFrame, conversions: DataFrame, cfg: AttributionCon
             .drop("_su", "_sb", "_bucket", "_lo")
 
 
-def journeys(sessions: DataFrame, conversions: DataFrame, cfg: AttributionConfig) -> DataFrame:
+def matched(sessions: DataFrame, conversions: DataFrame, cfg: AttributionConfig, fields=PATH_FIELDS) -> DataFrame:
     """One row per conversion that has at least one session in its window,
-    with the ordered ``path`` (26-field structs), ``path_length``, per-user
-    ``user_conversion_seq`` and global ``conversion_id = user-seq``."""
-    tp = touchpoints(sessions, conversions, cfg)
+    with the ordered ``path`` (structs of ``fields``) and ``path_length``."""
+    # stated for both reads of the conversions, which the joins would otherwise
+    # give different filters (and so exchanges of their own)
+    conversions = conversions.where(reduce(and_, [F.col(k).isNotNull() for k in CONV_KEY]))
+    tp = touchpoints(sessions, conversions, cfg, fields)
     paths = tp.groupBy(*CONV_KEY).agg(
-        F.array_sort(F.collect_list(F.struct(*[F.col(f) for f in PATH_FIELDS]))).alias("path"),
+        F.array_sort(F.collect_list(F.struct(*[F.col(f) for f in fields]))).alias("path"),
         F.count(F.lit(1)).alias("path_length"),
     )
-    j = paths.join(conversions, on=list(CONV_KEY), how="inner")
-    # The numbering reads j twice (per-bucket numbers, per-bucket counts). The
-    # two reads project different columns, so without a shared materialisation
-    # Spark would re-run the whole lookback join for the counts. Persisting j
-    # (memory, spilling to disk) computes it once; lost blocks are recomputed
-    # from lineage if an executor dies.
-    pre = j.persist(StorageLevel.MEMORY_AND_DISK)
+    return paths.join(conversions, on=list(CONV_KEY), how="inner")
+
+
+def numbered(matched_df: DataFrame, cfg: AttributionConfig) -> DataFrame:
+    """Journeys with ``user_conversion_seq`` and ``conversion_id = user-seq``.
+    ``matched_df`` is read twice (numbers and bucket counts)."""
     j = row_number_within(
-        pre, "user_pseudo_id", F.floor(F.col("conversion_us") / F.lit(cfg.join_bucket_hours * MICROS_PER_HOUR)),
+        matched_df, "user_pseudo_id", F.floor(F.col("conversion_us") / F.lit(cfg.number_bucket_micros)),
         ["conversion_us", "conversion_event", F.coalesce(F.col("transaction_id"), F.lit(""))],
         "user_conversion_seq")
-    out = j.select(
+    return j.select(
         "user_pseudo_id", "conversion_ts", "conversion_event", "event_date", "platform", "transaction_id",
         F.col("purchase_revenue").alias("conversion_value_local"),
         F.col("purchase_revenue_in_usd").alias("conversion_value_usd"),
-        *CONVERSION_PAYLOAD, "conversion_session_id", "path", "path_length",
-        "user_conversion_seq", "conversion_us", "conversion_key",
-    )
-    res = out.select(
-        *[c for c in JOURNEY_COLUMNS if c not in ("conversion_id",)][:-2],
+        *CONVERSION_PAYLOAD, "conversion_session_id", "path", "path_length", "user_conversion_seq",
         F.concat(F.col("user_pseudo_id"), F.lit("-"), F.col("user_conversion_seq").cast("string")).alias("conversion_id"),
         "conversion_us", "conversion_key",
     )
-    res.cached_inputs = [pre]  # released by Pipeline.release()
-    return res
+
+
+def journeys(sessions: DataFrame, conversions: DataFrame, cfg: AttributionConfig, fields=PATH_FIELDS,
+             store: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """:func:`matched`, then :func:`numbered`. ``store`` writes the matched
+    journeys to shared storage and reads them back; without it the lookback
+    join is planned once for each of the numbering's two reads."""
+    m = matched(sessions, conversions, cfg, fields)
+    return numbered(store(m) if store else m, cfg)
 
 
 PATH_ROW_JOURNEY_COLUMNS = (

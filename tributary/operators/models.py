@@ -25,12 +25,16 @@ RULE_MODELS = (
     "first_click", "last_click", "last_non_direct_click", "linear", "time_decay", "u_shape",
     "position_weighted",
 )
-# ------------------------------------------------------------------------------
+# Columns of the fact table, in order.
 MART_COLUMNS = (
     "user_pseudo_id", "conversion_id", "conversion_ts", "conversion_event", "transaction_id",
     "conversion_value_local", "conversion_value_usd", "path_length", "source", "medium", "campaign",
     "channel", "model", "attributed_credit", "attributed_value_usd", "attributed_value_local",
 )
+# ------------------------------------------------------------------------------
+# 1 on one row of each (conversion, model, channel), and of each (conversion,
+# model): sums of them count conversions without a distinct over the mart.
+COUNT_COLUMNS = ("first_of_channel", "first_of_model")
 _JOURNEY_KEEP = (
     "user_pseudo_id", "conversion_id", "conversion_ts", "conversion_event", "transaction_id",
     "conversion_value_local", "conversion_value_usd", "path_length",
@@ -71,7 +75,8 @@ def _rnd(c: Column, cfg: AttributionConfig, digits: int = 4) -> Column:
 
 
 def model_credits(journeys_df: DataFrame, cfg: AttributionConfig, models=RULE_MODELS) -> DataFrame:
-    """Long table: one row per (conversion, touchpoint, crediting model)."""
+    """Long table: one row per (conversion, touchpoint, crediting model), with
+    the two count columns."""
     unknown = set(models) - set(RULE_MODELS)
     if unknown:
         raise ValueError(f"unknown models {sorted(unknown)}")
@@ -80,9 +85,9 @@ def model_credits(journeys_df: DataFrame, cfg: AttributionConfig, models=RULE_MO
         *_JOURNEY_KEEP, "path",
         F.aggregate(path, F.lit(0.0), lambda acc, x: acc + decay_weight(x["hours_before_conversion"]))
         .alias("_decay_total"),
-        last_non_direct_position(path).alias("_lnd"),
+        last_non_direct_position(path).alias("_lnd"), F.col("path.channel").alias("_channels"),
     )
-    t = j.select(*_JOURNEY_KEEP, "_decay_total", "_lnd", F.posexplode(path).alias("_pos", "tp"))
+    t = j.select(*_JOURNEY_KEEP, "_decay_total", "_lnd", "_channels", F.posexplode(path).alias("_pos", "tp"))
     n = F.col("path_length")
     p = F.col("_pos") + 1
     q = n - F.col("_pos")
@@ -101,7 +106,12 @@ def model_credits(journeys_df: DataFrame, cfg: AttributionConfig, models=RULE_MO
     # explode every (model, credit) pair and drop the non-crediting ones with a
     # plain Filter: unlike a higher-order filter() over the array, both the
     # generator and the predicate run inside whole-stage code generation
-    arr = F.array(*[F.struct(F.lit(m).alias("model"), credit[m].alias("credit")) for m in models])
+    single = ("first_click", "last_click", "last_non_direct_click")
+    first_channel = F.array_position(F.col("_channels"), F.col("tp.channel")) == p
+    arr = F.array(*[F.struct(
+        F.lit(m).alias("model"), credit[m].alias("credit"),
+        (F.lit(1) if m in single else first_channel.cast("int")).alias("first_of_channel"),
+        (F.lit(1) if m in single else (p == 1).cast("int")).alias("first_of_model")) for m in models])
     e = t.select(*_JOURNEY_KEEP,
                  F.col("tp.source").alias("source"), F.col("tp.medium").alias("medium"),
                  F.col("tp.campaign").alias("campaign"), F.col("tp.channel").alias("channel"),
@@ -112,21 +122,13 @@ def model_credits(journeys_df: DataFrame, cfg: AttributionConfig, models=RULE_MO
         F.col("mc.credit").alias("attributed_credit"),
         value_expr("conversion_event", "conversion_value_usd", F.col("mc.credit"), cfg).alias("attributed_value_usd"),
         value_expr("conversion_event", "conversion_value_local", F.col("mc.credit"), cfg).alias("attributed_value_local"),
-    ).select(*MART_COLUMNS)
+        *[F.col(f"mc.{c}").alias(c) for c in COUNT_COLUMNS],
+    ).select(*MART_COLUMNS, *COUNT_COLUMNS)
 
 
 def single_model(journeys_df: DataFrame, cfg: AttributionConfig, model: str) -> DataFrame:
     """One model's fact table (the 16 shared columns)."""
-    return model_credits(journeys_df, cfg, models=(model,))
-
-
-def first_click(j, cfg): return single_model(j, cfg, "first_click")  # noqa: E704
-def last_click(j, cfg): return single_model(j, cfg, "last_click")  # noqa: E704
-def last_non_direct_click(j, cfg): return single_model(j, cfg, "last_non_direct_click")  # noqa: E704
-def linear(j, cfg): return single_model(j, cfg, "linear")  # noqa: E704
-def time_decay(j, cfg): return single_model(j, cfg, "time_decay")  # noqa: E704
-def u_shape(j, cfg): return single_model(j, cfg, "u_shape")  # noqa: E704
-def position_weighted(j, cfg): return single_model(j, cfg, "position_weighted")  # noqa: E704
+    return model_credits(journeys_df, cfg, models=(model,)).select(*MART_COLUMNS)
 
 
 def last_non_direct_click_full_outer(path_rows_df: DataFrame, cfg: AttributionConfig) -> DataFrame:
@@ -153,13 +155,16 @@ def last_non_direct_click_full_outer(path_rows_df: DataFrame, cfg: AttributionCo
     )
 
 
-def attribution_mart(journeys_df: DataFrame, cfg: AttributionConfig, data_driven_df: DataFrame | None = None) -> DataFrame:
+def counted_mart(journeys_df: DataFrame, cfg: AttributionConfig, data_driven_df: DataFrame | None = None) -> DataFrame:
     """UNION ALL of the seven rule models (one pass) plus, when given, the
-    data-driven model's fact rows."""
+    data-driven model's fact rows, with the two count columns."""
     mart = model_credits(journeys_df, cfg)
-    if data_driven_df is not None:
-        mart = mart.unionByName(data_driven_df.select(*MART_COLUMNS))
-    return mart
+    return mart.unionByName(data_driven_df) if data_driven_df is not None else mart
+
+
+def attribution_mart(journeys_df: DataFrame, cfg: AttributionConfig, data_driven_df: DataFrame | None = None) -> DataFrame:
+    """The mart proper: the 16 shared columns."""
+    return counted_mart(journeys_df, cfg, data_driven_df).select(*MART_COLUMNS)
 
 
 # ---- stand-alone model variants (channel-level reports) -----------------------

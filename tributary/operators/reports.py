@@ -31,13 +31,13 @@ def _pct(num, den, digits: int = 2):
 
 
 def cross_channel(mart: DataFrame, cfg: AttributionConfig) -> DataFrame:
-    """model x conversion_event x value_mode x channel rollup with the
-    variance from last click (window over at most models x events x channels
+    """model x conversion_event x value_mode x channel rollup of the counted
+    mart (``models.counted_mart``), with the variance from last click (window over at most models x events x channels
     aggregated rows)."""
     agg = mart.groupBy(
         "model", "conversion_event", value_mode_case("conversion_event", cfg).alias("value_mode"), "channel",
     ).agg(
-        F.countDistinct("conversion_id").alias("attributed_conversions"),
+        F.sum("first_of_channel").alias("attributed_conversions"),
         exact_sum("attributed_credit").alias("_credit"),
         exact_sum("attributed_value_usd").alias("_usd"),
         exact_sum("attributed_value_local").alias("_local"),
@@ -83,7 +83,7 @@ def path_analysis(journeys_df: DataFrame, top: int = 100, min_conversions: int =
                             path_string().alias("path_string"))
     agg = ps.groupBy("path_string").agg(
         F.countDistinct("user_pseudo_id").alias("unique_users"),
-        F.countDistinct("conversion_id").alias("total_conversions"),
+        F.count("conversion_id").alias("total_conversions"),  # one journey row each
         exact_sum("conversion_value_usd").alias("_rev"),
         F.count("conversion_value_usd").alias("_nrev"),
         F.avg(F.col("path_length").cast("double")).alias("_len"),
@@ -103,7 +103,7 @@ def daily_traffic_overview(sessions_df: DataFrame) -> DataFrame:
     key = F.concat(F.col("user_pseudo_id").cast("string"), F.lit("-"), F.col("session_id").cast("string"))
     agg = sessions_df.groupBy(
         utc_date("session_start").alias("session_date"), "channel", "source", "medium",
-    ).agg(F.countDistinct("user_pseudo_id").alias("unique_users"), F.countDistinct(key).alias("total_sessions"))
+    ).agg(F.countDistinct("user_pseudo_id").alias("unique_users"), F.count(key).alias("total_sessions"))  # one row each
     return agg.withColumn("sessions_per_user", safe_div(F.col("total_sessions"), F.col("unique_users")))
 
 

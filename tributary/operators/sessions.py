@@ -15,7 +15,7 @@ from ..config import AttributionConfig
 from ..functions.channels import channel_grouping_8, channel_grouping_19
 from ..sources.events import modeled_events_filter
 
-# carried from the picked event, in output order
+# fixed values: carried from the picked event, in output order
 SESSION_PAYLOAD = (
     "gclid", "dclid", "srsltid", "msclkid", "fbclid", "ttclid", "twclid", "li_fat_id",
     "page_location", "page_referrer", "hostname", "user_first_touch_campaign",
@@ -66,9 +66,10 @@ def sessions_first_non_auto(events: DataFrame, cfg: AttributionConfig) -> DataFr
     """Stand-alone rule: per session pick the earliest non-auto event carrying
     source or medium; else a ``session_start`` carrying them; else the earliest
     event. ``session_start`` is the picked event's time. 8-way channel.
+    ``events`` is the scan by ``event_date``: these scripts have no other time
+    filter, so a property's own days count whatever its time zone.
     """
     ev = events.where(F.col("session_id").isNotNull())
-    ev = ev.where(F.col("event_timestamp").between(F.lit(cfg.session_start_micros), F.lit(cfg.end_micros)))
     has_traffic = F.col("source").isNotNull() | F.col("medium").isNotNull()
     p1 = F.when(~F.col("event_name").isin(*AUTO_EVENTS) & has_traffic, 0).otherwise(1)
     p2 = F.when((F.col("event_name") == "session_start") & has_traffic, 0).otherwise(1)
@@ -88,17 +89,3 @@ def sessions_first_non_auto(events: DataFrame, cfg: AttributionConfig) -> DataFr
         F.col("f.ts").alias("session_start_us"),
     )
 
-
-def session_acquisition(sessions_df: DataFrame) -> DataFrame:
-    """Sessions by source, medium, campaign."""
-    return (sessions_df.groupBy("source", "medium", "campaign")
-            .agg(F.count(F.lit(1)).alias("sessions"),
-                 F.countDistinct("user_pseudo_id").alias("users")))
-
-
-def session_acquisition_stslc(events: DataFrame, cfg: AttributionConfig) -> DataFrame:
-    """Distinct ``user-session`` keys by resolved (last-click) source, medium,
-    campaign, counted over every event that carries a session id."""
-    ev = session_events(events, cfg)
-    return (ev.groupBy(F.col("source"), F.col("medium"), F.col("campaign"))
-            .agg(F.countDistinct("user_pseudo_id", "session_id").alias("sessions")))

@@ -1,7 +1,8 @@
 """Stand-alone script variants: purchase-only journeys, 8-way channels,
 exact 30-day lookback, channel-level model reports, funnels from raw events.
 
-Top-k reports (top 50 / top 20) keep their LIMIT because the ranking is the
+Percentages divide by a one-row total (a scalar subquery), so no window runs
+over all channels or paths. Top-k reports (top 50 / top 20) keep their LIMIT because the ranking is the
 feature; every ranking has a full tie-break so the kept rows are
 deterministic.
 """
@@ -44,18 +45,18 @@ def channel_report(journeys_sa: DataFrame, model: str, top: int | None = 50) ->
     conversions = ROUND(sum of weights, 4), pct of the global sum.
     """
     w = standalone_weights(journeys_sa)
-    everything = Window.partitionBy()  # over aggregated channel rows only
     if model in _COUNT_MODELS:
         agg = w.where(F.col(f"w_{model}") > 0).groupBy("channel").agg(F.count(F.lit(1)).alias("attributed_conversions"))
+        total = agg.agg(F.sum("attributed_conversions")).scalar()
         out = agg.select("channel", "attributed_conversions",
-                         _pct(F.col("attributed_conversions"), F.sum("attributed_conversions").over(everything))
-                         .alias("attribution_pct"))
+                         _pct(F.col("attributed_conversions"), total).alias("attribution_pct"))
         return _top(out, top, F.col("attributed_conversions").desc(), "channel")
     if model in _SUM_MODELS:
         agg = w.groupBy("channel").agg(F.count(F.lit(1)).alias("total_sessions"),
                                        exact_sum(f"w_{model}").alias("_w"))
+        total = agg.agg(F.sum("_w")).scalar()
         out = agg.select("channel", "total_sessions", round_to(F.col("_w"), 4).alias("attributed_conversions"),
-                         _pct(F.col("_w"), F.sum("_w").over(everything)).alias("attribution_pct"))
+                         _pct(F.col("_w"), total).alias("attribution_pct"))
         return _top(out, top, F.col("attributed_conversions").desc(), "channel")
     raise ValueError(f"unknown stand-alone model {model!r}")
 
@@ -73,17 +74,18 @@ def cross_channel_wide(journeys_sa: DataFrame, top: int | None = 50) -> DataFram
         exact_sum("w_time_decay").alias("_td"),
         exact_sum("w_u_shape").alias("_us"),
     )
-    g = Window.partitionBy()
+    sums = ("last_click", "first_click", "last_non_direct", "_lin", "_td", "_us")
+    total = agg.agg(F.struct(*[F.sum(c).alias(c) for c in sums])).scalar()  # one row
     out = agg.select(
         "channel", "last_click", "first_click", "last_non_direct",
         round_to(F.col("_lin"), 2).alias("linear"), round_to(F.col("_td"), 2).alias("time_decay"),
         round_to(F.col("_us"), 2).alias("u_shaped"),
-        _pct(F.col("last_click"), F.sum("last_click").over(g)).alias("lc_pct"),
-        _pct(F.col("first_click"), F.sum("first_click").over(g)).alias("fc_pct"),
-        _pct(F.col("last_non_direct"), F.sum("last_non_direct").over(g)).alias("lnd_pct"),
-        _pct(F.col("_lin"), F.sum("_lin").over(g)).alias("lin_pct"),
-        _pct(F.col("_td"), F.sum("_td").over(g)).alias("td_pct"),
-        _pct(F.col("_us"), F.sum("_us").over(g)).alias("us_pct"),
+        _pct(F.col("last_click"), total["last_click"]).alias("lc_pct"),
+        _pct(F.col("first_click"), total["first_click"]).alias("fc_pct"),
+        _pct(F.col("last_non_direct"), total["last_non_direct"]).alias("lnd_pct"),
+        _pct(F.col("_lin"), total["_lin"]).alias("lin_pct"),
+        _pct(F.col("_td"), total["_td"]).alias("td_pct"),
+        _pct(F.col("_us"), total["_us"]).alias("us_pct"),
     )
     return _top(out, top, F.col("last_click").desc(), "channel")
 
@@ -110,8 +112,8 @@ def path_analysis_top(journeys_sa: DataFrame, cap: int = 20, top: int | None = 5
     """Purchase paths capped at ``cap`` touches: count and share."""
     p = journeys_sa.select(path_string_capped(cap).alias("conversion_path"))
     agg = p.groupBy("conversion_path").agg(F.count(F.lit(1)).alias("path_count"))
-    out = agg.select("conversion_path", "path_count",
-                     _pct(F.col("path_count"), F.sum("path_count").over(Window.partitionBy())).alias("path_pct"))
+    total = agg.agg(F.sum("path_count")).scalar()
+    out = agg.select("conversion_path", "path_count", _pct(F.col("path_count"), total).alias("path_pct"))
     return _top(out, top, F.col("path_count").desc(), "conversion_path")
 
 
@@ -120,8 +122,9 @@ def paths_dashboard_top(journeys_sa: DataFrame, cap: int = 10, top: int | None =
     p = journeys_sa.select(path_string_capped(cap).alias("conversion_path"), "path_length")
     agg = p.groupBy("conversion_path").agg(F.count(F.lit(1)).alias("conversions"),
                                            F.avg(F.col("path_length").cast("double")).alias("_avg"))
+    total = agg.agg(F.sum("conversions")).scalar()
     out = agg.select("conversion_path", "conversions", F.round("_avg", 1).alias("avg_touchpoints"),
-                     _pct(F.col("conversions"), F.sum("conversions").over(Window.partitionBy())).alias("pct_of_total"))
+                     _pct(F.col("conversions"), total).alias("pct_of_total"))
     return _top(out, top, F.col("conversions").desc(), "conversion_path")
 
 
@@ -129,8 +132,7 @@ def purchase_funnel_steps(events: DataFrame, cfg: AttributionConfig) -> DataFram
     """Four steps from raw events (user-based): one pass of conditional
     distinct counts, then the 4 rows are built from that single row."""
     names = [e for _, e in FUNNEL_STEPS]
-    ev = events.where(F.col("event_name").isin(*names)) \
-        .where(F.col("event_timestamp").between(F.lit(cfg.start_micros), F.lit(cfg.end_micros)))
+    ev = events.where(F.col("event_name").isin(*names))
     counts = ev.agg(*[F.countDistinct(F.when(F.col("event_name") == e, F.col("user_pseudo_id"))).alias(f"c{i}")
                       for i, e in enumerate(names)])
     rows = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(label).alias("step"), F.col(f"c{i}").alias("users"),
@@ -147,8 +149,7 @@ def purchase_funnel_steps(events: DataFrame, cfg: AttributionConfig) -> DataFram
 def cart_abandonment_events(events: DataFrame, cfg: AttributionConfig) -> DataFrame:
     """Session-scoped abandonment from raw events: per (user, session) flags
     by MAX (map-side partial aggregate), then conditional distinct counts."""
-    ev = events.where(F.col("event_timestamp").between(F.lit(cfg.start_micros), F.lit(cfg.end_micros)))
-    per = ev.groupBy("user_pseudo_id", "session_id").agg(
+    per = events.groupBy("user_pseudo_id", "session_id").agg(
         F.max((F.col("event_name") == "add_to_cart").cast("int")).alias("cart"),
         F.max((F.col("event_name") == "purchase").cast("int")).alias("purchased"),
     ).where(F.col("cart") == 1)
@@ -171,12 +172,11 @@ def session_acquisition(sessions_sa: DataFrame) -> DataFrame:
 
 
 def session_acquisition_stslc(events: DataFrame, cfg: AttributionConfig) -> DataFrame:
-    """Distinct ``user-session`` keys by the event's last-click source (with
-    defaults), medium and campaign, over events that carry a session id."""
-    ev = events.where(F.col("event_timestamp").between(F.lit(cfg.start_micros), F.lit(cfg.end_micros)))
+    """Distinct ``user-session`` keys by the source (with defaults), medium and
+    campaign of the event's last-click struct, whatever the source mode."""
     key = F.concat(F.col("user_pseudo_id"), F.lit("-"), F.col("session_id").cast("string"))
-    return ev.groupBy(
-        F.coalesce("source", F.lit("(direct)")).alias("source"),
-        F.coalesce("medium", F.lit("(none)")).alias("medium"),
-        F.col("campaign"),
+    return events.groupBy(
+        F.coalesce("last_click_source", F.lit("(direct)")).alias("source"),
+        F.coalesce("last_click_medium", F.lit("(none)")).alias("medium"),
+        F.col("last_click_campaign").alias("campaign"),
     ).agg(F.countDistinct(key).alias("sessions"))

@@ -9,6 +9,7 @@ returns a DataFrame whose columns carry stable names (the DuckDB oracle in
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,8 +17,11 @@ from pyspark.sql import functions as F
 
 from ..functions.paths import path_string
 from ..functions.util import exact_sum, round_to
-from ..operators.models import RULE_MODELS
+from ..config import FIXTURE_CONFIG, ConversionEvent
+from ..operators.data_driven import LogisticModel
+from ..operators.models import MART_COLUMNS, RULE_MODELS
 from .pipeline import Pipeline
+from .session import shared_dir
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 _REGISTRY: dict[str, QueryFn] = {}
@@ -34,17 +38,49 @@ def registry() -> dict[str, QueryFn]:
     return dict(_REGISTRY)
 
 
+# --- fixed values: a stated data-driven model (19 channel weights in the order of
+# FEATURE_CHANNELS, then the intercept). The mart and its reports score with it, as
+# a run does that loads a saved model; ``data_driven`` and the model_* queries fit. ---
+STATED_WEIGHTS = (0.9, 0.4, 0.35, 0.2, 0.5, 0.15, -0.1, 0.05, 0.6, 0.3, 0.45, -0.3, 0.25, 0.55, 0.1, 0.2, -0.05, 0.12, -0.2)
+STATED_INTERCEPT = -1.1
+
 _PIPES: dict = {}
 
 
 def pipe(spark: SparkSession, sf_dir: str) -> Pipeline:
-    """One Pipeline per (session, data dir), so queries share sub-plans."""
+    """One Pipeline per (session, data dir), so queries share stored layers."""
     key = (id(spark), sf_dir)
     if key not in _PIPES:
-        _PIPES[key] = Pipeline.from_fixture(spark, sf_dir)
+        p = Pipeline.from_fixture(spark, sf_dir)
+        p.dd_model = LogisticModel(STATED_INTERCEPT, STATED_WEIGHTS)
+        _PIPES[key] = p
     return _PIPES[key]
 
 
+_FITTED: dict = {}
+
+
+def fitted(p: Pipeline) -> LogisticModel:
+    """The model fitted on this pipeline's training table (once)."""
+    from ..operators.data_driven import train_model
+    if p.run_id not in _FITTED:
+        _FITTED[p.run_id] = train_model(p.train_compact)
+    return _FITTED[p.run_id]
+
+
+def release() -> None:
+    """Delete the stored layers of all pipelines and forget them."""
+    for p in _PIPES.values():
+        p.cleanup()
+    _PIPES.clear()
+    _FITTED.clear()
+
+
+def _path(spark: SparkSession, name: str) -> str:
+    """A new folder in the shared checkpoint folder."""
+    return f"{shared_dir(spark)}/catalog/{name}-{uuid.uuid4().hex}"
+
+
 SESSION_OUT = ("user_pseudo_id", "session_id", "session_start", "source", "medium", "campaign", "content",
                "term", "channel", "device_category", "country", "session_start_us")
 CONVERSION_OUT = ("user_pseudo_id", "conversion_ts", "conversion_event", "event_date", "platform",
@@ -97,27 +133,105 @@ for _m in RULE_MODELS:
 
 @register("top_channels_last_click")
 def q_top_channels_last_click(spark, sf_dir):
-    m = pipe(spark, sf_dir).rule_mart
+    m = pipe(spark, sf_dir).model("last_click")
     return (m.where((F.col("model") == "last_click") & (F.col("conversion_event") == "purchase"))
             .groupBy("channel")
             .agg(round_to(exact_sum("attributed_value_usd"), 6).alias("revenue"),
-                 F.countDistinct("conversion_id").alias("conversions"))
+                 F.count(F.lit(1)).alias("conversions"))  # one row for each
             .orderBy(F.col("revenue").desc(), "channel"))
 
 
 # ---- sources ---------------------------------------------------------------------
 
-@register("read_events")
-def q_read_events(spark, sf_dir):
-    """Nested export shape -> partition-filtered scan -> flatten (auto mode:
-    last-click struct, then collected struct, then params)."""
-    from ..sources.events import filter_event_dates, flatten_events
+READ_OUT = ("event_date", "event_timestamp", "event_name", "user_pseudo_id", "session_id", "source", "medium",
+            "campaign", "transaction_id", "purchase_revenue", "purchase_revenue_in_usd", "device_category", "country",
+            "event_value", "event_currency", "gclid", "srsltid", "msclkid", "li_fat_id", "page_location",
+            "privacy_analytics_storage", "privacy_ads_storage", "privacy_uses_transient_token")
+
+
+def export_files(spark, sf_dir) -> str:
+    """The nested export written as files partitioned by event_date."""
     from ..sources.fixtures import fixture_events_nested
-    cfg = pipe(spark, sf_dir).cfg.with_(source_mode="auto")
-    flat = flatten_events(filter_event_dates(fixture_events_nested(spark, sf_dir), cfg), cfg)
-    return flat.select("event_date", "event_timestamp", "event_name", "user_pseudo_id", "session_id", "source",
-                       "medium", "campaign", "transaction_id", "purchase_revenue", "purchase_revenue_in_usd",
-                       "device_category", "country", "event_value", "event_currency")
+    path = _path(spark, "export")
+    fixture_events_nested(spark, sf_dir).write.partitionBy("event_date").parquet(path)
+    return path
+
+
+def _read_query(**options):
+    def fn(spark, sf_dir):
+        """Files of the nested export -> partition-pruned scan -> flatten."""
+        from ..sources.events import flatten_events, read_events
+        cfg = pipe(spark, sf_dir).cfg.with_(has_privacy_info=True, **options)
+        return flatten_events(read_events(spark, export_files(spark, sf_dir), cfg), cfg).select(*READ_OUT)
+    return fn
+
+
+register("read_events")(_read_query(source_mode="auto"))
+register("read_events_params")(_read_query(source_mode="event_params"))
+register("read_events_last_click")(_read_query(source_mode="session_stslc"))
+register("read_events_collected")(_read_query(source_mode="collected"))
+register("read_events_not_modeled")(_read_query(source_mode="auto", exclude_modeled_events=True))
+register("read_events_unwidened")(_read_query(source_mode="auto", widen_scan=False))
+
+
+@register("channel_grouping_19")
+def q_channels_19(spark, sf_dir):
+    """Every event's traffic through the 19-way grouping."""
+    from ..functions.channels import channel_grouping_19
+    ev = pipe(spark, sf_dir).events.select(F.coalesce("medium", F.lit("(none)")).alias("medium"), F.coalesce("source", F.lit("(direct)")).alias("source"),
+                                           F.coalesce("campaign", F.lit("")).alias("campaign"))
+    return ev.groupBy("source", "medium", "campaign", channel_grouping_19("medium", "source", "campaign").alias("channel")).agg(
+        F.count(F.lit(1)).alias("events"))
+
+
+# ---- sinks -------------------------------------------------------------------------
+
+@register("write_table")
+def q_write_table(spark, sf_dir):
+    from ..streaming.incremental import write_table
+    path = _path(spark, "table")
+    write_table(pipe(spark, sf_dir).sessions, path, partition_by=["channel"])
+    return spark.read.parquet(path).select(*SESSION_OUT)
+
+
+@register("register_view")
+def q_register_view(spark, sf_dir):
+    from ..streaming.incremental import register_view
+    register_view(pipe(spark, sf_dir).conversions, "catalog_conversions")
+    return spark.sql(f"SELECT {', '.join(CONVERSION_OUT)} FROM catalog_conversions")
+
+
+@register("write_incremental")
+def q_write_incremental(spark, sf_dir):
+    """A table without revenue; then the days from 20 January are replaced."""
+    from ..streaming.incremental import write_incremental, write_table
+    path, c = _path(spark, "incremental"), pipe(spark, sf_dir).conversions.select(*CONVERSION_OUT)
+    write_table(c.withColumn("purchase_revenue", F.lit(None).cast("double")), path, partition_by=["event_date"])
+    write_incremental(c.where(F.col("event_date") >= "20240120"), path, "event_date")
+    return spark.read.parquet(path).select(*[F.col(x).cast("string").alias(x) if x == "event_date" else x for x in CONVERSION_OUT])
+
+
+def _refreshed(spark, sf_dir, table):
+    """Staging built without the events of k % 9 = 0, which then arrive late
+    for all days but the first three, and a refresh of the days they touch."""
+    from ..sources.fixtures import FLAT_EVENT_COLUMNS, fixture_base
+    from ..streaming.incremental import days_between, refresh_staging
+    out, cfg, base = _path(spark, "staging"), pipe(spark, sf_dir).cfg, fixture_base(spark, sf_dir)
+    late = (F.col("_k") % 9 == 0) & (F.col("event_date") >= "20240118")
+    refresh_staging(base.where(~late).select(*FLAT_EVENT_COLUMNS), cfg, out, days_between(cfg.scan_start_date, cfg.end_date))
+    refresh_staging(base.select(*FLAT_EVENT_COLUMNS), cfg, out, days_between("20240118", cfg.end_date))
+    return spark.read.parquet(f"{out}/{table}")
+
+
+@register("refresh_staging_sessions")
+def q_refresh_sessions(spark, sf_dir):
+    return _refreshed(spark, sf_dir, "stg_sessions").select(*SESSION_OUT)
+
+
+@register("refresh_staging_conversions")
+def q_refresh_conversions(spark, sf_dir):
+    c = _refreshed(spark, sf_dir, "stg_conversions")
+    return c.select(*[F.col(x).cast("string").alias(x) if x == "event_date" else x for x in CONVERSION_OUT])
 
 
 # ---- stand-alone staging -----------------------------------------------------------
@@ -271,10 +385,6 @@ def q_abandonment_events(spark, sf_dir):
 
 # ---- data quality -----------------------------------------------------------------------
 
-def _dq(fn):
-    return fn
-
-
 @register("dq_conversions_assertions")
 def q_dq_conv(spark, sf_dir):
     from ..operators.quality import CONVERSION_ASSERTIONS, assertion_failures
@@ -296,41 +406,34 @@ def q_dq_path_rows(spark, sf_dir):
 @register("dq_credit_sums")
 def q_dq_credit(spark, sf_dir):
     from ..operators.quality import dq_credit_sums
-    return dq_credit_sums(pipe(spark, sf_dir).rule_mart)
+    return dq_credit_sums(pipe(spark, sf_dir).mart)
 
 
 @register("dq_unknown_events")
 def q_dq_unknown(spark, sf_dir):
     from ..operators.quality import dq_unknown_events
     p = pipe(spark, sf_dir)
-    return dq_unknown_events(p.rule_mart, p.cfg)
+    return dq_unknown_events(p.mart, p.cfg)
 
 
 @register("dq_revenue_conservation")
 def q_dq_revenue(spark, sf_dir):
     from ..operators.quality import dq_revenue_conservation
     p = pipe(spark, sf_dir)
-    return dq_revenue_conservation(p.rule_mart, p.journeys, p.cfg)
+    return dq_revenue_conservation(p.mart, p.journeys, p.cfg)
 
 
 @register("dq_count_mode_null")
 def q_dq_count_null(spark, sf_dir):
     from ..operators.quality import dq_count_mode_null
     p = pipe(spark, sf_dir)
-    return dq_count_mode_null(p.rule_mart, p.cfg)
-
-
-@register("dq_fixed_mode")
-def q_dq_fixed(spark, sf_dir):
-    from ..operators.quality import dq_fixed_mode
-    p = pipe(spark, sf_dir)
-    return dq_fixed_mode(p.rule_mart, p.cfg)
+    return dq_count_mode_null(p.mart, p.cfg)
 
 
 @register("dq_channel_coverage")
 def q_dq_channels(spark, sf_dir):
     from ..operators.quality import dq_channel_coverage
-    return dq_channel_coverage(pipe(spark, sf_dir).rule_mart)
+    return dq_channel_coverage(pipe(spark, sf_dir).mart)
 
 
 @register("dq_session_dupes")
@@ -353,21 +456,124 @@ def q_dq_lnd_forms(spark, sf_dir):
     return lnd_forms_agree(p.model("last_non_direct_click"), last_non_direct_click_full_outer(p.path_rows, p.cfg))
 
 
+# the same checks over rows that break them, derived from the mart by user id
+
+FIXED_EVENTS = tuple(e if e.event != "add_to_cart" else ConversionEvent("add_to_cart", "fixed", None, 2.5, 7)
+                     for e in FIXTURE_CONFIG.conversion_events)
+
+
+def broken_mart(p: Pipeline) -> DataFrame:
+    """Users by last digit: 0 too much linear credit, 1 an unknown event, 2 a
+    value where the model counts, 4 an unknown channel, 5 lost revenue."""
+    digit, model = F.col("user_pseudo_id").cast("long") % 10, F.col("model")
+    return p.mart.withColumns({
+        "attributed_credit": F.when((digit == 0) & (model == "linear"), F.col("attributed_credit") + 0.25).otherwise(F.col("attributed_credit")),
+        "conversion_event": F.when((digit == 1) & (model == "last_click"), "mystery").otherwise(F.col("conversion_event")),
+        "attributed_value_usd": F.when((digit == 2) & (model == "u_shape"), 1.0).when((digit == 5) & (model == "first_click"), 0.0)
+        .otherwise(F.col("attributed_value_usd")),
+        "channel": F.when((digit == 4) & (model == "first_click"), "Nonsense").otherwise(F.col("channel")),
+    })
+
+
+def _broken(check):
+    def fn(spark, sf_dir):
+        from ..operators import quality
+        return check(quality, pipe(spark, sf_dir))
+    return fn
+
+
+def _doubled(df: DataFrame, digit: int) -> DataFrame:
+    return df.unionByName(df.where(F.col("user_pseudo_id").cast("long") % 10 == digit))
+
+
+def broken_conversions(p: Pipeline) -> DataFrame:
+    """Rows of digit 6 twice, of 7 with negative revenue, of 8 without a user."""
+    digit = F.col("user_pseudo_id").cast("long") % 10
+    c = _doubled(p.conversions, 6)
+    return c.withColumns({"purchase_revenue_in_usd": F.when(digit == 7, -1.0).otherwise(F.col("purchase_revenue_in_usd")),
+                          "user_pseudo_id": F.when(digit != 8, F.col("user_pseudo_id"))})
+
+
+for _name, _check in {
+    "dq_credit_sums_broken": lambda q, p: q.dq_credit_sums(broken_mart(p)),
+    "dq_unknown_events_broken": lambda q, p: q.dq_unknown_events(broken_mart(p), p.cfg),
+    "dq_revenue_conservation_broken": lambda q, p: q.dq_revenue_conservation(broken_mart(p), p.journeys, p.cfg),
+    "dq_count_mode_null_broken": lambda q, p: q.dq_count_mode_null(broken_mart(p), p.cfg),
+    "dq_channel_coverage_broken": lambda q, p: q.dq_channel_coverage(broken_mart(p)),
+    "dq_session_dupes_broken": lambda q, p: q.dq_session_dupes(_doubled(p.sessions, 4)),
+    "dq_journey_dupes_broken": lambda q, p: q.dq_journey_dupes(_doubled(p.journeys, 5)),
+    "dq_conversions_assertions_broken": lambda q, p: q.assertion_failures(broken_conversions(p), q.CONVERSION_ASSERTIONS),
+    "dq_not_null_broken": lambda q, p: q.dq_not_null(broken_conversions(p), ["user_pseudo_id", "conversion_ts"]).groupBy("null_column").agg(F.count(F.lit(1)).alias("rows")),
+    "dq_row_condition_broken": lambda q, p: q.dq_row_condition(broken_conversions(p), "purchase_revenue_in_usd >= 0").groupBy("conversion_event").agg(F.count(F.lit(1)).alias("rows")),
+    "dq_unique_broken": lambda q, p: q.dq_unique(broken_conversions(p), ["user_pseudo_id", "conversion_ts", "conversion_event", "transaction_id"]).agg(F.sum("dupes").alias("rows")),
+}.items():
+    register(_name)(_broken(_check))
+
+
+@register("value_fixed_mode")
+def q_value_fixed(spark, sf_dir):
+    """The linear model with add_to_cart worth a fixed 2.5 USD."""
+    from ..operators.models import single_model
+    p = pipe(spark, sf_dir)
+    return single_model(p.journeys, p.cfg.with_(conversion_events=FIXED_EVENTS), "linear")
+
+
+@register("dq_fixed_mode")
+def q_dq_fixed(spark, sf_dir):
+    """Fixed-mode rows against their constant; the broken credits show up."""
+    from ..operators.quality import dq_fixed_mode
+    p = pipe(spark, sf_dir)
+    cfg = p.cfg.with_(conversion_events=FIXED_EVENTS)
+    fixed = F.when(F.col("conversion_event") == "add_to_cart", 2.5 * F.col("attributed_credit")).otherwise(F.col("attributed_value_usd"))
+    mart = p.mart.withColumn("attributed_value_usd", fixed)
+    off = (F.col("user_pseudo_id").cast("long") % 10 == 9) & (F.col("model") == "time_decay")
+    return dq_fixed_mode(mart.withColumn("attributed_value_usd", F.when(off, F.col("attributed_value_usd") + 1).otherwise(F.col("attributed_value_usd"))), cfg)
+
+
 # ---- cost ----------------------------------------------------------------------------------
 
+def _cost_files(spark, sf_dir, fmt, *systems) -> dict[str, str]:
+    """The fixture cost of some platforms, written as files."""
+    from ..sources.cost import fixture_cost
+    out = {}
+    for x in systems:
+        out[x] = _path(spark, f"cost-{x}")
+        fixture_cost(spark, sf_dir).where(F.col("source_system") == x).drop("source_system").write.format(fmt).option("header", True).save(out[x])
+    return out
+
+
 @register("read_cost_google")
 def q_cost_google(spark, sf_dir):
-    return pipe(spark, sf_dir).cost_platforms[0]
+    from ..sources.cost import read_cost_google
+    return read_cost_google(spark, _cost_files(spark, sf_dir, "parquet", "google_ads")["google_ads"])
 
 
 @register("read_cost_meta")
 def q_cost_meta(spark, sf_dir):
-    return pipe(spark, sf_dir).cost_platforms[1]
+    from ..sources.cost import read_cost_meta
+    return read_cost_meta(spark, _cost_files(spark, sf_dir, "json", "meta_ads")["meta_ads"], fmt="json")
 
 
 @register("read_cost_other")
 def q_cost_other(spark, sf_dir):
-    return pipe(spark, sf_dir).cost_platforms[2]
+    from ..sources.cost import read_cost_other
+    files = _cost_files(spark, sf_dir, "csv", "tiktok", "linkedin")
+    # Spark's CSV writer leaves empty strings quoted, and reads them back as such
+    one = lambda x: read_cost_other(spark, files[x], "csv", {"header": "true", "emptyValue": ""}, x)
+    return one("tiktok").unionByName(one("linkedin"))
+
+
+@register("google_ads_channel_map")
+def q_google_channel_map(spark, sf_dir):
+    """Transfer rows derived from the events: a channel type by k, micros by value."""
+    from ..sources.cost import google_ads_cost
+    from ..sources.fixtures import fixture_base
+    types = F.array(*[F.lit(x) for x in ("SEARCH", "DISPLAY", "SHOPPING", "VIDEO", "PERFORMANCE_MAX", "HOTEL")])
+    raw = fixture_base(spark, sf_dir).groupBy(F.to_date("event_date", "yyyyMMdd").alias("date"), (F.col("_k") % 6).alias("t")).agg(
+        F.sum((F.col("_value") * 1000000).cast("long")).alias("cost_micros"), F.count(F.lit(1)).alias("impressions"), F.lit(0).cast("long").alias("clicks"))
+    raw = raw.select("date", F.get(types, F.col("t").cast("int")).alias("campaign_advertising_channel_type"),
+                     F.lit("c").alias("campaign_name"), "cost_micros", "impressions", "clicks")
+    return google_ads_cost(raw)
 
 
 @register("unified_cost")
@@ -377,7 +583,7 @@ def q_unified_cost(spark, sf_dir):
 
 @register("roas")
 def q_roas(spark, sf_dir):
-    return pipe(spark, sf_dir).roas_rule
+    return pipe(spark, sf_dir).roas
 
 
 @register("roas_with_data_driven")
@@ -395,19 +601,27 @@ def q_train_set(spark, sf_dir):
 @register("model_weights")
 def q_model_weights(spark, sf_dir):
     """Fitted coefficients (19 flags + intercept), largest |weight| first."""
-    p = pipe(spark, sf_dir)
-    return p.dd_model.weights_frame(spark)
+    return fitted(pipe(spark, sf_dir)).weights_frame(spark)
 
 
 @register("model_evaluate")
 def q_model_evaluate(spark, sf_dir):
     from ..operators.data_driven import model_evaluate
     p = pipe(spark, sf_dir)
-    return model_evaluate(p.train_compact, p.dd_model)
+    return model_evaluate(p.train_compact, fitted(p))
 
 
 @register("data_driven")
 def q_data_driven(spark, sf_dir):
+    """Scored with the model fitted on the training table, saved and loaded."""
+    from ..operators.data_driven import data_driven
+    p, path = pipe(spark, sf_dir), _path(spark, "model")
+    fitted(p).save(spark, path)
+    return data_driven(p.journeys, LogisticModel.load(spark, path), p.cfg).select(*MART_COLUMNS)
+
+
+@register("data_driven_stated")
+def q_data_driven_stated(spark, sf_dir):
     return pipe(spark, sf_dir).data_driven
 
 
@@ -463,16 +677,18 @@ def _bi(name, build):
 def _reg_bi():
     from ..operators import bi
 
-    _bi("model_summary", lambda s, d: bi.model_summary(pipe(s, d).rule_mart))
+    _bi("model_summary", lambda s, d: bi.model_summary(pipe(s, d).counted))
     _bi("channel_summary", lambda s, d: bi.channel_summary(pipe(s, d).cross_channel))
     _bi("top_paths", lambda s, d: bi.top_paths(pipe(s, d).path_analysis))
-    _bi("daily_revenue_by_model", lambda s, d: bi.daily_revenue_by_model(pipe(s, d).rule_mart))
-    _bi("path_length_revenue", lambda s, d: bi.path_length_revenue(pipe(s, d).rule_mart))
+    _bi("daily_revenue_by_model", lambda s, d: bi.daily_revenue_by_model(pipe(s, d).mart))
+    _bi("path_length_revenue", lambda s, d: bi.path_length_revenue(pipe(s, d).model("last_click")))
     _bi("longest_journeys", lambda s, d: bi.longest_journeys(pipe(s, d).journeys).select(*JOURNEY_OUT))
-    _bi("kpi_totals", lambda s, d: bi.kpi_totals(pipe(s, d).rule_mart))
-    _bi("aov", lambda s, d: bi.aov(pipe(s, d).rule_mart))
-    _bi("share_of_conversions", lambda s, d: bi.share_of_conversions(pipe(s, d).rule_mart))
-    _bi("channel_model_heatmap", lambda s, d: bi.channel_model_heatmap(pipe(s, d).rule_mart))
+    _bi("kpi_totals", lambda s, d: bi.kpi_totals(pipe(s, d).mart))
+    _bi("aov", lambda s, d: bi.aov(pipe(s, d).mart))
+    _bi("share_of_conversions", lambda s, d: bi.share_of_conversions(pipe(s, d).mart))
+    _bi("channel_model_heatmap", lambda s, d: bi.channel_model_heatmap(pipe(s, d).mart))
+    _bi("channel_model_heatmap_credit", lambda s, d: bi.channel_model_heatmap(pipe(s, d).mart, "credit"))
+    _bi("channel_model_heatmap_aov", lambda s, d: bi.channel_model_heatmap(pipe(s, d).mart, "aov"))
     _bi("path_length_histogram", lambda s, d: bi.path_length_histogram(pipe(s, d).journeys, bucket_from=10))
     _bi("revenue_by_path_length", lambda s, d: bi.revenue_by_path_length(pipe(s, d).journeys))
     _bi("device_breakdown", lambda s, d: bi.device_breakdown(pipe(s, d).journeys))
@@ -481,9 +697,9 @@ def _reg_bi():
     _bi("daily_users_by_channel", lambda s, d: bi.daily_users_by_channel(pipe(s, d).traffic))
     _bi("converting_users", lambda s, d: bi.converting_users(pipe(s, d).dashboard))
     _bi("conversion_rate_proxy", lambda s, d: bi.conversion_rate_proxy(pipe(s, d).traffic, pipe(s, d).dashboard))
-    _bi("model_delta_daily", lambda s, d: bi.model_delta_daily(pipe(s, d).rule_mart))
-    _bi("channel_share_per_model", lambda s, d: bi.channel_share_per_model(pipe(s, d).rule_mart))
-    _bi("wow_revenue_change", lambda s, d: bi.wow_revenue_change(pipe(s, d).rule_mart))
+    _bi("model_delta_daily", lambda s, d: bi.model_delta_daily(pipe(s, d).mart))
+    _bi("channel_share_per_model", lambda s, d: bi.channel_share_per_model(pipe(s, d).mart))
+    _bi("wow_revenue_change", lambda s, d: bi.wow_revenue_change(pipe(s, d).mart))
 
 
 _reg_bi()

@@ -1,4 +1,4 @@
-"""Join helpers: size-checked broadcast and the bucketed lookback range join."""
+"""Join helpers: the bucketed lookback range join and numbering without per-key tasks."""
 
 from __future__ import annotations
 
@@ -6,35 +6,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only if it provably has at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows (a cheap limit job). Past
-    the bound the DataFrame is returned unhinted, so the planner falls back to
-    a shuffle join instead of shipping an unbounded table to every executor.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def explode_buckets(lo_us, hi_us, bucket_us: int, name: str = "_bucket"):
-    """One row per time bucket overlapped by [lo_us, hi_us] (epoch micros)."""
+    """One row per time bucket overlapped by [lo_us, hi_us] (epoch micros).
+    There always is one; the outer form keeps the optimiser from pushing a
+    non-empty test below the caller's aggregates, where it would make
+    otherwise equal exchanges differ."""
     lo = F.floor(lo_us / F.lit(bucket_us))
     hi = F.floor(hi_us / F.lit(bucket_us))
-    return F.explode(F.sequence(lo.cast("long"), hi.cast("long"))).alias(name)
+    return F.explode_outer(F.sequence(lo.cast("long"), hi.cast("long"))).alias(name)
 
 
 def row_number_within(df: DataFrame, key: str, day, order_cols, name: str) -> DataFrame:
     """Exact ``row_number() OVER (PARTITION BY key ORDER BY order_cols)``
     without putting a whole key group in one task.
 
-    ``day`` (a Column or column name) must be monotone in ``order_cols``
-    (e.g. the day of the leading timestamp). Rows are numbered within
-    (key, day); each (key, day) is then offset by the row counts of the key's
-    earlier days, taken from a per-(key, day) count table whose window runs
-    over at most one row per active day. A key with a third of all rows is
-    thus split over its days; both shuffles of the fact rows are by
-    (key, day), and the count table is small.
+    ``day`` (a Column or column name) is a time bucket, monotone in
+    ``order_cols`` (e.g. the minute of the leading timestamp). Rows are
+    numbered within (key, bucket); each bucket is then offset by the row
+    counts of the key's earlier buckets, taken from a count table whose
+    window runs over at most one row per active bucket. A key with a third of
+    all rows is thus split over its buckets. ``df`` is read twice: hand in a
+    stored one if it is expensive.
     """
     from pyspark.sql import Window
 

@@ -1,13 +1,14 @@
 """The attribution pipeline as lazily composed DataFrames.
 
-``Pipeline`` wires the staging -> intermediate -> model -> mart layers as one
-lazy logical plan per output. Each layer is built once per Pipeline object
-(``cached_property``), so outputs that share a layer share the same logical
-sub-plan and Spark can reuse its exchanges. Nothing is collected.
-
-Materialisation is explicit: :meth:`materialize` writes a layer to parquet
-under the session's shared checkpoint folder and re-reads it, cutting lineage
-so later jobs survive executor loss without recomputing from raw events.
+``Pipeline`` wires the staging -> intermediate -> model -> mart layers. Each
+layer is built once per Pipeline object (``cached_property``); nothing is
+collected and nothing is kept in executors' memory.
+
+Layers that are read more than once (matched journeys before numbering, the
+single-touch timeline, stand-alone journeys) are written to the session's
+shared checkpoint folder when first used and read back: computed once, lineage
+cut, safe when executors are lost. :meth:`materialize` does the same for any
+other layer, :meth:`cleanup` deletes what this pipeline has written.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..config import FIXTURE_CONFIG, AttributionConfig
 from ..operators import conversions as conv_ops
@@ -25,10 +27,11 @@ from ..operators import journeys as journey_ops
 from ..operators import models as model_ops
 from ..operators import reports as report_ops
 from ..operators import sessions as session_ops
+from ..operators import single_touch as single_ops
 from ..sources.cost import fixture_cost_by_platform
 from ..sources.events import filter_event_dates, flatten_events, read_events
 from ..sources.fixtures import fixture_events
-from .session import shared_dir
+from .session import delete_path, shared_dir, stored
 
 # Stand-alone scripts run over the whole fixture month.
 STANDALONE_FIXTURE_CONFIG = AttributionConfig(start_date="20240101", end_date="20240131").standalone()
@@ -71,21 +74,22 @@ class Pipeline:
 
     @cached_property
     def conversions(self) -> DataFrame:
-        """Deduplicated conversions. The journeys read them twice (exploded
-        keys, payload join-back) with different column sets, so the filtered
-        conversion scan and dedup run twice per journeys query; caching them
-        measured slower than the repeat at these sizes, and a production run
-        materialises the layer once (``materialize("conversions")``)."""
         return conv_ops.conversions(self.scanned, self.cfg)
 
     # -- intermediate ------------------------------------------------------
     @cached_property
     def journeys(self) -> DataFrame:
-        return journey_ops.journeys(self.sessions, self.conversions, self.cfg)
+        """Journeys with the path fields that models and reports read."""
+        return journey_ops.journeys(self.sessions, self.conversions, self.cfg, journey_ops.MODEL_FIELDS, self._store("matched"))
+
+    @cached_property
+    def journeys_full(self) -> DataFrame:
+        """Journeys whose path carries all 26 session fields."""
+        return journey_ops.journeys(self.sessions, self.conversions, self.cfg, store=self._store("matched_full"))
 
     @cached_property
     def path_rows(self) -> DataFrame:
-        return journey_ops.path_rows(self.journeys)
+        return journey_ops.path_rows(self.journeys_full)
 
     # -- models ------------------------------------------------------------
     @cached_property
@@ -94,8 +98,15 @@ class Pipeline:
         return model_ops.attribution_mart(self.journeys, self.cfg)
 
     def model(self, name: str) -> DataFrame:
+        """One model's rows; the single-touch ones without any path."""
+        if name in single_ops.SINGLE_TOUCH_MODELS:
+            return self.single_touch.where(F.col("model") == name)
         return model_ops.single_model(self.journeys, self.cfg, name)
 
+    @cached_property
+    def single_touch(self) -> DataFrame:
+        return single_ops.single_touch(self.sessions, self.conversions, self.cfg, store=self._store("single"))
+
     # -- data-driven model --------------------------------------------------
     @cached_property
     def train_set(self) -> DataFrame:
@@ -107,26 +118,36 @@ class Pipeline:
 
     @cached_property
     def dd_model(self) -> dd_ops.LogisticModel:
-        """Fitted once per pipeline (an action: iterative optimiser)."""
+        """Fitted once per pipeline (an action: iterative optimiser). Set it to
+        a loaded model (``LogisticModel.load``) to score without fitting."""
         return dd_ops.train_model(self.train_compact)
 
     @cached_property
-    def data_driven(self) -> DataFrame:
+    def _data_driven(self) -> DataFrame:
         return dd_ops.data_driven(self.journeys, self.dd_model, self.cfg)
 
+    @cached_property
+    def data_driven(self) -> DataFrame:
+        return self._data_driven.select(*model_ops.MART_COLUMNS)
+
+    @cached_property
+    def counted(self) -> DataFrame:
+        """All eight models with the count columns that reports sum."""
+        return model_ops.counted_mart(self.journeys, self.cfg, self._data_driven)
+
     @cached_property
     def mart(self) -> DataFrame:
         """All eight models (seven rule-based + data-driven)."""
-        return model_ops.attribution_mart(self.journeys, self.cfg, self.data_driven)
+        return self.counted.select(*model_ops.MART_COLUMNS)
 
     # -- marts and reports ---------------------------------------------------
     @cached_property
     def cross_channel(self) -> DataFrame:
-        return report_ops.cross_channel(self.rule_mart, self.cfg)
+        return report_ops.cross_channel(self.counted, self.cfg)
 
     @cached_property
     def dashboard(self) -> DataFrame:
-        return report_ops.attribution_dashboard(self.rule_mart, self.cfg)
+        return report_ops.attribution_dashboard(self.mart, self.cfg)
 
     @cached_property
     def traffic(self) -> DataFrame:
@@ -160,15 +181,9 @@ class Pipeline:
             raise ValueError("no cost inputs: set Pipeline.cost_platforms = (google, meta, other)")
         return cost_ops.unified_cost(*self.cost_platforms)
 
-    @cached_property
-    def roas_rule(self) -> DataFrame:
-        """ROAS over the seven rule models (no marginal value without the
-        data-driven model)."""
-        return cost_ops.roas(self.rule_mart, self.unified_cost, self.cfg)
-
     @cached_property
     def roas(self) -> DataFrame:
-        return cost_ops.roas(self.mart, self.unified_cost, self.cfg)
+        return cost_ops.roas(self.counted, self.unified_cost, self.cfg)
 
     # -- stand-alone layer -------------------------------------------------
     @cached_property
@@ -185,7 +200,8 @@ class Pipeline:
 
     @cached_property
     def sa_journeys(self) -> DataFrame:
-        return journey_ops.journeys_exact30(self.sa_sessions, self.sa_conversions, self.sa_cfg)
+        return self._store("sa_journeys")(journey_ops.journeys_exact30(
+            self.sa_sessions, self._store("sa_conversions")(self.sa_conversions), self.sa_cfg))
 
     @cached_property
     def sa_path_rows(self) -> DataFrame:
@@ -199,24 +215,24 @@ class Pipeline:
     def sa_model(self) -> dd_ops.LogisticModel:
         return dd_ops.train_model_legacy(self.sa_features)
 
-    def release(self) -> None:
-        """Unpersist the intermediate frames the layers cached (the journeys'
-        pre-numbering join)."""
-        for name in ("journeys", "sa_journeys"):
-            df = self.__dict__.get(name)
-            for c in getattr(df, "cached_inputs", []) if df is not None else []:
-                c.unpersist()
-
     # -- materialisation ---------------------------------------------------
-    def materialize(self, name: str, mode: str = "overwrite") -> DataFrame:
-        """Write layer ``name`` to parquet in the shared checkpoint folder and
-        replace it by the re-read table (lineage cut, executor-loss safe).
-        Materialise a layer before reading the layers built on it."""
-        df = getattr(self, name)
-        path = f"{shared_dir(self.spark)}/layers/{self.run_id}/{name}"
-        df.write.mode(mode).parquet(path)
-        out = self.spark.read.parquet(path)
-        for c in getattr(df, "cached_inputs", []):
-            c.unpersist()  # the written table replaces the cached intermediate
+    @property
+    def _layers(self) -> str:
+        return f"{shared_dir(self.spark)}/layers/{self.run_id}"
+
+    def _store(self, name: str):
+        """A function that stores each frame given to it as its own layer."""
+        done = iter(range(1 << 30))
+        return lambda df: stored(df, f"{self._layers}/{name}-{next(done)}")
+
+    def materialize(self, name: str) -> DataFrame:
+        """Write layer ``name`` to the shared checkpoint folder and replace it
+        by the re-read table. Materialise a layer before reading the layers
+        built on it."""
+        out = stored(getattr(self, name), f"{self._layers}/{name}")
         self.__dict__[name] = out
         return out
+
+    def cleanup(self) -> None:
+        """Delete the layers of this pipeline; its frames can't be read after."""
+        delete_path(self.spark, self._layers)

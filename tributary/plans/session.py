@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that matter for this workload on any cluster size.
 DEFAULT_CONF = {
@@ -48,20 +47,28 @@ def build_session(master: str | None = None, app: str = "tributary", shuffle_par
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    Read from the session; only when it is unset (local runs, tests) a
-    private temporary folder is created and registered.
+    Read from the session. Where it is unset, a local master (one machine)
+    gets a temporary folder; a cluster gets an error, because its executors
+    share no local disk.
     """
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if d:
         return d.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     d = tempfile.mkdtemp(prefix="tributary-ckpt-")
     spark.sparkContext.setCheckpointDir(d)
     return spark.sparkContext.getCheckpointDir() or d
 
 
-def is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+def stored(df: DataFrame, path: str) -> DataFrame:
+    """Write ``df`` under the shared folder and read it back: computed once,
+    lineage cut, safe when executors are lost."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def cpu_count() -> int:
-    return int(os.environ.get("BENCH_CPUS", os.cpu_count() or 8))
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder through Spark's file system API (any store)."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)

@@ -100,15 +100,25 @@ def privacy_passthrough(schema: T.StructType, cfg: AttributionConfig) -> list[Co
 
 
 def modeled_events_filter(df: DataFrame, cfg: AttributionConfig) -> DataFrame:
-    """Drop consent-modelled events when ``exclude_modeled_events``."""
+    """Drop consent-modelled events of a flat table when ``exclude_modeled_events``."""
     if not cfg.exclude_modeled_events:
         return df
     return df.where(F.coalesce(F.col("privacy_uses_transient_token"), F.lit("No")) != "Yes")
 
 
+def modeled_raw_filter(df: DataFrame, cfg: AttributionConfig) -> DataFrame:
+    """The same on the nested export. It reads the raw field whether or not
+    the privacy columns are carried along, and needs it to be there."""
+    if not cfg.exclude_modeled_events:
+        return df
+    _require(df.schema, "privacy_info.uses_transient_token", "exclude_modeled_events=True")
+    return df.where(F.coalesce(F.col("privacy_info.uses_transient_token").cast("string"), F.lit("No")) != "Yes")
+
+
 def flatten_events(df: DataFrame, cfg: AttributionConfig) -> DataFrame:
     """Nested export -> flat events (one row per event, same grain)."""
     sch = df.schema
+    df = modeled_raw_filter(df, cfg)
     eco = lambda f, t: _field(sch, f"ecommerce.{f}", t)
     cols = [
         F.col("event_date").cast("string").alias("event_date"),
@@ -144,7 +154,7 @@ def flatten_events(df: DataFrame, cfg: AttributionConfig) -> DataFrame:
         event_param("value", "float").alias("event_value"),
         event_param("currency", "string").alias("event_currency"),
         event_param("quantity", "int").alias("event_quantity"),
+        *[_field(sch, f"session_traffic_source_last_click.cross_channel_campaign.{f}").alias(f"last_click_{n}")
+          for n, f in (("source", "source"), ("medium", "medium"), ("campaign", "campaign_name"))],
     ]
-    # the modelled-events filter is applied by the staging operators, which
-    # see the same flat columns whether the input was nested or flat
     return df.select(*cols).select(*FLAT_EVENT_COLUMNS)

@@ -14,9 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import MICROS_PER_DAY
-from ..plans.joins import bounded_broadcast
 
-# --- fixed values (fixture traffic lookup, FIXTURES.md §3, rows 0..23) ---------
+# --- fixed values (fixture traffic lookup, FIXTURES.md §3, rows 0..25) ---------
 TRAFFIC_ROWS = (
     (None, None, None),
     ("google", "cpc", "yourbrand_search"),
@@ -42,6 +41,8 @@ TRAFFIC_ROWS = (
     ("youtube", "cpm", "bumper"),
     ("google", "CPC", "upper"),
     ("x", "social", None),
+    ("google", "cpc", "Performance Max - UK"),
+    ("google", "cpc", "Demand Gen Q1"),
 )
 # event_type -> event_name; 'error' splits three ways on k % 3.
 EVENT_NAME_MAP = (
@@ -51,7 +52,14 @@ EVENT_NAME_MAP = (
     ("purchase", "purchase"),
 )
 ERROR_EVENT_NAMES = ("add_shipping_info", "add_payment_info", "session_start")
+# Users with user_id % 7 = 3 never convert: their events are views and session starts.
+BROWSER_MODULUS, BROWSER_REMAINDER = 7, 3
+# The property's days start at 05:00 UTC, so event_date differs from the UTC day.
+PROPERTY_OFFSET_HOURS = 5
 DEVICE_CATEGORIES = ("desktop", "mobile", "tablet")
+# Click ids of the nested fixture: present where k is a multiple of n.
+CLICK_IDS = (("gclid", 6), ("dclid", 10), ("srsltid", 14), ("msclkid", 15), ("fbclid", 21), ("ttclid", 22),
+             ("twclid", 26), ("li_fat_id", 33))
 FIXTURE_PLATFORM = "WEB"
 FIXTURE_CURRENCY = "USD"
 # ------------------------------------------------------------------------------
@@ -81,19 +89,11 @@ FLAT_EVENT_SCHEMA = [
     ("total_item_quantity", "bigint"), ("shipping_value", "double"), ("tax_value", "double"),
     ("refund_value", "double"), ("unique_items", "bigint"), ("items", ITEM_TYPE.simpleString()),
     ("event_value", "double"), ("event_currency", "string"), ("event_quantity", "bigint"),
+    ("last_click_source", "string"), ("last_click_medium", "string"), ("last_click_campaign", "string"),
 ]
 FLAT_EVENT_COLUMNS = [c for c, _ in FLAT_EVENT_SCHEMA]
 
 
-def spread_small_input(df: DataFrame) -> DataFrame:
-    """A single small file scans as one task; spread it over the available
-    cores (round-robin) so the narrow mapping and map-side aggregation run in
-    parallel. A no-op whenever the scan already has enough partitions, as any
-    real multi-file export does."""
-    target = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
-
-
 def _lookup(values, idx: Column) -> Column:
     """values[idx] (0-based) for a short literal list, evaluated in-row."""
     return F.element_at(F.array(*[F.lit(v).cast("string") for v in values]), (idx + 1).cast("int"))
@@ -112,7 +112,7 @@ def fixture_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fixture_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flat events plus the (copy-adjusted) raw ``_value`` of every event."""
-    ev = spread_small_input(spark.read.parquet(f"{sf_dir}/events.parquet"))
+    ev = spark.read.parquet(f"{sf_dir}/events.parquet")
     nation = spark.read.parquet(f"{sf_dir}/nation.parquet").select(
         F.col("n_nationkey").cast("long").alias("_nk"), F.col("n_name").alias("country"))
 
@@ -130,16 +130,20 @@ def fixture_base(spark: SparkSession, sf_dir: str) -> DataFrame:
         us.alias("event_timestamp"), F.inline(pairs),
     )
     value = F.when((F.col("_copy") == 1) & (F.col("value") >= 1), F.col("value") - 1).otherwise(F.col("value"))
-    is_purchase = F.col("event_type") == "purchase"
-    t = F.col("_k") % 24
+    browser = F.col("user_id") % BROWSER_MODULUS == BROWSER_REMAINDER
+    is_purchase = (F.col("event_type") == "purchase") & ~browser
+    t = F.col("_k") % len(TRAFFIC_ROWS)
     name = None
     for et, en in EVENT_NAME_MAP:
         name = F.when(F.col("event_type") == et, en) if name is None else name.when(F.col("event_type") == et, en)
     name = name.when(F.col("event_type") == "error", _lookup(ERROR_EVENT_NAMES, F.col("_k") % 3))
+    name = F.when(browser, F.when(F.col("event_type") == "error", "session_start").otherwise("view_item")).otherwise(name)
+    # the last-click struct: the next row of the lookup, absent for every fourth k
+    lc = F.when(F.col("_k") % 4 != 0, (F.col("_k") + 1) % len(TRAFFIC_ROWS))
 
     s = lambda dtype: F.lit(None).cast(dtype)
     flat = base.select(
-        F.date_format(F.col("ts"), "yyyyMMdd").alias("event_date"),
+        F.date_format(F.col("ts") - F.expr(f"INTERVAL {PROPERTY_OFFSET_HOURS} HOURS"), "yyyyMMdd").alias("event_date"),
         F.col("event_timestamp"),
         name.alias("event_name"),
         F.col("user_id").cast("string").alias("user_pseudo_id"),
@@ -172,21 +176,35 @@ def fixture_base(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(is_purchase, value).alias("event_value"),
         F.when(is_purchase, F.lit(FIXTURE_CURRENCY)).alias("event_currency"),
         s("bigint").alias("event_quantity"),
+        *[_lookup([r[i] for r in TRAFFIC_ROWS], lc).alias(f"last_click_{n}")
+          for i, n in enumerate(("source", "medium", "campaign"))],
+        F.col("_k").alias("_k"),
         value.alias("_value"),
     )
-    # nation is a 25-row dimension; broadcast only behind a row-count check.
-    out = flat.join(bounded_broadcast(nation, max_rows=100_000), on="_nk", how="left")
-    return out.select(*FLAT_EVENT_COLUMNS, "_value")
+    # a 25-row dimension: Spark broadcasts it by its file size
+    out = flat.join(nation, on="_nk", how="left")
+    return out.select(*FLAT_EVENT_COLUMNS, "_value", "_k")
 
 
 def fixture_events_nested(spark: SparkSession, sf_dir: str, modern: bool = True) -> DataFrame:
     """The same rows in the nested export schema (FIXTURES.md §1).
 
     ``modern=True`` adds the optional ``session_traffic_source_last_click``,
-    ``collected_traffic_source`` and ``privacy_info`` structs, filled with
-    the same traffic values so every source mode resolves identically.
+    ``collected_traffic_source`` and ``privacy_info`` structs. The traffic
+    structs hold other rows of the lookup than the params (the next one, the
+    one after it), so the source modes resolve differently; click ids, page
+    context and consent are derived from k (FIXTURES.md §1).
     """
-    flat = fixture_events(spark, sf_dir)
+    base = fixture_base(spark, sf_dir)
+    k = F.col("_k")
+    text = lambda name, n: F.when(k % n == 0, F.concat(F.lit(f"{name}-"), k.cast("string")))
+    flat = base.withColumns({c: text(c, n) for c, n in CLICK_IDS} | {
+        "page_location": F.concat(F.lit("https://shop.example/p/"), k.cast("string")),
+        "privacy_analytics_storage": F.when(k % 3 == 0, "Yes").otherwise("No"),
+        "privacy_ads_storage": F.when(k % 5 == 0, "Yes"),
+        "privacy_uses_transient_token": F.when(k % 10 == 9, "Yes").when(k % 10 == 8, "No")})
+    collected = F.when(k % 5 != 0, (k + 2) % len(TRAFFIC_ROWS))
+    coll = [_lookup([r[i] for r in TRAFFIC_ROWS], collected) for i in range(3)]
 
     def param(key, kind, c):
         return F.struct(F.lit(key).alias("key"), F.struct(
@@ -221,13 +239,14 @@ def fixture_events_nested(spark: SparkSession, sf_dir: str, modern: bool = True)
     ]
     if modern:
         cols += [
-            F.struct(F.struct(F.col("source").alias("source"), F.col("medium").alias("medium"),
-                              F.col("campaign").alias("campaign_name"), F.col("content").alias("content"),
+            F.struct(F.struct(F.col("last_click_source").alias("source"), F.col("last_click_medium").alias("medium"),
+                              F.col("last_click_campaign").alias("campaign_name"), F.col("content").alias("content"),
                               F.col("term").alias("term")).alias("cross_channel_campaign"))
             .alias("session_traffic_source_last_click"),
-            F.struct(F.col("source").alias("manual_source"), F.col("medium").alias("manual_medium"),
-                     F.col("campaign").alias("manual_campaign_name"), F.col("content").alias("manual_content"),
-                     F.col("term").alias("manual_term"), "gclid", "dclid", "srsltid")
+            F.struct(coll[0].alias("manual_source"), coll[1].alias("manual_medium"),
+                     coll[2].alias("manual_campaign_name"), F.col("content").alias("manual_content"),
+                     F.col("term").alias("manual_term"),
+                     *[F.concat(F.lit("c-"), F.col(c)).alias(c) for c in ("gclid", "dclid", "srsltid")])
             .alias("collected_traffic_source"),
             F.struct(F.col("privacy_analytics_storage").alias("analytics_storage"),
                      F.col("privacy_ads_storage").alias("ads_storage"),

@@ -1,12 +1,11 @@
-"""Table sinks: full refresh, trailing-window incremental refresh, and a
-Structured Streaming driver that applies the incremental refresh as new
-event partitions land.
-
-The staging tables are partitioned by date, and an incremental run
-overwrites only the partitions it recomputes (dynamic partition overwrite);
-a re-run of the same window is idempotent. The streaming driver tracks which
-input files were processed in its checkpoint (exactly-once file source) and,
-per micro-batch, refreshes the dates the batch touched.
+"""Table sinks: full refresh, incremental refresh of given days, and a
+Structured Streaming driver that applies it as new event partitions land.
+
+Staging tables are partitioned by day. A refresh replaces whole days: it
+recomputes every session that a touched day holds an event of, finds all days
+where such a session stood or will stand, and overwrites exactly these
+partitions, deleting those left without rows. A rerun changes nothing. Only
+lists of days reach the driver.
 """
 
 from __future__ import annotations
@@ -18,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..config import AttributionConfig
 from ..functions.util import utc_date
+from ..plans.session import delete_path
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by: list[str] | None = None,
@@ -35,56 +35,92 @@ def register_view(df: DataFrame, name: str) -> DataFrame:
     return df
 
 
-def write_incremental(df: DataFrame, path: str, partition_col: str, fmt: str = "parquet") -> None:
+def write_incremental(df: DataFrame, path: str, partition_col: str, fmt: str = "parquet", values: list | None = None) -> None:
     """Overwrite only the partitions present in ``df`` (dynamic partition
-    overwrite); other partitions of the table are left untouched."""
+    overwrite); other partitions of the table are left untouched. With
+    ``values`` these partitions are replaced: rows of others are not written,
+    and a partition of the list without rows is deleted."""
+    if values is not None:
+        df = df.where(F.col(partition_col).cast("string").isin(*map(str, values)))
     (df.write.mode("overwrite").format(fmt).option("partitionOverwriteMode", "dynamic")
        .partitionBy(partition_col).save(path))
+    if values is not None:
+        left = {str(r[0]) for r in df.select(partition_col).distinct().collect()}
+        for v in {str(v) for v in values} - left:
+            delete_path(df.sparkSession, f"{path}/{partition_col}={v}")
 
 
-def trailing_config(cfg: AttributionConfig, days: int = 3) -> AttributionConfig:
-    """Same run, restricted to the trailing ``days`` ending at ``cfg.end_date``."""
-    end = datetime.strptime(cfg.end_date, "%Y%m%d")
-    start = max(end - timedelta(days=days - 1), datetime.strptime(cfg.start_date, "%Y%m%d"))
-    return cfg.with_(start_date=start.strftime("%Y%m%d"))
+def _day(s: str) -> datetime:
+    return datetime.strptime(s, "%Y%m%d")
+
+
+def days_between(first: str, last: str) -> list[str]:
+    n = (_day(last) - _day(first)).days
+    return [(_day(first) + timedelta(days=i)).strftime("%Y%m%d") for i in range(n + 1)]
+
+
+def trailing_days(cfg: AttributionConfig, days: int = 3) -> list[str]:
+    """The last ``days`` days of the run, ``cfg.end_date`` included."""
+    first = max(_day(cfg.end_date) - timedelta(days=days - 1), _day(cfg.start_date))
+    return days_between(first.strftime("%Y%m%d"), cfg.end_date)
+
+
+def whole_days(cfg: AttributionConfig) -> AttributionConfig:
+    """Time bounds a day wider than the run on either side: rows are chosen by
+    ``event_date``, whose days need not be UTC days."""
+    first, last = _day(cfg.start_date) - timedelta(days=1), _day(cfg.end_date) + timedelta(days=1)
+    return cfg.with_(start_date=first.strftime("%Y%m%d"), end_date=last.strftime("%Y%m%d"), end_inclusive=True)
 
 
 def staging_tables(events_flat: DataFrame, cfg: AttributionConfig) -> dict[str, DataFrame]:
-    """Sessions and conversions with their date partition column."""
+    """Sessions and conversions of whole days, with their date partition column."""
     from ..operators.conversions import conversions
     from ..operators.sessions import sessions
     from ..sources.events import filter_event_dates
-    ev = filter_event_dates(events_flat, cfg)
+    scan, wide = filter_event_dates(events_flat, cfg), whole_days(cfg)
     return {
-        "stg_sessions": sessions(ev, cfg).withColumn("session_date", utc_date("session_start")),
-        "stg_conversions": conversions(ev, cfg),
+        "stg_sessions": sessions(scan, wide).withColumn("session_date", utc_date("session_start")),
+        "stg_conversions": conversions(scan.where(F.col("event_date").between(cfg.start_date, cfg.end_date)), wide),
     }
 
 
-def refresh_staging(events_flat: DataFrame, cfg: AttributionConfig, out_dir: str, trailing_days: int | None = 3) -> None:
-    """Recompute the staging tables for the trailing window and overwrite
-    just those date partitions (``trailing_days=None``: full window).
+def _exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
 
-    Sessions of the window are complete only if the scan reaches back to the
-    start of the window, which the config's widened scan guarantees."""
-    run_cfg = trailing_config(cfg, trailing_days) if trailing_days else cfg
-    t = staging_tables(events_flat, run_cfg)
-    lo = run_cfg.start
-    # sessions before the window start are read (lookback) but not rewritten
-    sess = t["stg_sessions"].where(F.col("session_date") >= F.lit(lo))
-    write_incremental(sess, f"{out_dir}/stg_sessions", "session_date")
-    write_incremental(t["stg_conversions"], f"{out_dir}/stg_conversions", "event_date")
+def refresh_staging(events_flat: DataFrame, cfg: AttributionConfig, out_dir: str, dates: list[str] | None = None) -> None:
+    """Bring the staging tables up to date for ``dates`` (event dates,
+    YYYYMMDD; default: the trailing three days).
+
+    Conversions of these dates are replaced. Sessions with an event on one of
+    them are touched: every session day that they held in the stored table or
+    hold now is recomputed from the scan and replaced."""
+    dates = trailing_days(cfg) if dates is None else sorted({d for d in map(str, dates) if cfg.scan_start_date <= d <= cfg.end_date})
+    if not dates:
+        return
+    spark, sessions_path = events_flat.sparkSession, f"{out_dir}/stg_sessions"
+    t = staging_tables(events_flat, cfg)
+    key = ["user_pseudo_id", "session_id"]
+    touched = events_flat.where(F.col("event_date").isin(*dates) & F.col("session_id").isNotNull()).select(*key).distinct()
+    stand = t["stg_sessions"].join(touched, key, "left_semi").select(F.col("session_date").cast("string"))
+    if _exists(spark, sessions_path):
+        old = spark.read.parquet(sessions_path)
+        stand = stand.union(old.join(touched, key, "left_semi").select(F.col("session_date").cast("string")))
+    days = sorted(r[0] for r in stand.distinct().collect())
+    if days:
+        write_incremental(t["stg_sessions"], sessions_path, "session_date", values=days)
+    write_incremental(t["stg_conversions"], f"{out_dir}/stg_conversions", "event_date", values=dates)
 
 
 def incremental_stream(spark: SparkSession, source_path: str, schema, out_dir: str, cfg: AttributionConfig,
                        checkpoint_location: str, flatten=None, trigger_once: bool = True):
     """Stream new event files from ``source_path`` and, per micro-batch,
-    refresh the staging partitions of the dates the batch touched.
-
-    ``flatten`` maps the raw export rows to flat events (default: nested
-    export flattener). Only the distinct dates of a batch reach the driver
-    (bounded by the number of days in it). The refresh reads the batch's
-    date range back from the full source so sessions see their whole day.
+    refresh the staging tables for the dates that the batch touched (and only
+    those). ``flatten`` maps the raw export rows to flat events (default:
+    nested export flattener). The file source's checkpoint remembers which
+    files are done; the refresh reads the full source, so late events of an
+    old day see their whole sessions.
     """
     from ..sources.events import flatten_events
     flatten = flatten or (lambda df: flatten_events(df, cfg))
@@ -92,11 +128,8 @@ def incremental_stream(spark: SparkSession, source_path: str, schema, out_dir: s
     def refresh(batch: DataFrame, batch_id: int) -> None:
         # partition discovery may type event_date as an integer: normalise
         days = [str(r[0]) for r in batch.select("event_date").distinct().collect()]
-        if not days:
-            return
-        run_cfg = cfg.with_(start_date=min(days), end_date=max(days), end_inclusive=True)
-        full = flatten(spark.read.schema(schema).parquet(source_path))
-        refresh_staging(full, run_cfg, out_dir, trailing_days=None)
+        if days:
+            refresh_staging(flatten(spark.read.schema(schema).parquet(source_path)), cfg, out_dir, days)
 
     stream = spark.readStream.schema(schema).parquet(source_path)
     w = stream.writeStream.foreachBatch(refresh).option("checkpointLocation", checkpoint_location)
