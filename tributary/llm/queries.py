@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tributary.llm import bpe, graph_dedup, host_rules, language_id, mixing, quote_linking, simhash, substring_dedup, suffix_dedup, token_counts
+from tributary.llm.oracles import ORACLES
+
+__all__ = ["ORACLES", "QUERIES"]
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,7 +50,7 @@ def op8_quote_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return host_rules.host_rules(_table(spark, sf_dir, "documents"))
+    return host_rules.host_rules(_table(spark, sf_dir, "documents")).drop("host_rate")
 
 
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,5 +59,3 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_suffix_dedup, op3_token_counts, op4_language_id, op5_bpe_round_trip, op6_graph_dedup, op7_mixing, op8_quote_linking,
                                    op9_host_rules, op10_simhash)}
-
-ORACLES: dict[str, str] = {}
