@@ -36,7 +36,7 @@ def con():
     return c
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(set(E.oracle_sql()) - set(E.LLM_ORACLES)))
 def test_query_matches_oracle(spark, con, name):
     sdf = E.queries()[name](spark, SF_SMALL)
     srows = [tuple(r) for r in sdf.collect()]
@@ -55,5 +55,7 @@ def test_entry_smoke(spark):
 
 def test_every_query_runs_and_has_stable_schema(spark):
     for name, fn in E.queries().items():
+        if name in E.LLM_QUERIES:  # held in tests/llm
+            continue
         a = fn(spark, SF_SMALL).schema
         assert a == fn(spark, SF_SMALL).schema, name
