@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +15,20 @@ from pyspark.sql import DataFrame, SparkSession
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors' Python workers, once per Spark
+    context, so that they can import it wherever they run."""
+    sc = spark.sparkContext
+    if not getattr(sc, "_tributary_shipped", False):
+        package = Path(__file__).resolve().parents[1]
+        archive = f"{tempfile.mkdtemp(prefix='tributary-ship-')}/tributary-package.zip"
+        with zipfile.ZipFile(archive, "w") as z:
+            for f in sorted(package.rglob("*.py")):
+                z.write(f, f.relative_to(package.parent))
+        sc.addPyFile(archive)
+        sc._tributary_shipped = True
+
+
 def shared_dir(spark: SparkSession) -> str:
     """``spark.checkpoint.dir``. Unset on a local master (tests): a temporary
     folder; unset on a cluster: an error, since executors share no local disk."""

@@ -4,8 +4,8 @@ Distinct vectors of a label go to the shards of their ``overlap`` nearest
 clusters. Every block of a shard gets a graph: each vector's nearest ones,
 pruned so that no edge stands in for a shorter way (robust prune). Adjacency
 lists of a vector from all its shards are united. Then each vector searches
-the blocks of its shards: greedily with a beam from the medoid, and from what
-lies in range on to all that is in range. Links are verified in double
+the blocks of its shards: greedily with a beam from the medoids of the graph's
+connected parts, and from what lies in range on to all that is in range. Links are verified in double
 precision, and the recall is audited by brute force for a bounded sample of
 vectors; if it is too low, the clusters overlap more.
 
@@ -100,20 +100,43 @@ def united(graph: np.ndarray, lists: np.ndarray) -> np.ndarray:
     return out
 
 
-def range_search(graph: np.ndarray, x: np.ndarray, queries: np.ndarray, floor: float, beam: int) -> tuple[np.ndarray, np.ndarray]:
+def medoids(graph: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """The medoid of each connected part of the graph: a dense group whose
+    nearest ones are all its own has no way in from outside."""
+    at, slot = np.nonzero(graph >= 0)
+    node, low = spanning(at, graph[at, slot])
+    part = np.arange(len(x))
+    part[node] = low
+    _, part = np.unique(part, return_inverse=True)
+    mean = np.zeros((part.max() + 1, x.shape[1]))
+    np.add.at(mean, part, x)
+    score = np.einsum("ij,ij->i", x, mean[part])
+    order = np.lexsort((-score, part))
+    return order[np.r_[True, part[order][1:] != part[order][:-1]]]
+
+
+def range_search(graph: np.ndarray, x: np.ndarray, queries: np.ndarray, own: np.ndarray, floor: float, beam: int) -> tuple[np.ndarray, np.ndarray]:
     """Pairs (query, node) whose product is at least ``floor``: greedy from the
-    medoid, then on from everything found in range until nothing is added."""
+    medoids nearest to the query and from its own node (``own``, -1 if it is
+    not of this block), then on from everything found in range until nothing
+    is added."""
     n, m, rows = len(x), len(queries), np.arange(len(queries))
+    entry = medoids(graph, x)
     x, queries = x.astype(np.float32), queries.astype(np.float32)
     seen, open_ = np.zeros((m, n), bool), np.zeros((m, n), bool)  # open_: in range, neighbours not yet seen
-    medoid = int((x @ x.mean(axis=0)).argmax())
     beam = min(beam, n)
-    ids, score = np.full((m, beam), medoid), np.full((m, beam), -np.inf, np.float32)
-    score[:, 0] = queries @ x[medoid]
-    todo = np.zeros((m, beam), bool)
-    todo[:, 0] = True
-    seen[:, medoid] = True
-    open_[:, medoid] = score[:, 0] >= floor
+    ids, score = np.full((m, beam), entry[0]), np.full((m, beam), -np.inf, np.float32)
+    first = queries @ x[entry].T
+    seen[:, entry] = True
+    open_[:, entry] = first >= floor
+    take = min(len(entry), beam)
+    top = np.argpartition(-first, take - 1, axis=1)[:, :take]
+    ids[:, :take], score[:, :take] = entry[top], np.take_along_axis(first, top, 1)
+    here = np.flatnonzero(own >= 0)
+    here = here[~seen[here, own[here]]]
+    ids[here, take - 1], score[here, take - 1] = own[here], 1
+    seen[here, own[here]] = open_[here, own[here]] = True
+    todo = np.isfinite(score)
     hits = open_.copy()
     active = rows
     while len(active):
@@ -214,8 +237,11 @@ def near_links(nodes: DataFrame, centres: dict, threshold: float, overlap: int,
         padded[row[here], slot[here]] = at[here]
         graph = united(np.zeros((len(order), 0), np.int64), padded)
         a, b = [], []
+        position = np.full(len(ids), -1)
+        position[order] = np.arange(len(order))
         for lo in range(0, len(query_side), 512):
-            q, n = range_search(graph, x[order], x[query_side[lo:lo + 512]], threshold - 0.02, beam)
+            some = query_side[lo:lo + 512]
+            q, n = range_search(graph, x[order], x[some], position[some], threshold - 0.02, beam)
             a.append(query_side[lo:lo + 512][q])
             b.append(order[n])
         a, b = np.concatenate(a), np.concatenate(b)

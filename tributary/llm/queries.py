@@ -6,12 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tributary.llm import bpe, graph_dedup, host_rules, language_id, mixing, quote_linking, simhash, substring_dedup, suffix_dedup, token_counts
+from tributary.llm.common import ship
 from tributary.llm.oracles import ORACLES
 
 __all__ = ["ORACLES", "QUERIES"]
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
