@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tributary.llm.bpe import bpe_round_trip
-from tributary.llm.common import written
+from tributary.llm.common import ship, written
 from tributary.llm.language_id import UNKNOWN, language_id
 from tributary.llm.mixing import mixed_rows
 from tributary.llm.simhash import simhash_groups
@@ -68,6 +68,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
