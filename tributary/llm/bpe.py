@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -93,6 +94,7 @@ class TreeCodec:
         return self.decode(ids, lo, cut) + self.decode(ids, cut, hi)
 
 
+@lru_cache(maxsize=2)  # once in a Python worker, not in every task
 def _codec(vocabulary: str, path: str | None, pattern: str | None, leaf: int) -> TreeCodec:
     import public_tokenizers
 

@@ -50,8 +50,7 @@ class Grams:
 
 @dataclass
 class KernelModel:
-    """languages; column: vocabulary row of a gram code (-1: in no landmark);
-    presence: vocabulary x landmarks; own: the landmarks' gram counts;
+    """languages; codes: the vocabulary, all gram codes of landmarks; presence: vocabulary x landmarks; own: the landmarks' gram counts;
     weights: landmarks and a constant x languages."""
 
     languages: list[str]
@@ -65,13 +64,15 @@ class KernelModel:
         x = np.zeros((len(grams), len(self.codes)), np.float32)
         for i, g in enumerate(grams):
             r = rows[g]
-            x[i, r[r >= 0]] = 1
+            x[i, r[r > 0] - 1] = 1
         size = np.maximum(1, np.array([len(g) for g in grams], np.float64))
         return (x @ self.presence) / np.sqrt(size[:, None] * self.own[None, :])
 
     def rows(self) -> np.ndarray:
-        at = np.full(int(np.cumsum([256 ** n for n in range(1, self.orders + 1)])[-1]), -1, np.int32)
-        at[self.codes] = np.arange(len(self.codes), dtype=np.int32)
+        """By gram code: its row of ``presence`` plus one, 0 for none (most
+        pages of the table are then never touched)."""
+        at = np.zeros(int(np.cumsum([256 ** n for n in range(1, self.orders + 1)])[-1]), np.int32)
+        at[self.codes] = np.arange(1, len(self.codes) + 1, dtype=np.int32)
         return at
 
     def score(self, grams: list[np.ndarray], rows: np.ndarray) -> np.ndarray:
@@ -95,7 +96,7 @@ def fit(texts: list[str], langs: list[str], landmarks: int = 48, orders: int = 3
     model = KernelModel(names, codes, np.zeros((len(codes), len(taken)), np.float32), np.ones(len(taken)), np.zeros(0), orders)
     rows = model.rows()
     for j, i in enumerate(taken):
-        model.presence[rows[grams[i]], j] = 1
+        model.presence[rows[grams[i]] - 1, j] = 1
         model.own[j] = len(grams[i])
     k = np.concatenate([model.kernel(grams[lo:lo + 128], rows) for lo in range(0, len(grams), 128)])
     value, vector = np.linalg.eigh(k[taken] + 1e-9 * np.eye(len(taken)))

@@ -26,6 +26,8 @@ from pyspark.sql import functions as F
 from tributary.llm.common import map_rows, written
 from tributary.llm.components import components, spanning
 
+PAIRS = 1 << 18
+
 
 def fingerprint(text: str, shingle: int, seed: int = 42) -> int:
     """A bit is 1 if set in over half of the XXH64 hashes of the shingles."""
@@ -128,9 +130,11 @@ def link_edges(members: DataFrame, radius: int, tree_size: int) -> DataFrame:
             ok = (place < len(have)) & (have[np.minimum(place, len(have) - 1)] == shard[is_query]) if len(have) else np.zeros(int(is_query.sum()), bool)
             qf, qs = fp[is_query][ok], place[ok]
             grown, a, b = forest(ts, tf), [], []
-            for lo in range(0, len(qf), 1024):
-                x, y = within(grown, tf, qf[lo:lo + 1024], qs[lo:lo + 1024], radius)
-                x = qf[lo:lo + 1024][x]
+            largest = int(np.bincount(ts).max()) if len(ts) else 1
+            step = max(16, PAIRS // largest)  # bounds the pairs on the way, in a dense shard all of them
+            for lo in range(0, len(qf), step):
+                x, y = within(grown, tf, qf[lo:lo + step], qs[lo:lo + step], radius)
+                x = qf[lo:lo + step][x]
                 differ = x != tf[y]
                 p, r = spanning(x[differ].view(np.int64), tf[y][differ].view(np.int64))
                 a.append(p)
@@ -155,7 +159,7 @@ def link_edges(members: DataFrame, radius: int, tree_size: int) -> DataFrame:
     return members.mapInArrow(run, "a long, b long")
 
 
-def near_links(distinct: DataFrame, radius: int = 4, equal: int = 2, tree_size: int = 4096) -> DataFrame:
+def near_links(distinct: DataFrame, radius: int = 4, equal: int = 2, tree_size: int = 2048) -> DataFrame:
     """distinct (fp) -> edges (a, b) that join all fingerprints reachable by links."""
     keyed = distinct.select("fp", F.explode(F.array(*shard_keys("fp", radius, equal))).alias("k")).select("fp", "k.table", "k.bits")
     full = keyed.groupBy("table", "bits").agg(F.count("*").alias("n")).filter("n > 1")
@@ -168,7 +172,7 @@ def near_links(distinct: DataFrame, radius: int = 4, equal: int = 2, tree_size:
     return link_edges(dealt, radius, tree_size)
 
 
-def simhash_groups(docs: DataFrame, shingle: int = 4, radius: int = 4, equal: int = 2, tree_size: int = 4096) -> DataFrame:
+def simhash_groups(docs: DataFrame, shingle: int = 4, radius: int = 4, equal: int = 2, tree_size: int = 2048) -> DataFrame:
     """docs (doc_id, text) -> doc_id, fingerprint (16 hex digits), component_id
     (smallest id that a document reaches through links), one row for each row.
 
