@@ -103,7 +103,7 @@ def pack(docs: DataFrame, separator: bytes, chunk_bytes: int, carry: tuple[str,
                            + (f", carried array<{kind.simpleString()}>" if carry else ""))
     name = f"llm_chunks_{uuid.uuid4().hex}"
     made.write.option("path", f"{shared_dir(spark)}/{name}").option("compression", "zstd").bucketBy(
-        int(spark.conf.get("spark.sql.shuffle.partitions")), "chunk").saveAsTable(name, format="parquet")
+        min(100_000, int(spark.conf.get("spark.sql.shuffle.partitions"))), "chunk").saveAsTable(name, format="parquet")
     return spark.table(name)
 
 

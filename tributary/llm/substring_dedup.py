@@ -102,7 +102,7 @@ def count_blocks(cols: dict) -> list[np.ndarray]:
     return out
 
 
-def substring_dedup(docs: DataFrame, window: int = 35, chunk_bytes: int = 4 << 20, bucket_bytes: int = 16 << 20) -> DataFrame:
+def substring_dedup(docs: DataFrame, window: int = 35, chunk_bytes: int = 2 << 20, bucket_bytes: int = 4 << 20) -> DataFrame:
     """docs (doc_id, text) -> doc_id, n_words, n_removed, kept (the words left,
     joined by one space), one row for each row.
 

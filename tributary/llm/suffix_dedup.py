@@ -216,7 +216,7 @@ def sort_collections(length: int):
 
 
 def suffix_dedup(docs: DataFrame, length: int = 200, most: int = 1 << 16, carry: tuple[str, ...] = (), as_text: bool = False,
-                 chunk_bytes: int = 4 << 20, bucket_bytes: int = 16 << 20) -> DataFrame:
+                 chunk_bytes: int = 2 << 20, bucket_bytes: int = 4 << 20) -> DataFrame:
     """docs (doc_id, text) -> doc_id, n_bytes, n_removed, n_spans, kept (the
     bytes left; with ``as_text`` a string, without the rest of a character of
     which only some bytes are left), and ``carried`` (a struct of the columns
