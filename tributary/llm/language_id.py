@@ -113,11 +113,12 @@ def fit(texts: list[str], langs: list[str], landmarks: int = 48, orders: int = 3
 def training_sample(docs: DataFrame, train, per_language: int, max_chars: int) -> tuple[list[str], list[str]]:
     """At most about ``per_language`` labelled texts of each language, chosen by
     a hash of the id, none longer than ``max_chars``: the documented bound on
-    what the fit reads. Counts by language are over all rows."""
-    usable = docs.filter(train & F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & (F.length("text") <= max_chars) & F.col("text").rlike(r"\p{L}"))
-    counts = {r[0]: r[1] for r in usable.groupBy("lang").count().collect()}
+    what the fit reads. Labels are counted over all rows."""
+    labelled = docs.filter(train & F.col("lang").isNotNull() & F.col("doc_id").isNotNull())
+    counts = {r[0]: r[1] for r in labelled.groupBy("lang").count().collect()}  # reads no text
     if not counts:
         return [], []
+    usable = labelled.filter((F.length("text") <= max_chars) & F.col("text").rlike(r"\p{L}"))
     u = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)) / float(1 << 40)
     rate = F.create_map(*[F.lit(v) for k, n in sorted(counts.items()) for v in (k, min(1.0, 1.5 * per_language / n))])
     some = usable.withColumn("u", u).filter(F.col("u") < rate[F.col("lang")]).select("lang", "text", (F.col("u") / rate[F.col("lang")]).alias("u"), "doc_id")
