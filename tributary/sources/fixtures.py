@@ -95,8 +95,10 @@ FLAT_EVENT_COLUMNS = [c for c, _ in FLAT_EVENT_SCHEMA]
 
 
 def _lookup(values, idx: Column) -> Column:
-    """values[idx] (0-based) for a short literal list, evaluated in-row."""
-    return F.element_at(F.array(*[F.lit(v).cast("string") for v in values]), (idx + 1).cast("int"))
+    """values[idx] (0-based) for a short literal list, evaluated in-row (the
+    list goes to the planner as one expression, not one call per value)."""
+    items = ", ".join("CAST(NULL AS STRING)" if v is None else "'" + str(v).replace("'", "\\'") + "'" for v in values)
+    return F.element_at(F.expr(f"array({items})"), (idx + 1).cast("int"))
 
 
 def _epoch_micros(ts_col: str, dtype: T.DataType) -> Column:
@@ -141,7 +143,7 @@ def fixture_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     # the last-click struct: the next row of the lookup, absent for every fourth k
     lc = F.when(F.col("_k") % 4 != 0, (F.col("_k") + 1) % len(TRAFFIC_ROWS))
 
-    s = lambda dtype: F.lit(None).cast(dtype)
+    s = lambda dtype: F.expr(f"CAST(NULL AS {dtype})")
     flat = base.select(
         F.date_format(F.col("ts") - F.expr(f"INTERVAL {PROPERTY_OFFSET_HOURS} HOURS"), "yyyyMMdd").alias("event_date"),
         F.col("event_timestamp"),
