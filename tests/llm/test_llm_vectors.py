@@ -53,3 +53,30 @@ def test_graph_dedup_on_embeddings(spark, sf):
     rows = [(r["vec_id"], list(r["embedding"]), r["label"]) for r in df.collect()]
     out = graph_dedup.graph_dedup(df, shard_size=16, block=32).collect()
     assert sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in out) == sorted(brute(rows))
+
+
+def sparse_beside_dense(dense=500, pairs=500, dim=64, cosine=0.945):
+    """A third of the vectors near copies of one another, the others in pairs."""
+    rng = np.random.default_rng(11)
+    unit = lambda x: x / np.linalg.norm(x, axis=-1, keepdims=True)
+    one = unit(rng.normal(size=(pairs, dim)))
+    side = rng.normal(size=(pairs, dim))
+    side = unit(side - (side * one).sum(axis=1, keepdims=True) * one)
+    group = unit(rng.normal(size=dim)) + 0.01 * rng.normal(size=(dense, dim))
+    return np.concatenate([group, one, cosine * one + np.sqrt(1 - cosine ** 2) * side])
+
+
+def test_labels_that_fail_to_the_last_are_searched_exactly(spark):
+    x = sparse_beside_dense(dense=100, pairs=150)
+    df = spark.createDataFrame([(i, v.tolist(), i % 2 if i < 100 else 0) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
+    got = graph_dedup.graph_dedup(df, overlaps=(1,), shard_size=8, block=32, least_recall=1.0, audited=400).collect()
+    want = brute([(i, v.tolist(), i % 2 if i < 100 else 0) for i, v in enumerate(x)])
+    assert sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in got) == want and got[0]["recall"] == 1
+
+
+def test_judge_counts_vectors_not_links():
+    truth = {i: (("a", 2), 10000) for i in range(170)} | {i: (("a", 2), 1) for i in range(170, 500)} | {500: (("b", 2), 0)}
+    found = {n: t for n, (_, t) in truth.items()} | dict.fromkeys(range(170, 200), 0)
+    lowest, failed = graph_dedup.judge(truth, found, 0.98)
+    assert failed == {("a", 2)} and lowest == 300 / 330
+    assert graph_dedup.judge(truth, {n: t for n, (_, t) in truth.items()}, 0.98) == (1.0, set())

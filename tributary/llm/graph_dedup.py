@@ -7,7 +7,10 @@ lists of a vector from all its shards are united. Then each vector searches
 the blocks of its shards: greedily with a beam from the medoids of the graph's
 connected parts, and from what lies in range on to all that is in range. Links are verified in double
 precision, and the recall is audited by brute force for a bounded sample of
-vectors; if it is too low, the clusters overlap more.
+vectors. It is judged by vector, not by link, in strata of label and number of
+links, so that a dense group does not hide what its neighbours miss. The
+clusters of labels that fail overlap more; if they fail at the largest overlap
+too, all their pairs of blocks are compared.
 
 A block has a bounded size. A shard of several blocks is searched block by
 block, so a label or a cluster of near copies may hold any part of all rows.
@@ -22,13 +25,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tributary.llm.common import written
 from tributary.llm.components import components, spanning
 
 SHARD = ["label", "dim", "cluster"]
+#: The share of a stratum's vectors that may find less than LEAST_SHARE of their links.
+LOW_SHARE, LEAST_SHARE = 0.05, 0.9
 
 
 def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
@@ -202,10 +207,12 @@ def _spread(nodes: DataFrame, centres: dict, overlap: int) -> DataFrame:
     return nodes.select("node", "label", "dim", "embedding", "times").mapInArrow(run, ddl)
 
 
-def near_links(nodes: DataFrame, centres: dict, threshold: float, overlap: int, block: int, degree: int, beam: int) -> DataFrame:
-    """nodes (node, label, dim, embedding, times) -> node, links (rows linked
-    through other nodes), root (a node linked with it, through others maybe)."""
-    spread = _spread(nodes, centres, overlap).withColumn("cluster", F.explode("clusters"))
+def near_links(nodes: DataFrame, centres: dict, threshold: float, overlap: int | None, block: int, degree: int, beam: int) -> DataFrame:
+    """nodes (node, label, dim, embedding, times) -> label, dim, node, links
+    (rows linked through other nodes), found (those nodes), root (a node linked
+    with it, through others maybe). Without an overlap every pair of a label is compared."""
+    exact_pass = overlap is None
+    spread = _spread(nodes, {} if exact_pass else centres, overlap or 1).withColumn("cluster", F.explode("clusters"))
     sizes = spread.groupBy(*SHARD).agg(F.count("*").alias("size"))
     members = spread.join(sizes, SHARD).withColumn("parts", F.ceil(F.col("size") / block).cast("int"))
     members = written(members.withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")).drop("size"), "graph-members")
@@ -215,17 +222,28 @@ def near_links(nodes: DataFrame, centres: dict, threshold: float, overlap: int,
         g = pruned_graph(unit(_matrix(t.column("embedding"))), degree, 3 * degree, 1.2)
         return pa.table({"node": ids, "near": pa.array([ids[r[r >= 0]].tolist() for r in g], pa.list_(pa.int64()))})
 
-    lists = members.groupBy(*SHARD, "part").applyInArrow(build, "node long, near array<long>")
-    lists = lists.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"))  # a list for each of a node's shards
+    if exact_pass:
+        members = members.withColumn("near", F.array().cast("array<long>"))
+    else:
+        lists = members.groupBy(*SHARD, "part").applyInArrow(build, "node long, near array<long>")
+        lists = lists.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"))  # a list for each of a node's shards
+        members = members.join(lists, "node")
 
     def search(t: pa.Table) -> pa.Table:
         graph_side, query_side = (np.flatnonzero(t.column(c).to_numpy()) for c in ("graph", "query"))
         ids, times = t.column("node").to_numpy(), t.column("times").to_numpy()
         x = unit(_matrix(t.column("embedding")))
         clusters, own = t.column("clusters").to_pylist(), t.column("cluster")[0].as_py()
-        empty = pa.table({"node": pa.array([], pa.int64()), "links": pa.array([], pa.int64()), "root": pa.array([], pa.int64())})
+        label, dim = t.column("label")[0].as_py(), t.column("dim")[0].as_py()
+
+        def table(rows: dict) -> pa.Table:
+            n = len(rows)
+            links, found, root = zip(*rows.values(), strict=True) if n else ((), (), ())
+            return pa.table({"label": pa.array([label] * n, pa.string()), "dim": pa.array([dim] * n, pa.int32()), "node": pa.array(list(rows), pa.int64()),
+                             **{c: pa.array(v, pa.int64()) for c, v in (("links", links), ("found", found), ("root", root))}})
+
         if not len(graph_side) or not len(query_side):
-            return empty
+            return table({})
         order = graph_side[np.argsort(ids[graph_side], kind="stable")]
         near = t.column("near").combine_chunks().take(pa.array(order))
         many, flat = np.diff(near.offsets.to_numpy()), near.flatten().to_numpy()
@@ -241,7 +259,10 @@ def near_links(nodes: DataFrame, centres: dict, threshold: float, overlap: int,
         position[order] = np.arange(len(order))
         for lo in range(0, len(query_side), 512):
             some = query_side[lo:lo + 512]
-            q, n = range_search(graph, x[order], x[some], position[some], threshold - 0.02, beam)
+            if exact_pass:
+                q, n = np.nonzero(x[some] @ x[order].T >= threshold - 1e-9)
+            else:
+                q, n = range_search(graph, x[order], x[some], position[some], threshold - 0.02, beam)
             a.append(query_side[lo:lo + 512][q])
             b.append(order[n])
         a, b = np.concatenate(a), np.concatenate(b)
@@ -251,7 +272,7 @@ def near_links(nodes: DataFrame, centres: dict, threshold: float, overlap: int,
         exact = np.concatenate([np.einsum("ij,ij->i", x[a[lo:lo + 65536]], x[b[lo:lo + 65536]]) for lo in range(0, len(a), 65536)] or [np.zeros(0)]) >= threshold
         a, b = a[exact], b[exact]
         if not len(a):
-            return empty
+            return table({})
         width = max(map(len, clusters))
         of = np.array([c + [-1] * (width - len(c)) for c in clusters])
         common = np.full(len(a), np.iinfo(np.int32).max)
@@ -261,28 +282,37 @@ def near_links(nodes: DataFrame, centres: dict, threshold: float, overlap: int,
                 common[both] = np.minimum(common[both], of[a[both], i])
         first = common == own
         links = (np.bincount(a[first], times[b[first]], len(ids)) + np.bincount(b[first], times[a[first]], len(ids))).astype(np.int64)
+        found = np.bincount(a[first], minlength=len(ids)) + np.bincount(b[first], minlength=len(ids))
         node, root = spanning(ids[a], ids[b])
-        table = {}
+        rows = {}
         for i in np.flatnonzero(links):
-            table[int(ids[i])] = [int(links[i]), int(ids[i])]
+            rows[int(ids[i])] = [int(links[i]), int(found[i]), int(ids[i])]
         for n, r in zip(node.tolist(), root.tolist(), strict=True):
-            table.setdefault(n, [0, n])[1] = r
-        return pa.table({"node": pa.array(list(table), pa.int64()), "links": pa.array([v[0] for v in table.values()], pa.int64()), "root": pa.array([v[1] for v in table.values()], pa.int64())})
+            rows.setdefault(n, [0, 0, n])[2] = r
+        return table(rows)
 
-    meet = members.join(lists, "node").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    meet = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     meet = meet.select(*SHARD, F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "node", "times", "embedding", "clusters", "near",
                        (F.col("part") <= F.col("other")).alias("graph"), (F.col("part") >= F.col("other")).alias("query"))
-    return meet.groupBy(*SHARD, "i", "j").applyInArrow(search, "node long, links long, root long")
-
-
-def audit(nodes: DataFrame, links: DataFrame, threshold: float, queries: int) -> float:
-    """Share of the true links of at most ``queries`` nodes (by hash, spread
-    over all) that were found; 1 if they have none."""
-    rate = min(1.0, queries / max(1, nodes.count()))
-    some = nodes.filter(F.pmod(F.xxhash64("node", F.lit(1)), F.lit(1 << 30)) < F.lit(int(rate * (1 << 30)))).orderBy("node").limit(queries)
-    some = some.select("node", "label", "dim", "embedding").collect()
+    return meet.groupBy(*SHARD, "i", "j").applyInArrow(search, "label string, dim int, node long, links long, found long, root long")
+
+
+def true_links(nodes: DataFrame, counts: dict, threshold: float, queries: int) -> dict:
+    """node -> (label, dim), number of nodes linked with it, by brute force:
+    for about ``queries`` nodes by hash, spread over all, and as many more that
+    give each label of ``counts`` (label, dim -> nodes) an equal share."""
+    base = min(1.0, queries / max(1, nodes.count()))
+    rates: dict = {}
+    if len(counts) <= queries:
+        for (label, _), n in counts.items():
+            rates[label] = max(base, rates.get(label, 0.0), min(1.0, queries / (len(counts) * n)))
+    rate = F.lit(base)
+    if rates:
+        rate = F.coalesce(F.create_map(*[F.lit(v) for kv in sorted(rates.items()) for v in kv])[F.col("label")], rate)
+    u = F.pmod(F.xxhash64("node", F.lit(1)), F.lit(1 << 30)) / float(1 << 30)
+    some = nodes.filter(u < rate).orderBy(u / rate, "node").limit(2 * queries).select("node", "label", "dim", "embedding").collect()
     if not some:
-        return 1.0
+        return {}
     by: dict = {}
     for r in some:
         by.setdefault((r["label"], r["dim"]), []).append(r)
@@ -293,17 +323,66 @@ def audit(nodes: DataFrame, links: DataFrame, threshold: float, queries: int) ->
         for b in batches:
             t = pa.Table.from_batches([b])
             keys = list(zip(t.column("label").to_pylist(), t.column("dim").to_pylist(), strict=True))
-            ids, times = t.column("node").to_numpy(), t.column("times").to_numpy()
+            ids = t.column("node").to_numpy()
             for key in set(keys) & set(shared.value):
                 at = np.array([i for i, k in enumerate(keys) if k == key])
                 who, q = shared.value[key]
                 near = (q @ unit(_matrix(t.column("embedding").take(pa.array(at)))).T >= threshold) & (who[:, None] != ids[at][None, :])
-                yield pa.RecordBatch.from_arrays([pa.array(who), pa.array((near * times[at]).sum(axis=1))], ["node", "truth"])
+                yield pa.RecordBatch.from_arrays([pa.array(who), pa.array(near.sum(axis=1))], ["node", "truth"])
+
+    truth = nodes.select("node", "label", "dim", "embedding").mapInArrow(brute, "node long, truth long").groupBy("node").agg(F.sum("truth").alias("truth"))
+    key = {r["node"]: (r["label"], r["dim"]) for r in some}
+    return {r["node"]: (key[r["node"]], r["truth"]) for r in truth.collect()}  # bounded by the sample
+
+
+def judge(truth: dict, found: dict, least_recall: float) -> tuple[float, set]:
+    """The lowest mean, over strata, of the share of its links that an audited
+    node found (1 if no node has links), and the labels that fail. Strata are
+    labels, link counts (1 to 3, 4 to 15, 16 to 63, ...) and both; one fails by
+    its mean or by its low quantile, and with it the labels of its nodes that
+    missed something."""
+    strata: dict = {}
+    for node, (key, n) in truth.items():
+        if n:
+            band = (int(n).bit_length() - 1) // 2
+            for stratum in ((key, None), (None, band), (key, band)):
+                strata.setdefault(stratum, []).append((min(1.0, found.get(node, 0) / n), key))
+    lowest, failed = 1.0, set()
+    for seen in strata.values():
+        shares = sorted(x for x, _ in seen)
+        mean = sum(shares) / len(shares)
+        lowest = min(lowest, mean)
+        if mean < least_recall or shares[int(LOW_SHARE * len(shares))] < LEAST_SHARE:
+            failed |= {key for x, key in seen if x < 1}
+    return lowest, failed
+
+
+def _of_labels(keys: set) -> Column:
+    """Rows of the given (label, dim)."""
+    by: dict = {}
+    for label, dim in sorted(keys):
+        by.setdefault(dim, []).append(label)
+    out = F.lit(False)
+    for dim, labels in by.items():
+        out = out | ((F.col("dim") == dim) & F.col("label").isin(labels))
+    return out
+
 
-    truth = nodes.select("node", "label", "dim", "embedding", "times").mapInArrow(brute, "node long, truth long").groupBy("node").agg(F.sum("truth").alias("truth"))
-    found = links.groupBy("node").agg(F.sum("links").alias("links"))
-    got = truth.join(found, "node", "left").agg(F.sum("truth"), F.sum(F.least("truth", F.coalesce("links", F.lit(0))))).first()
-    return got[1] / got[0] if got[0] else 1.0
+def audited_links(nodes: DataFrame, centres: dict, counts: dict, threshold: float, overlaps: tuple[int, ...], least_recall: float, block: int, degree: int,
+                  beam: int, audited: int) -> tuple[DataFrame, float]:
+    """``near_links`` of all nodes and their recall. Labels that fail are
+    searched again with the next overlap, at last with all pairs of blocks."""
+    truth = true_links(nodes, counts, threshold, audited)
+    links, todo = None, nodes
+    for overlap in (*overlaps, None):
+        new = written(near_links(todo, centres, threshold, overlap, block, degree, beam), "graph-links")
+        links = new if links is None else links.filter(~_of_labels(failed)).union(new)
+        asked = links.filter(F.col("node").isin([n for n, (_, t) in truth.items() if t]))
+        recall, failed = judge(truth, {r[0]: r[1] for r in asked.groupBy("node").agg(F.sum("found")).collect()}, least_recall)
+        if not failed:
+            break
+        todo = nodes.filter(_of_labels(failed))
+    return links, recall
 
 
 def graph_dedup(vectors: DataFrame, threshold: float = 0.93, overlaps: tuple[int, ...] = (2, 4, 8), least_recall: float = 0.98, shard_size: int = 512,
@@ -317,10 +396,13 @@ def graph_dedup(vectors: DataFrame, threshold: float = 0.93, overlaps: tuple[int
     with nothing: n_links 0, component_id its own id. Equal vectors are found
     exactly. Repeated rows are vectors of their own; ``kept`` says that a row
     has the smallest id of its component. ``recall`` is the audited one, the
-    same in all rows; overlaps are tried in turn until it is ``least_recall``.
+    same in all rows: the lowest mean by vector of a label or a range of link
+    counts (``judge``). Labels below ``least_recall`` are searched with the next
+    overlap, and after the last one exactly, in all pairs of their blocks.
     Extra columns are not read; an empty table gives an empty result.
 
-    The clusters are fitted on at most ``2 * sample`` vectors.
+    The clusters are fitted on at most ``2 * sample`` vectors, the audit reads
+    the links of at most ``2 * audited``.
     """
     e = F.col("embedding")
     sound = F.coalesce(F.col("vec_id").isNotNull() & F.col("label").isNotNull() & F.forall(e, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
@@ -337,11 +419,7 @@ def graph_dedup(vectors: DataFrame, threshold: float = 0.93, overlaps: tuple[int
         for r in nodes.filter(u < F.lit(int(min(1.0, sample / total) * (1 << 30)))).orderBy(u, "node").limit(2 * sample).select("label", "dim", "embedding").collect():
             some.setdefault((r[0], r[1]), []).append(r[2])
     centres = centroids({k: np.array(v, np.float64) for k, v in some.items()}, counts, shard_size)
-    for overlap in overlaps:
-        links = written(near_links(nodes, centres, threshold, overlap, block, degree, beam), "graph-links")
-        recall = audit(nodes, links, threshold, audited)
-        if recall >= least_recall:
-            break
+    links, recall = audited_links(nodes, centres, counts, threshold, overlaps, least_recall, block, degree, beam, audited)
     labels = components(links.select(F.col("node").alias("a"), F.col("root").alias("b"))).withColumnRenamed("label", "group")
     known = nodes.join(links.groupBy("node").agg(F.sum("links").alias("links")), "node", "left").join(labels, "node", "left").withColumn("group", F.coalesce("group", "node"))
     known = written(known.drop("dim"), "graph-known")
