@@ -218,3 +218,25 @@ def test_empty_tables(spark, docs):
     empty = docs.limit(0)
     for f in (token_counts.token_counts, bpe.bpe_round_trip, language_id.language_id, host_rules.host_rules, mixing.mix, simhash.simhash_groups):
         assert f(empty).count() == 0
+
+
+def test_interleaved_threads_stand_in_reply_order(spark):
+    rows = [(1, 1, "user", "How do I sort a list?"), (1, 2, "user", "Which editor is good?"), (1, 3, "assistant", "> How do I sort a list?\nUse sorted()."),
+            (1, 4, "assistant", "> Which editor is good?\nAny one."), (1, 5, "user", "> Use sorted().\nThanks"), (2, 0, "user", "x"), (2, 1, "user", "y")]
+    rng, parents = random.Random(4), {}
+    for turn in range(0, 3000, 37):  # over several blocks of turns
+        earlier = sorted(parents)
+        answered = rng.choice(earlier) if earlier and rng.random() < 0.7 else None
+        parents[turn] = answered if answered is not None else earlier[-1] if earlier else None
+        rows.append((3, turn, "user", f"said at {turn}" if answered is None else f"> said at {answered}\nsaid at {turn}"))
+    rows += [(4, 0, "user", "root")] + [(4, t, "user", "> root\nanswer") for t in range(1, 2500, 100)]
+    out = quote_linking.quote_linking(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(5)).collect()
+    turns = {c: [r["turn"] for r in out if r["conv_id"] == c] for c in (1, 2, 3, 4)}
+    assert [r["conv_id"] for r in out] == sorted(r["conv_id"] for r in out)
+    assert turns[1] == [1, 2, 4, 3, 5] and turns[2] == [0, 1] and turns[4] == sorted(turns[4])
+    assert all(r["parent_turn"] == parents[r["turn"]] for r in out if r["conv_id"] == 3)
+
+    def walk(turn):
+        return [turn] + [x for child in sorted(t for t, p in parents.items() if p == turn) for x in walk(child)]
+
+    assert turns[3] == walk(0) and turns[3] != sorted(turns[3])

@@ -3,7 +3,8 @@
 Lines are parsed into quote levels (``>``, ``> >``, ``>>``). Quoted lines are
 normalised and hashed and joined to the message of the conversation that first
 said them; the message answered is the one that most of the innermost quote
-comes from. Messages then stand in reply order, without quotes.
+comes from. Messages then stand in reply order, without quotes: depth first
+through the tree of answers, found by pointer doubling over written tables.
 
 A conversation is never gathered: originals are found by a minimum per
 (conversation, line), neighbours and threads by windows over blocks of turns
@@ -15,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tributary.llm.common import written
+from tributary.llm.common import drop_written, written
 
 QUOTE = r"^[ \t]*(>[ \t]*)+"
 #: Attribution lines that stand before a quote.
@@ -65,12 +66,60 @@ def threads(turns: DataFrame) -> DataFrame:
     return forks.join(carry, ["conv_id", "block"]).select("conv_id", "turn", "parent_turn", F.coalesce("sofar", "carried").alias("thread"))
 
 
+def list_ends(lists: DataFrame) -> DataFrame:
+    """lists (conv_id, turn, to), linked lists of turns (``to`` null at an end)
+    -> conv_id, turn, end, steps: the end of a turn's list and how far it is.
+
+    Pointer doubling: rounds grow with the logarithm of the longest list. No
+    two turns that still move point at one turn, so no join has a hot key."""
+    moving = lists.filter("to is not null")
+    known = lists.select("conv_id", F.col("turn").alias("to"), F.col("to").isNotNull().alias("open"))
+    state = moving.join(known, ["conv_id", "to"]).select("conv_id", "turn", F.col("to").alias("end"), F.lit(1).cast("long").alias("steps"), "open").union(
+        lists.filter("to is null").select("conv_id", "turn", "turn", F.lit(0).cast("long"), F.lit(False)))
+    state = written(state, "quotes-list")
+    while state.filter("open").limit(1).count():
+        on = state.select("conv_id", F.col("turn").alias("end"), F.col("end").alias("beyond"), F.col("steps").alias("more"), F.col("open").alias("still"))
+        moved = state.filter("open").join(on, ["conv_id", "end"]).select("conv_id", "turn", F.col("beyond").alias("end"), F.col("steps") + F.col("more"), "still")
+        new = written(state.filter("not open").union(moved), "quotes-list")
+        drop_written(state)
+        state = new
+    return state.drop("open")
+
+
+def reply_order(placed: DataFrame) -> DataFrame:
+    """placed (conv_id, turn, parent_turn, thread) distinct -> conv_id, turn,
+    place: a number that sorts a conversation depth first, a message before
+    its answers and these by turn.
+
+    All messages of a conversation reach its first one. Without a fork the
+    place is the turn. With one, the successor of a message is its first
+    answer, or else the next sibling of the nearest message above (or itself)
+    that has one; the place is minus the distance to the last message."""
+    forked = placed.groupBy("conv_id").agg(F.min("thread").alias("low"), F.max("thread").alias("high")).filter("low <> high").select("conv_id")
+    plain = placed.join(forked, "conv_id", "left_anti").select("conv_id", "turn", F.col("turn").alias("place"))
+    tree = placed.join(forked, "conv_id", "left_semi").select("conv_id", "turn", "parent_turn").withColumn("block", F.floor(F.col("turn") / BLOCK))
+    here = Window.partitionBy("conv_id", "parent_turn", "block").orderBy("turn")
+    over = Window.partitionBy("conv_id", "parent_turn").orderBy("block")
+    heads = tree.filter("parent_turn is not null").groupBy("conv_id", "parent_turn", "block").agg(F.min("turn").alias("head"))
+    firsts = heads.groupBy("conv_id", F.col("parent_turn").alias("turn")).agg(F.min("head").alias("first"))
+    heads = heads.select("conv_id", "parent_turn", "block", F.lead("head").over(over).alias("after"))
+    tree = tree.withColumn("lead", F.lead("turn").over(here)).join(heads, ["conv_id", "parent_turn", "block"], "left")
+    tree = written(tree.withColumn("next", F.coalesce("lead", "after")).join(firsts, ["conv_id", "turn"], "left").select(
+        "conv_id", "turn", "parent_turn", "next", "first"), "quotes-tree")
+    above = list_ends(tree.select("conv_id", "turn", F.when(F.col("next").isNull(), F.col("parent_turn")).alias("to")))
+    leaves = tree.filter("first is null").select("conv_id", "turn").join(above, ["conv_id", "turn"])
+    leaves = leaves.join(tree.select("conv_id", F.col("turn").alias("end"), F.col("next").alias("to")), ["conv_id", "end"]).select("conv_id", "turn", "to")
+    line = written(leaves.union(tree.filter("first is not null").select("conv_id", "turn", "first")), "quotes-successors")
+    return plain.union(list_ends(line).select("conv_id", "turn", -F.col("steps")))
+
+
 def quote_linking(conversations: DataFrame) -> DataFrame:
     """conversations (conv_id, turn, role, text) -> conv_id, thread, turn, role,
-    parent_turn, quoted, linked, content, formatted; one row for each row.
+    parent_turn, quoted, linked, content, formatted, place; one row for each row.
 
-    Order by (conv_id, thread, turn) for the conversation in reply order: a
-    thread is named by its first turn, which answers ``parent_turn``.
+    Rows are sorted by (conv_id, place), the conversation in reply order (see
+    ``reply_order``); with interleaved threads that is not the order of turns.
+    ``thread`` is the latest turn so far that did not answer its neighbour.
     ``content`` is the text without quoted lines and attributions, trimmed;
     ``formatted`` is it under its role. A null text counts as empty, a null
     role as ``unknown``. A null conversation or turn links with nothing
@@ -81,9 +130,11 @@ def quote_linking(conversations: DataFrame) -> DataFrame:
     rows = conversations.select("conv_id", F.col("turn").cast("long").alias("turn"), "role", F.coalesce("text", F.lit("")).alias("text"))
     turns = rows.filter("conv_id is not null and turn is not null").select("conv_id", "turn").distinct()
     turns = written(turns.join(reply_links(rows), ["conv_id", "turn"], "left"), "quotes-turns")
-    placed = threads(turns.select("conv_id", "turn", "answers")).join(turns.select("conv_id", "turn", "quoted", "linked"), ["conv_id", "turn"])
+    placed = written(threads(turns.select("conv_id", "turn", "answers")), "quotes-placed")
+    placed = placed.join(turns.select("conv_id", "turn", "quoted", "linked"), ["conv_id", "turn"]).join(reply_order(placed), ["conv_id", "turn"])
     own = F.array_join(F.filter(F.split("text", "\r?\n"), lambda x: ~x.rlike(QUOTE) & ~x.rlike(ATTRIBUTION)), "\n")
-    out = rows.join(placed, ["conv_id", "turn"], "left").withColumn("content", F.regexp_replace(own, r"^\s+|\s+$", ""))
+    out = rows.join(placed, ["conv_id", "turn"], "left").orderBy("conv_id", "place", "turn")
+    out = out.withColumn("content", F.regexp_replace(own, r"^\s+|\s+$", ""))
     return out.select("conv_id", "thread", "turn", "role", "parent_turn", F.coalesce("quoted", F.lit(0)).cast("long").alias("quoted"),
                       F.coalesce("linked", F.lit(0)).cast("long").alias("linked"), "content",
-                      F.concat(F.lit("<|"), F.coalesce("role", F.lit("unknown")), F.lit("|>\n"), F.col("content")).alias("formatted"))
+                      F.concat(F.lit("<|"), F.coalesce("role", F.lit("unknown")), F.lit("|>\n"), F.col("content")).alias("formatted"), "place")
