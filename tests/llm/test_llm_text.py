@@ -240,3 +240,15 @@ def test_interleaved_threads_stand_in_reply_order(spark):
         return [turn] + [x for child in sorted(t for t, p in parents.items() if p == turn) for x in walk(child)]
 
     assert turns[3] == walk(0) and turns[3] != sorted(turns[3])
+
+
+def test_wrapped_and_partial_quotes_are_linked(spark):
+    long = "The first release was late because the tests were slow. We should buy faster machines before winter. Nobody likes to wait."
+    rows = [(1, 0, "user", long), (1, 1, "user", "Lunch is at noon today and we should buy bread."), (1, 2, "user", "Unrelated words."),
+            (1, 3, "user", "> The first release was late because\n> the tests were slow. We should buy\n> faster machines before winter. Nobody\n> likes to wait.\nAgreed"),
+            (1, 4, "user", "> We should buy faster machines before winter.\nWhich?"), (1, 5, "user", "> at\n> noon\nLate"),
+            (1, 6, "user", "> nothing that anybody has ever written here\nHm"), (1, 7, "user", "> > Lunch is at noon\n> > today and we should buy bread.\n> Which?\nok")]
+    out = quote_linking.quote_linking(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()
+    got = {r["turn"]: (r["parent_turn"], r["quoted"], r["linked"]) for r in out}
+    assert got[3] == (0, 4, 4) and got[4] == (0, 1, 1) and got[5] == (1, 2, 2)
+    assert got[6] == (5, 1, 0) and got[7] == (4, 3, 3)

@@ -2,7 +2,10 @@
 
 Lines are parsed into quote levels (``>``, ``> >``, ``>>``). Quoted lines are
 normalised and hashed and joined to the message of the conversation that first
-said them; the message answered is the one that most of the innermost quote
+said them. Lines that are nobody's whole line (wrapped anew, or a part of one)
+are joined by windows of words: quoted lines of one level in a row make a
+passage, windows run across its line breaks, and the line goes to the earlier
+message that said most of its words. The message answered is the one that most of the innermost quote
 comes from. Messages then stand in reply order, without quotes: depth first
 through the tree of answers, found by pointer doubling over written tables.
 
@@ -13,7 +16,11 @@ with one carried value per block.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import hashlib
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tributary.llm.common import drop_written, written
@@ -22,25 +29,110 @@ QUOTE = r"^[ \t]*(>[ \t]*)+"
 #: Attribution lines that stand before a quote.
 ATTRIBUTION = r"(?i)^[ \t]*(on\b.*\bwrote|le\b.*\ba écrit|am\b.*\bschrieb.*|el\b.*\bescribió)[ \t]*:[ \t]*$"
 BLOCK = 1024
+#: Words of a window; a passage of fewer words is one window.
+WINDOW = 5
+
+
+def _parsed() -> Column:
+    """The text's lines that hold words: quote level (0 for own words) and the normalised line."""
+    def one(line: Column) -> Column:
+        bare = F.lower(F.trim(F.regexp_replace(F.regexp_replace(line, QUOTE, ""), r"\s+", " ")))
+        return F.struct(F.length(F.regexp_replace(F.regexp_extract(line, QUOTE, 0), "[^>]", "")).alias("depth"), bare.alias("bare"))
+
+    return F.filter(F.transform(F.split("text", "\r?\n"), one), lambda x: x["bare"] != "")
 
 
 def _lines(messages: DataFrame) -> DataFrame:
-    """conv_id, turn, depth (quote level, 0 for own words) and the hash of the normalised line."""
-    line = F.col("line")
-    mark = F.regexp_extract(line, QUOTE, 0)
-    bare = F.lower(F.trim(F.regexp_replace(F.regexp_replace(line, QUOTE, ""), r"\s+", " ")))
-    return messages.select("conv_id", "turn", F.explode(F.split("text", "\r?\n")).alias("line")).select(
-        "conv_id", "turn", F.length(F.regexp_replace(mark, "[^>]", "")).alias("depth"), bare.alias("bare")).filter(
-        F.col("bare") != "").select("conv_id", "turn", "depth", F.md5("bare").alias("line"))
+    """conv_id, turn, depth and the hash of the normalised line."""
+    return messages.select("conv_id", "turn", F.explode(_parsed()).alias("x")).select(
+        "conv_id", "turn", F.col("x.depth").alias("depth"), F.md5("x.bare").alias("line"))
+
+
+def passages(lines: list[tuple[int, str]]) -> Iterator[tuple[int, list[tuple[str, str]]]]:
+    """Depth and (word, line) of each run of lines of one depth."""
+    at = 0
+    while at < len(lines):
+        end = at
+        while end < len(lines) and lines[end][0] == lines[at][0]:
+            end += 1
+        yield lines[at][0], [(w, bare) for _, bare in lines[at:end] for w in bare.split(" ")]
+        at = end
+
+
+def _hash(words: list[tuple[str, str]]) -> str:
+    return hashlib.md5(" ".join(w for w, _ in words).encode()).hexdigest()
+
+
+def _windows(messages: DataFrame, quoted: bool) -> DataFrame:
+    """Quoted: conv_id, turn, depth, line, window, words (of the window in the
+    line, for each window of a quoted passage). Else conv_id, turn, window of
+    own words, of all lengths up to ``WINDOW``."""
+    keys = f"conv_id {messages.schema['conv_id'].dataType.simpleString()}, turn long, window string"
+
+    def rows(lines: list[tuple[int, str]]) -> Iterator[tuple]:
+        for depth, words in passages(lines):
+            if quoted and depth:
+                n = min(WINDOW, len(words))
+                for i in range(len(words) - n + 1):
+                    window, inside = _hash(words[i:i + n]), {}
+                    for _, bare in words[i:i + n]:
+                        inside[bare] = inside.get(bare, 0) + 1
+                    for bare, many in inside.items():
+                        yield window, depth, hashlib.md5(bare.encode()).hexdigest(), many
+            elif not quoted and not depth:
+                for w in {_hash(words[i:i + n]) for n in range(1, WINDOW + 1) for i in range(len(words) - n + 1)}:
+                    yield (w,)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = [pa.string(), pa.int32(), pa.string(), pa.int64()] if quoted else [pa.string()]
+        names = ["window", "depth", "line", "words"] if quoted else ["window"]
+        for b in batches:
+            for at in range(0, b.num_rows, 64):
+                part = b.slice(at, 64)
+                out, source = [], []
+                for i, lines in enumerate(part.column(2).to_pylist()):
+                    new = list(rows([(x["depth"], x["bare"]) for x in lines]))
+                    out += new
+                    source += [i] * len(new)
+                cols = list(zip(*out, strict=True)) if out else [[] for _ in names]
+                take = pa.array(source, pa.int64())
+                yield pa.RecordBatch.from_arrays([part.column(0).take(take), part.column(1).take(take), *map(pa.array, cols, kinds)], ["conv_id", "turn", *names])
+
+    return messages.select("conv_id", "turn", _parsed().alias("lines")).mapInArrow(run, keys + (", depth int, line string, words long" if quoted else ""))
+
+
+def passage_links(messages: DataFrame, missing: DataFrame) -> DataFrame:
+    """missing (conv_id, turn, depth, line), quoted lines that are no earlier
+    message's whole line -> those found by windows, with ``said``.
+
+    At least half of the words of a line's windows must have been said earlier;
+    a window belongs to the message that first said it, the line to the one
+    (the latest of equals) with most words."""
+    asked = messages.join(missing.select("conv_id", "turn").distinct(), ["conv_id", "turn"], "left_semi")
+    spoken = messages.join(missing.select("conv_id").distinct(), "conv_id", "left_semi")
+    first = _windows(spoken, False).groupBy("conv_id", "window").agg(F.min("turn").alias("said"))
+    wanted = _windows(asked, True).groupBy("conv_id", "turn", "depth", "line", "window").agg(F.sum("words").alias("words"))
+    by = wanted.join(first, ["conv_id", "window"], "left").withColumn("said", F.when(F.col("said") < F.col("turn"), F.col("said")))
+    by = by.groupBy("conv_id", "turn", "depth", "line", "said").agg(F.sum("words").alias("words"))
+    known = F.when(F.col("said").isNotNull(), F.struct("words", "said"))
+    best = by.groupBy("conv_id", "turn", "depth", "line").agg(F.sum("words").alias("all"), F.sum(known["words"]).alias("met"), F.max(known).alias("best"))
+    found = best.filter(2 * F.col("met") >= F.col("all")).select("conv_id", "turn", "depth", "line", F.col("best.said").alias("passage"))
+    return missing.join(found, ["conv_id", "turn", "depth", "line"], "left")
 
 
 def reply_links(messages: DataFrame) -> DataFrame:
     """conv_id, turn, quoted (lines quoted), linked (those found in an earlier
-    message), answers (the turn answered, null if nothing is linked)."""
-    lines = _lines(messages.filter("conv_id is not null and turn is not null"))
+    message, whole or by windows), answers (the turn answered, null if nothing is linked)."""
+    messages = messages.filter("conv_id is not null and turn is not null")
+    lines = _lines(messages)
     quotes = lines.filter("depth > 0").groupBy("conv_id", "turn", "depth", "line").agg(F.count("*").alias("times"))
     first = lines.filter("depth = 0").groupBy("conv_id", "line").agg(F.min("turn").alias("said"))
     found = quotes.join(first, ["conv_id", "line"], "left").withColumn("said", F.when(F.col("said") < F.col("turn"), F.col("said")))
+    found = written(found, "quotes-found")
+    missing = found.filter("said is null")
+    if missing.limit(1).count():
+        missing = passage_links(messages, missing).select("conv_id", "line", "turn", "depth", "times", F.col("passage").alias("said"))
+        found = written(found.filter("said is not null").unionByName(missing), "quotes-passages")
     by = found.groupBy("conv_id", "turn", "depth", "said").agg(F.sum("times").alias("times"))
     counts = by.groupBy("conv_id", "turn").agg(F.sum("times").alias("quoted"), F.sum(F.when(F.col("said").isNotNull(), F.col("times")).otherwise(0)).alias("linked"),
                                               F.max(F.when(F.col("said").isNotNull(), F.struct(-F.col("depth"), "times", "said"))).alias("best"))
