@@ -252,3 +252,15 @@ def test_wrapped_and_partial_quotes_are_linked(spark):
     got = {r["turn"]: (r["parent_turn"], r["quoted"], r["linked"]) for r in out}
     assert got[3] == (0, 4, 4) and got[4] == (0, 1, 1) and got[5] == (1, 2, 2)
     assert got[6] == (5, 1, 0) and got[7] == (4, 3, 3)
+
+
+def test_host_prior_takes_sampling_off(spark):
+    rows = [(f"one{i}", i % 10 == 0) for i in range(200)] + [("six", i < 5) for i in range(6)]
+    rates = {r["host"]: r["rate"] for r in host_rules.host_rates(spark.createDataFrame(rows, "host string, base_failed boolean")).collect()}
+    assert rates["six"] < 0.8 and max(rates.values()) < 0.8  # hosts of one document say nothing about spread
+    rows = [(f"h{i}", j < (90 if i == 7 else 10)) for i in range(20) for j in range(100)]
+    rates = {r["host"]: r["rate"] for r in host_rules.host_rates(spark.createDataFrame(rows, "host string, base_failed boolean")).collect()}
+    assert rates["h7"] > 0.8 and rates["h1"] < 0.2
+    for rows in ([("a", True)], [("a", True), ("b", False)], [("a", False)] * 3, []):
+        out = host_rules.host_rates(spark.createDataFrame(rows, "host string, base_failed boolean")).collect()
+        assert all(0 <= r["rate"] <= 1 for r in out) and len(out) == len(set(rows))

@@ -2,7 +2,7 @@
 
 Base measures come from each document alone. Their failures are summed by
 host, every host's failure rate is shrunk towards the rate of all hosts with a
-beta prior fitted to the hosts themselves (method of moments), and the host's
+beta prior fitted to the hosts themselves (moments of the beta-binomial), and the host's
 verdict is joined back to its documents.
 """
 
@@ -65,16 +65,25 @@ def base_measures(docs: DataFrame, host: str = "source", min_words: int = 50, re
 
 
 def host_rates(base: DataFrame) -> DataFrame:
-    """host, n, failed, rate (shrunk). Hosts' raw rates have mean m and
-    variance v; the prior is Beta(m k, (1 - m) k) with k = m (1 - m) / v - 1.
-    With no spread between hosts (or a single one) k is at its largest, one
-    million, and the rate is the mean of all hosts."""
+    """host, n, failed, rate (shrunk). The prior is Beta(m k, (1 - m) k): m is
+    the share of all documents that fail, k = 1 / r - 1 with r the correlation
+    inside hosts of a beta-binomial, by moments: S = sum n (failed / n - m)^2
+    is expected to be m (1 - m) (r (N - sum n^2 / N) + (1 - r) (hosts - 1)).
+    So hosts weigh by their documents, and what sampling alone spreads is taken
+    off. Where hosts show no spread beyond that (or are single, or have one
+    document each) k is at its largest, one million, and the rate is m."""
     hosts = base.filter("host is not null").groupBy("host").agg(
         F.count("*").alias("n"), F.sum(F.col("base_failed").cast("long")).alias("failed"))
-    raw = F.col("failed") / F.col("n")
-    prior = hosts.agg(F.avg(raw).alias("m"), F.coalesce(F.var_pop(raw), F.lit(0.0)).alias("v"))
-    k = F.when(F.col("v") > 0, F.least(F.lit(1e6), F.greatest(F.lit(1e-6), F.col("m") * (1 - F.col("m")) / F.col("v") - 1))).otherwise(1e6)
-    prior = F.broadcast(prior.select("m", k.alias("k")))  # one row
+    n, failed = F.col("n").cast("double"), F.col("failed").cast("double")
+    sums = hosts.agg(F.count("*").alias("hosts"), F.sum("n").alias("total"), F.sum(n * n).alias("squares"),
+                     (F.sum("failed") / F.sum("n")).alias("m"), F.sum(failed * failed / n).alias("raw"))
+    spread = F.col("raw") - F.col("total") * F.col("m") * F.col("m")
+    free = F.col("hosts") - 1
+    room = F.col("total") - F.col("squares") / F.col("total") - free
+    even = F.col("m") * (1 - F.col("m"))
+    r = F.when((even > 0) & (room > 1e-9 * F.col("total")), (spread / even - free) / room)
+    k = F.when(r > 0, F.least(F.lit(1e6), F.greatest(F.lit(1e-6), 1 / r - 1))).otherwise(1e6)
+    prior = F.broadcast(sums.select("m", k.alias("k")))  # one row
     return hosts.crossJoin(prior).select(
         "host", "n", "failed", ((F.col("failed") + F.col("m") * F.col("k")) / (F.col("n") + F.col("k"))).alias("rate"))
 
