@@ -264,3 +264,13 @@ def test_host_prior_takes_sampling_off(spark):
     for rows in ([("a", True)], [("a", True), ("b", False)], [("a", False)] * 3, []):
         out = host_rules.host_rates(spark.createDataFrame(rows, "host string, base_failed boolean")).collect()
         assert all(0 <= r["rate"] <= 1 for r in out) and len(out) == len(set(rows))
+
+
+def test_a_language_of_long_texts_is_learned(spark):
+    rows = [(i, " ".join(f"the quick brown fox number {j}" for j in range(20)), "en") for i in range(40)]
+    rows += [(100 + i, "12 " * 40 + " ".join(f"der schnelle braune Fuchs Nummer {i} {j}" for j in range(900)), "de") for i in range(6)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    texts, langs = language_id.training_sample(df, F.lit(True), 20, 5000)
+    assert langs.count("en") == 20 and 18 <= langs.count("de") <= 20 and max(map(len, texts)) <= 5000
+    got = by_id(language_id.language_id(df, max_chars=5000))
+    assert all(got[r[0]]["lang_pred"] == r[2] for r in rows)

@@ -113,21 +113,42 @@ def fit(texts: list[str], langs: list[str], landmarks: int = 48, orders: int = 3
 def training_sample(docs: DataFrame, train, per_language: int, max_chars: int) -> tuple[list[str], list[str]]:
     """At most about ``per_language`` labelled texts of each language, chosen by
     a hash of the id, none longer than ``max_chars``: the documented bound on
-    what the fit reads. Labels are counted over all rows."""
+    what the fit reads. A language with fewer such texts is filled up with
+    slices of ``max_chars`` from its longer ones, as many of each as needed."""
     labelled = docs.filter(train & F.col("lang").isNotNull() & F.col("doc_id").isNotNull())
-    counts = {r[0]: r[1] for r in labelled.groupBy("lang").count().collect()}  # reads no text
+    labelled = labelled.filter(F.col("text").rlike(r"\p{L}"))
+    brief = F.length("text") <= max_chars
+    counts = {r[0]: (r[1], r[2]) for r in labelled.groupBy("lang").agg(F.count_if(brief), F.count_if(~brief)).collect()}
     if not counts:
         return [], []
-    usable = labelled.filter((F.length("text") <= max_chars) & F.col("text").rlike(r"\p{L}"))
     u = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)) / float(1 << 40)
-    rate = F.create_map(*[F.lit(v) for k, n in sorted(counts.items()) for v in (k, min(1.0, 1.5 * per_language / n))])
-    some = usable.withColumn("u", u).filter(F.col("u") < rate[F.col("lang")]).select("lang", "text", (F.col("u") / rate[F.col("lang")]).alias("u"), "doc_id")
-    got, texts, langs = dict.fromkeys(counts, 0), [], []
-    for r in some.orderBy("u", "doc_id", "text").limit(2 * per_language * len(counts)).collect():
-        got[r["lang"]] += 1
-        if got[r["lang"]] <= per_language:
-            texts.append(r["text"])
-            langs.append(r["lang"])
+    texts, langs = [], []
+
+    def take(rows: DataFrame, wanted: dict, there: dict) -> None:
+        """``wanted`` texts of each language, by hash, out of rows of which there are ``there``."""
+        rate = F.create_map(*[F.lit(v) for k, n in sorted(wanted.items()) for v in (k, min(1.0, 1.5 * n / there[k]))])
+        some = rows.withColumn("u", u).filter(F.col("u") < rate[F.col("lang")]).withColumn("u", F.col("u") / rate[F.col("lang")])
+        got = dict.fromkeys(wanted, 0)
+        if "pieces" in rows.columns:
+            some = some.withColumn("at", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
+            some = some.withColumn("text", F.substring("text", (F.col("at") * F.lit(max_chars) + 1).cast("int"), F.lit(max_chars))).filter(F.col("text").rlike(r"\p{L}"))
+        else:
+            some = some.withColumn("at", F.lit(0))
+        for r in some.select("lang", "text", "u", "doc_id", "at").orderBy("at", "u", "doc_id", "text").limit(2 * sum(wanted.values())).collect():
+            got[r["lang"]] += 1
+            if got[r["lang"]] <= wanted[r["lang"]]:
+                texts.append(r["text"])
+                langs.append(r["lang"])
+
+    short = {k: n for k, (n, _) in counts.items() if n}
+    if short:
+        take(labelled.filter(brief), dict.fromkeys(short, per_language), short)
+    long = {k: n for k, (few, n) in counts.items() if n and few < per_language}
+    if long:
+        lack = {k: per_language - counts[k][0] for k in long}
+        each = F.create_map(*[F.lit(v) for k, n in sorted(long.items()) for v in (k, -(-lack[k] // n))])
+        rows = labelled.filter(~brief & F.col("lang").isin(list(long))).withColumn("text", F.regexp_replace("text", r"^\P{L}+", ""))
+        take(rows.withColumn("pieces", F.least(each[F.col("lang")], F.ceil(F.length("text") / max_chars).cast("int"))), lack, long)
     return texts, langs
 
 
