@@ -41,12 +41,13 @@ def shared_dir(spark: SparkSession) -> str:
     return d.rstrip("/")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
     """Write ``df`` to a new folder of the shared checkpoint folder and read it
     back: cuts the lineage, survives lost executors, is computed once."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/llm-{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    writer = df.write.option("compression", "zstd")
+    (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._written_path = path
     return out

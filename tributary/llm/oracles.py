@@ -84,10 +84,15 @@ rates AS (SELECT source, (failed + m * k) / (n + k) AS rate FROM hosts, k)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT coalesce(rate > 0.8, FALSE) AS kept
 FROM judged LEFT JOIN rates USING (source)"""
 
+OP13 = """WITH n AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+g AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM n GROUP BY t)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256 FROM n JOIN g USING (t)"""
+
 ORACLES: dict[str, str] = {
     "op1_substring_dedup": OP1,
     "op6_graph_dedup": OP6,
     "op7_mixing": OP7,
     "op8_quote_linking": OP8,
     "op9_host_rules": OP9,
+    "op13_block_naming": OP13,
 }
