@@ -53,6 +53,11 @@ def written(df: DataFrame, name: str, partition_by: str | None = None) -> DataFr
     return out
 
 
+def again(df: DataFrame) -> DataFrame:
+    """The table of a frame of ``written`` as a frame of its own, for joins with itself."""
+    return df.sparkSession.read.schema(df.schema).parquet(df._written_path)
+
+
 def drop_written(df: DataFrame) -> None:
     """Delete the folder behind a frame of ``written`` that nothing reads any more."""
     spark, path = df.sparkSession, getattr(df, "_written_path", None)

@@ -84,6 +84,18 @@ rates AS (SELECT source, (failed + m * k) / (n + k) AS rate FROM hosts, k)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT coalesce(rate > 0.8, FALSE) AS kept
 FROM judged LEFT JOIN rates USING (source)"""
 
+OP11 = """WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda c: floor(256 * CAST(c AS DOUBLE))) AS x FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+scored AS (SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS own, CAST(list_inner_product(a.x, b.x) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.x) = len(b.x) WHERE a.vec_id % 100 = 0),
+positives AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM scored WHERE own
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5),
+banded AS (SELECT anchor_id, positive_id, positive_score, id AS negative_id, score AS negative_score,
+    CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) AS INTEGER) AS rank
+  FROM positives JOIN scored USING (anchor_id) WHERE NOT own AND 80 * positive_score <= 100 * score AND score <= positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM banded WHERE rank <= 5"""
+
 OP13 = """WITH n AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
 g AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM n GROUP BY t)
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256 FROM n JOIN g USING (t)"""
@@ -94,5 +106,6 @@ ORACLES: dict[str, str] = {
     "op7_mixing": OP7,
     "op8_quote_linking": OP8,
     "op9_host_rules": OP9,
+    "op11_hard_negatives": OP11,
     "op13_block_naming": OP13,
 }
