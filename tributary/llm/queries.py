@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tributary.llm import block_naming, bpe, graph_dedup, hard_negatives, host_rules, language_id, mixing, quote_linking, simhash, substring_dedup, suffix_dedup, token_counts
+from tributary.llm import block_naming, bpe, graph_dedup, hard_negatives, host_rules, language_id, mixing, quote_linking, simhash, substring_dedup, suffix_dedup, token_counts, whitening
 from tributary.llm.common import ship
 from tributary.llm.oracles import ORACLES
 
@@ -65,9 +65,13 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.hard_negatives(vectors.withColumn("label", label))
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"))
+
+
 def op13_block_naming(spark: SparkSession, sf_dir: str) -> DataFrame:
     return block_naming.block_naming(_table(spark, sf_dir, "documents"))
 
 
 QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_suffix_dedup, op3_token_counts, op4_language_id, op5_bpe_round_trip, op6_graph_dedup, op7_mixing, op8_quote_linking,
-                                   op9_host_rules, op10_simhash, op11_hard_negatives, op13_block_naming)}
+                                   op9_host_rules, op10_simhash, op11_hard_negatives, op12_whitening, op13_block_naming)}
