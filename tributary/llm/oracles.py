@@ -45,12 +45,11 @@ SELECT i.doc_id, i.size, g.source_size, g.target,
   CAST(i.size * (g.repeats + CASE WHEN i.key < c.threshold OR (c.edge AND i.key = c.threshold) THEN 1 ELSE 0 END) AS BIGINT) AS taken
 FROM items i JOIN rests g ON i.source IS NOT DISTINCT FROM g.source JOIN cut c ON i.source IS NOT DISTINCT FROM c.source"""
 
-QUOTE = r"^[ \t]*(>[ \t]*)+"
-ATTRIBUTION = r"(?i)^[ \t]*(on\b.*\bwrote|le\b.*\ba écrit|am\b.*\bschrieb.*|el\b.*\bescribió)[ \t]*:[ \t]*$"
+MARKS = r"^[ \t>]*"
 OP8 = rf"""WITH m AS (SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations),
 raw AS (SELECT conv_id, turn, unnest(string_split_regex(text, '\r?\n')) AS line FROM m WHERE conv_id IS NOT NULL AND turn IS NOT NULL),
-lines AS (SELECT conv_id, turn, length(regexp_replace(regexp_extract(line, '{QUOTE}', 0), '[^>]', '', 'g')) AS depth,
-  lower(trim(regexp_replace(regexp_replace(line, '{QUOTE}', ''), '\s+', ' ', 'g'))) AS line FROM raw),
+lines AS (SELECT conv_id, turn, length(regexp_replace(regexp_extract(line, '{MARKS}', 0), '[^>]', '', 'g')) AS depth,
+  lower(trim(regexp_replace(regexp_replace(line, '{MARKS}', ''), '\s+', ' ', 'g'))) AS line FROM raw),
 said AS (SELECT conv_id, line, min(turn) AS said FROM lines WHERE depth = 0 AND line <> '' GROUP BY 1, 2),
 found AS (SELECT q.conv_id, q.turn, q.depth, CASE WHEN s.said < q.turn THEN s.said END AS said, count(*) AS times
   FROM lines q LEFT JOIN said s USING (conv_id, line) WHERE q.depth > 0 AND q.line <> '' GROUP BY 1, 2, 3, 4),
@@ -61,8 +60,9 @@ turns AS (SELECT DISTINCT conv_id, turn FROM m WHERE conv_id IS NOT NULL AND tur
 parents AS (SELECT t.conv_id, t.turn, answers, lag(t.turn) OVER (PARTITION BY t.conv_id ORDER BY t.turn) AS previous FROM turns t LEFT JOIN best USING (conv_id, turn)),
 threads AS (SELECT conv_id, turn, coalesce(answers, previous) AS parent_turn,
   max(CASE WHEN previous IS NULL OR coalesce(answers, previous) <> previous THEN turn END) OVER (PARTITION BY conv_id ORDER BY turn) AS thread FROM parents),
-own AS (SELECT *, regexp_replace(array_to_string(list_filter(string_split_regex(text, '\r?\n'),
-  lambda x: NOT regexp_matches(x, '{QUOTE}') AND NOT regexp_matches(x, '{ATTRIBUTION}')), chr(10)), '^\s+|\s+$', '', 'g') AS content FROM m)
+cut AS (SELECT *, string_split_regex(text, '\r?\n') AS ls FROM m),
+own AS (SELECT *, regexp_replace(array_to_string(list_filter(ls, lambda x, i: NOT regexp_matches(x, '^[ \t]*>')
+  AND NOT (regexp_matches(x, ':[ \t]*$') AND coalesce(regexp_matches(ls[i + 1], '^[ \t]*>'), FALSE))), chr(10)), '^\s+|\s+$', '', 'g') AS content FROM cut)
 SELECT o.conv_id, thread, o.turn, o.role, parent_turn, CAST(coalesce(quoted, 0) AS BIGINT) AS quoted, CAST(coalesce(linked, 0) AS BIGINT) AS linked, content,
   '<|' || coalesce(o.role, 'unknown') || '|>' || chr(10) || content AS formatted
 FROM own o LEFT JOIN threads t ON o.conv_id = t.conv_id AND o.turn = t.turn LEFT JOIN counts c ON o.conv_id = c.conv_id AND o.turn = c.turn"""

@@ -25,9 +25,10 @@ from pyspark.sql import functions as F
 
 from tributary.llm.common import drop_written, written
 
-QUOTE = r"^[ \t]*(>[ \t]*)+"
-#: Attribution lines that stand before a quote.
-ATTRIBUTION = r"(?i)^[ \t]*(on\b.*\bwrote|le\b.*\ba écrit|am\b.*\bschrieb.*|el\b.*\bescribió)[ \t]*:[ \t]*$"
+#: Quote marks and blanks before a line; one possessive class, so that no line is too long for it.
+MARKS = r"^[ \t>]*+"
+#: A line of own words that may announce a quote: it ends with a colon.
+ANNOUNCES = r":[ \t]*$"
 BLOCK = 1024
 #: Words of a window; a passage of fewer words is one window.
 WINDOW = 5
@@ -36,12 +37,29 @@ WINDOW = 5
 def _parsed() -> Column:
     """The text's lines that hold words: quote level (0 for own words) and the normalised line."""
     def one(line: Column) -> Column:
-        bare = F.lower(F.trim(F.regexp_replace(F.regexp_replace(line, QUOTE, ""), r"\s+", " ")))
-        return F.struct(F.length(F.regexp_replace(F.regexp_extract(line, QUOTE, 0), "[^>]", "")).alias("depth"), bare.alias("bare"))
+        bare = F.lower(F.trim(F.regexp_replace(F.regexp_replace(line, MARKS, ""), r"\s+", " ")))
+        return F.struct(_depth(line).alias("depth"), bare.alias("bare"))
 
     return F.filter(F.transform(F.split("text", "\r?\n"), one), lambda x: x["bare"] != "")
 
 
+def _depth(line: Column) -> Column:
+    """How many quote marks stand before a line."""
+    return F.length(F.translate(F.regexp_extract(line, MARKS, 0), " \t", ""))
+
+
+def own_lines(text: Column) -> Column:
+    """The lines without quotes, and without the line that announces one: it
+    stands directly before a quoted line and ends with a colon."""
+    lines = F.transform(F.split(text, "\r?\n"), lambda x: F.struct(x.alias("line"), (_depth(x) > 0).alias("quoted")))
+
+    def own(lines: Column) -> Column:
+        follows = lambda i: F.coalesce(F.get(lines, i + 1)["quoted"], F.lit(False))
+        return F.filter(lines, lambda x, i: ~x["quoted"] & ~(follows(i) & x["line"].rlike(ANNOUNCES)))
+
+    return F.transform(own(lines), lambda x: x["line"])
+
+
 def _lines(messages: DataFrame) -> DataFrame:
     """conv_id, turn, depth and the hash of the normalised line."""
     return messages.select("conv_id", "turn", F.explode(_parsed()).alias("x")).select(
@@ -212,11 +230,12 @@ def quote_linking(conversations: DataFrame) -> DataFrame:
     Rows are sorted by (conv_id, place), the conversation in reply order (see
     ``reply_order``); with interleaved threads that is not the order of turns.
     ``thread`` is the latest turn so far that did not answer its neighbour.
-    ``content`` is the text without quoted lines and attributions, trimmed;
+    ``content`` is the text without quoted lines and the lines that announce
+    them (see ``own_lines``), trimmed;
     ``formatted`` is it under its role. A null text counts as empty, a null
     role as ``unknown``. A null conversation or turn links with nothing
     (parent_turn and thread null). Rows of one conversation and turn share
-    their links. Extra columns are not read; an empty table gives an empty
+    their links. Lines may be of any length and depth. Extra columns are not read; an empty table gives an empty
     result.
     """
     rows = conversations.select("conv_id", F.col("turn").cast("long").alias("turn"), "role", F.coalesce("text", F.lit("")).alias("text"))
@@ -224,7 +243,7 @@ def quote_linking(conversations: DataFrame) -> DataFrame:
     turns = written(turns.join(reply_links(rows), ["conv_id", "turn"], "left"), "quotes-turns")
     placed = written(threads(turns.select("conv_id", "turn", "answers")), "quotes-placed")
     placed = placed.join(turns.select("conv_id", "turn", "quoted", "linked"), ["conv_id", "turn"]).join(reply_order(placed), ["conv_id", "turn"])
-    own = F.array_join(F.filter(F.split("text", "\r?\n"), lambda x: ~x.rlike(QUOTE) & ~x.rlike(ATTRIBUTION)), "\n")
+    own = F.array_join(own_lines(F.col("text")), "\n")
     out = rows.join(placed, ["conv_id", "turn"], "left").orderBy("conv_id", "place", "turn")
     out = out.withColumn("content", F.regexp_replace(own, r"^\s+|\s+$", ""))
     return out.select("conv_id", "thread", "turn", "role", "parent_turn", F.coalesce("quoted", F.lit(0)).cast("long").alias("quoted"),
