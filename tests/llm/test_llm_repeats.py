@@ -102,3 +102,30 @@ def test_ties_and_empty(spark):
     assert sorted((r["n_bytes"], r["n_removed"], r["n_spans"]) for r in suffix_dedup.suffix_dedup(df).collect()) == [(0, 0, 0)] * 2 + [(400, 400, 1)] * 2
     assert substring_dedup.substring_dedup(df.limit(0)).count() == 0
     assert suffix_dedup.suffix_dedup(df.limit(0)).count() == 0
+
+
+def thue_morse(n):
+    return ["ab"[bin(i).count("1") % 2] for i in range(n)]
+
+
+def test_words_that_defeat_polynomial_hashes_are_told_apart(spark):
+    """Thue-Morse strings and their complements have equal polynomial hashes modulo 2^64, whatever the odd base."""
+    one = "".join(thue_morse(2048))
+    other = one.translate(str.maketrans("ab", "ba"))
+    short = [f"w{i}" for i in range(34)]
+    texts = [" ".join([*short, one]), " ".join([*short, other]), " ".join([*short, one[:400]]), " ".join([*short, other[:400]]), " ".join([one, *short]), " ".join([one, *short])]
+    got = sorted((r["doc_id"], r["n_words"], r["n_removed"], r["kept"]) for r in substring_dedup.substring_dedup(frame(spark, texts)).collect())
+    assert got == [(i, *w) for i, w in enumerate(brute_words(texts, 35))]
+    assert [g[2] for g in got] == [0, 0, 0, 0, 35, 35]
+
+
+def test_word_hashes_know_bytes_and_length_only():
+    import numpy as np
+
+    words = [b"a", b"a\0", b"ab", b"\0a", b"abcdefgh", b"abcdefgh\0", b"abcdefghi", b"x" * 511, b"x" * 512, b"x" * 513, b"x" * 600, b"x" * 599 + b"y"]
+    content = np.frombuffer(b"\n".join(words + words[::-1]), np.uint8)
+    end = np.cumsum([len(w) + 1 for w in words + words[::-1]]) - 1
+    start = end - [len(w) for w in words + words[::-1]]
+    h, g = (substring_dedup.word_hashes(content, start, end, s) for s in (1, 2))
+    assert len(set(h.tolist())) == len(words) and not set(h.tolist()) & set(g.tolist())
+    assert h[:12].tolist() == h[12:][::-1].tolist()

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 
 from tributary.llm import chunks as C
@@ -25,33 +26,50 @@ PROBES_DDL = "bucket long, chunk long, keys binary, own binary"
 PROBES = pa.schema([("bucket", pa.int64()), ("chunk", pa.int64()), ("keys", pa.binary()), ("own", pa.binary())])
 
 
+LONG = 512
+
+
+def word_hashes(content: np.ndarray, start: np.ndarray, end: np.ndarray, seed: int) -> np.ndarray:
+    """A hash of each word's bytes: 8 of them at a time go through a bijection
+    that spreads their bits (no polynomial, which periodic texts could defeat);
+    words of more than ``LONG`` bytes go through XXH3."""
+    size = end - start
+    out = C.mix(C.mix(size.astype(np.uint64) + C.ONE) ^ np.uint64(seed))
+    padded = np.concatenate([content, np.zeros(8, np.uint8)])
+    eight = np.lib.stride_tricks.sliding_window_view(padded, 8)
+    at, step = np.flatnonzero(size <= LONG), 0
+    while len(at):
+        value = np.ascontiguousarray(eight[start[at] + 8 * step]).view(np.uint64).ravel()
+        left = np.minimum(8, size[at] - 8 * step).astype(np.uint64) * np.uint64(8)
+        value = value << (np.uint64(64) - left)
+        out[at] = C.mix(out[at] ^ value) + np.uint64(step + 1)
+        step += 1
+        at = at[size[at] > 8 * step]
+    for i in np.flatnonzero(size > LONG).tolist():
+        out[i] = xxhash.xxh3_64_intdigest(content[start[i]:end[i]], seed)
+    return out
+
+
 class Words:
-    """Words of a chunk: byte ranges, 64-bit hashes, and the first word of each document."""
+    """Words of a chunk: byte ranges, hashes (an independent one for each base), and the first word of each document."""
 
     def __init__(self, content: np.ndarray, sizes: list[int]):
         word = ~WHITE[content]
         step = np.diff(np.r_[False, word, False].view(np.int8))
-        self.start, self.end = np.flatnonzero(step == 1), np.flatnonzero(step == -1)
+        self.content, self.start, self.end = content, np.flatnonzero(step == 1), np.flatnonzero(step == -1)
         offset = np.r_[0, np.cumsum(np.array(sizes, np.int64) + 1)]
         self.first = np.searchsorted(self.start, offset)
-        self.hash = np.zeros(len(self.start), np.uint64)
-        lo = 0
-        while lo < len(self.start):  # in slices that stay in cache; a slice ends between words
-            hi = max(lo + 1, int(np.searchsorted(self.end, self.start[lo] + 65536, side="right")))
-            at = self.start[lo]
-            sums = C.prefix(content[at:self.end[hi - 1]].astype(np.uint64) + C.ONE, C.BASES[0])
-            self.hash[lo:hi] = C.mix(C.span_hash(sums, self.start[lo:hi] - at, self.end[lo:hi] - at, C.BASES[0]))
-            lo = hi
+        self.count = len(self.start)
         self.sums: dict[int, np.ndarray] = {}
 
     def windows(self, n: int) -> np.ndarray:
         """Words at which a window of n words of one document starts."""
         last = np.repeat(self.first[1:], np.diff(self.first))
-        return np.flatnonzero(last - np.arange(len(self.hash)) >= n)
+        return np.flatnonzero(last - np.arange(self.count) >= n)
 
     def window_hash(self, start: np.ndarray, n: int, base: int) -> np.ndarray:
         if base not in self.sums:
-            self.sums[base] = C.prefix(self.hash, base)
+            self.sums[base] = C.prefix(word_hashes(self.content, self.start, self.end, base), base)
         return C.mix(C.span_hash(self.sums[base], start, start + n, base))
 
 
@@ -72,7 +90,7 @@ class Anchors:
     def candidates(self, blocks: np.ndarray) -> np.ndarray:
         """Starts of the windows that hold an anchor; blocks: how many there are of each key."""
         hit = self.at[blocks[self.inverse] > self.aligned]
-        near = np.zeros(len(self.words.hash) + 1, np.int64)
+        near = np.zeros(self.words.count + 1, np.int64)
         np.add.at(near, np.maximum(0, hit - (self.window - self.block)), 1)
         np.add.at(near, hit + 1, -1)
         start = self.words.windows(self.window)
@@ -115,10 +133,14 @@ def substring_dedup(docs: DataFrame, window: int = 35, chunk_bytes: int = 2 << 2
 
     Three passes over the chunk table; its texts are never shuffled. Probes
     are 4 bytes and a bucket's share of the hash (a false anchor costs a
-    candidate, no wrong result), contents 96 bits and the bucket's share. For
+    candidate, no wrong result), contents 96 bits and the bucket's share, of two
+    hashes that share no word hash. Windows are no longer than 1,023 words
+    (sums of that few terms modulo 2^64 know no periodic pattern that cancels). For
     larger inputs raise chunk_bytes and bucket_bytes together, so that a row
     between a chunk and a bucket stays full.
     """
+    if not 1 <= window < 1024:
+        raise ValueError("window must be from 1 to 1023 words")
     chunks = C.pack(docs, b"\n", chunk_bytes)
     buckets = C.bucket_count(chunks, bucket_bytes)
 
@@ -141,7 +163,7 @@ def substring_dedup(docs: DataFrame, window: int = 35, chunk_bytes: int = 2 << 2
             start = a.candidates(C.placed(a.keys, buckets, row["anchors"]))
             keys, _, _, inverse = a.contents(start)
             start = start[C.placed(keys, buckets, row["repeats"])[inverse] > 0]
-            words, cover = a.words, np.zeros(len(a.words.hash) + 1, np.int64)
+            words, cover = a.words, np.zeros(a.words.count + 1, np.int64)
             np.add.at(cover, start, 1)
             np.add.at(cover, start + window, -1)
             covered = np.cumsum(cover)[:-1] > 0
