@@ -9,18 +9,18 @@ two matrix products: presence by landmarks, then landmarks by languages.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tributary.llm.common import rows_to_batch
 
-LETTER = re.compile(r"[^\W\d_]")
+LETTER = regex.compile(r"\p{L}")  # as training asks of Spark's rlike
 UNKNOWN = "und"
 DDL = "doc_id long, held_out boolean, lang_pred string, score double"
 ARROW = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("lang_pred", pa.string()), ("score", pa.float64())])
