@@ -274,3 +274,22 @@ def test_a_language_of_long_texts_is_learned(spark):
     assert langs.count("en") == 20 and 18 <= langs.count("de") <= 20 and max(map(len, texts)) <= 5000
     got = by_id(language_id.language_id(df, max_chars=5000))
     assert all(got[r[0]]["lang_pred"] == r[2] for r in rows)
+
+
+def test_quotes_of_any_depth_and_lines_that_announce_them(spark):
+    deep = ">" * 1_000_000
+    rows = [(1, 0, "user", "On this topic Smith wrote:"), (1, 1, "user", deep + " On this topic Smith wrote:\nfine\n" + "> " * 500_000),
+            (1, 2, "user", "see:\n\n> fine\nNote:\n >fine\nDone:"), (1, 3, "user", " \t" * 300_000 + "x"), (1, 4, "user", "y " * 300_000 + "\n" + "z" * 1_000_000)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumns(
+        {"depth": F.lit(1), "block": F.lit("b"), "place": F.lit(2), "said": F.lit(None), "line": F.lit("x"), "lines": F.lit(0), "quoted": F.lit("q")})
+    got = {r["turn"]: r for r in quote_linking.quote_linking(df).collect()}
+    assert got[0]["content"] == "On this topic Smith wrote:"
+    assert (got[1]["content"], got[1]["quoted"], got[1]["linked"], got[1]["parent_turn"]) == ("fine", 1, 1, 0)
+    assert (got[2]["content"], got[2]["quoted"], got[2]["linked"], got[2]["parent_turn"]) == ("see:\n\nDone:", 2, 2, 1)
+    assert got[3]["content"] == "x" and len(got[4]["content"]) == 1_600_001
+
+
+def test_texts_without_letters_are_unknown(spark):
+    rows = [(0, "one two three", "en"), (1, "eins zwei drei", "de"), (2, "12 ½", None), (3, "² ① Ⅷ _ 7", None), (5, "ª", None), (8, "一", None)]
+    got = {r["doc_id"]: r["lang_pred"] for r in language_id.language_id(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert got[2] == got[3] == "und" and "und" not in (got[5], got[8], got[0], got[1])
