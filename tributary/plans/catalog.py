@@ -188,27 +188,35 @@ def q_channels_19(spark, sf_dir):
 
 @register("write_table")
 def q_write_table(spark, sf_dir):
-    from ..streaming.incremental import write_table
-    path = _path(spark, "table")
-    write_table(pipe(spark, sf_dir).sessions, path, partition_by=["channel"])
-    return spark.read.parquet(path).select(*SESSION_OUT)
+    """A first version with half of the sessions, then the whole as the next one."""
+    from ..streaming.tables import read_table, write_table
+    path, sessions = _path(spark, "table"), pipe(spark, sf_dir).sessions
+    write_table(sessions.where(F.col("session_id") % 2 == 0), path, partition_by=["channel"])
+    write_table(sessions, path, partition_by=["channel"])
+    return read_table(spark, path).select(*SESSION_OUT)
 
 
 @register("register_view")
 def q_register_view(spark, sf_dir):
-    from ..streaming.incremental import register_view
-    register_view(pipe(spark, sf_dir).conversions, "catalog_conversions")
-    return spark.sql(f"SELECT {', '.join(CONVERSION_OUT)} FROM catalog_conversions")
+    """A view over a published table, opened by another session."""
+    from ..streaming.tables import open_view, register_view, write_table
+    path, views = _path(spark, "conversions"), _path(spark, "views")
+    write_table(pipe(spark, sf_dir).conversions, path, partition_by=["event_date"])
+    register_view(spark, views, "staged", "SELECT * FROM {conversions}", {"conversions": path})
+    register_view(spark, views, "report", f"SELECT {', '.join(CONVERSION_OUT)} FROM {{staged}}", {"staged": "view:staged"})
+    other = spark.newSession()
+    other.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
+    return open_view(other, views, "report")
 
 
 @register("write_incremental")
 def q_write_incremental(spark, sf_dir):
     """A table without revenue; then the days from 20 January are replaced."""
-    from ..streaming.incremental import write_incremental, write_table
+    from ..streaming.tables import read_table, write_incremental, write_table
     path, c = _path(spark, "incremental"), pipe(spark, sf_dir).conversions.select(*CONVERSION_OUT)
     write_table(c.withColumn("purchase_revenue", F.lit(None).cast("double")), path, partition_by=["event_date"])
     write_incremental(c.where(F.col("event_date") >= "20240120"), path, "event_date")
-    return spark.read.parquet(path).select(*[F.col(x).cast("string").alias(x) if x == "event_date" else x for x in CONVERSION_OUT])
+    return read_table(spark, path)
 
 
 def _refreshed(spark, sf_dir, table):
@@ -216,11 +224,12 @@ def _refreshed(spark, sf_dir, table):
     for all days but the first three, and a refresh of the days they touch."""
     from ..sources.fixtures import FLAT_EVENT_COLUMNS, fixture_base
     from ..streaming.incremental import days_between, refresh_staging
+    from ..streaming.tables import read_table
     out, cfg, base = _path(spark, "staging"), pipe(spark, sf_dir).cfg, fixture_base(spark, sf_dir)
     late = (F.col("_k") % 9 == 0) & (F.col("event_date") >= "20240118")
     refresh_staging(base.where(~late).select(*FLAT_EVENT_COLUMNS), cfg, out, days_between(cfg.scan_start_date, cfg.end_date))
     refresh_staging(base.select(*FLAT_EVENT_COLUMNS), cfg, out, days_between("20240118", cfg.end_date))
-    return spark.read.parquet(f"{out}/{table}")
+    return read_table(spark, f"{out}/{table}")
 
 
 @register("refresh_staging_sessions")
@@ -230,8 +239,7 @@ def q_refresh_sessions(spark, sf_dir):
 
 @register("refresh_staging_conversions")
 def q_refresh_conversions(spark, sf_dir):
-    c = _refreshed(spark, sf_dir, "stg_conversions")
-    return c.select(*[F.col(x).cast("string").alias(x) if x == "event_date" else x for x in CONVERSION_OUT])
+    return _refreshed(spark, sf_dir, "stg_conversions").select(*CONVERSION_OUT)
 
 
 # ---- stand-alone staging -----------------------------------------------------------
