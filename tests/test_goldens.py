@@ -197,7 +197,7 @@ def test_organic_channel_in_roas_has_no_cost(spark):
     _, _, j = run(spark, rows)
     mart = models.counted_mart(j, CFG)
     cost = _cost(spark, [(date(2024, 1, 20), "Paid Social", "c", 10.0, 100, 7, "meta_ads")])
-    r = cost_ops.roas(mart, cost_ops.unified_cost(cost), CFG).where("model = 'last_click'").first()
+    r = cost_ops.roas(cost_ops.attribution_daily(mart, CFG), cost_ops.unified_cost(cost)).where("model = 'last_click'").first()
     assert r.channel == "Organic Search" and r.cost_usd is None and r.roas is None and r.cpa is None
     assert r.rpc == 100.0
 

@@ -55,16 +55,9 @@ def cost_daily(unified: DataFrame) -> DataFrame:
     )
 
 
-def roas(mart: DataFrame, unified: DataFrame, cfg: AttributionConfig,
-         data_driven_model: str = "data_driven_bqml") -> DataFrame:
-    """date x model x event x channel with cost (purchase rows only), ROAS,
-    CPA, RPC, marginal value (data-driven minus last click) and efficiency,
-    from the counted mart (a conversion has one date).
-
-    Last-click and data-driven values come from the same rollup through a
-    window over (date, event, channel) instead of two extra scans and joins.
-    """
-    daily = mart.groupBy(
+def attribution_daily(mart: DataFrame, cfg: AttributionConfig) -> DataFrame:
+    """date x model x event x value mode x channel totals of the counted mart (a conversion has one date)."""
+    return mart.groupBy(
         utc_date("conversion_ts").alias("date"), "model", "conversion_event",
         value_mode_case("conversion_event", cfg).alias("value_mode"), "channel",
     ).agg(
@@ -72,6 +65,16 @@ def roas(mart: DataFrame, unified: DataFrame, cfg: AttributionConfig,
         exact_sum("attributed_credit").alias("_credit"),
         exact_sum("attributed_value_usd").alias("_value"),
     )
+
+
+def roas(daily: DataFrame, unified: DataFrame, data_driven_model: str = "data_driven_bqml") -> DataFrame:
+    """date x model x event x channel with cost (purchase rows only), ROAS,
+    CPA, RPC, marginal value (data-driven minus last click) and efficiency,
+    from the daily totals (``attribution_daily``).
+
+    Last-click and data-driven values come from the same rollup through a
+    window over (date, event, channel) instead of two extra scans and joins.
+    """
     w = Window.partitionBy("date", "conversion_event", "channel")
     lc = F.max(F.when(F.col("model") == "last_click", F.col("_value"))).over(w)
     dd = F.max(F.when(F.col("model") == data_driven_model, F.col("_value"))).over(w)

@@ -157,17 +157,17 @@ def base_features(journeys_df: DataFrame) -> DataFrame:
     )
 
 
-def data_driven(journeys_df: DataFrame, model: LogisticModel, cfg: AttributionConfig) -> DataFrame:
-    """Removal-effect attribution: effect_c = max(p_all - p_without_c, 0);
-    share = effect / sum(effects), or 1/19 to every channel when all effects
-    are 0; zero shares dropped; ROUND(share, 6). With the mart's count columns."""
-    bf = base_features(journeys_df)
+def removal_shares(flagged: DataFrame, model: LogisticModel) -> tuple[DataFrame, Column]:
+    """Rows with the 19 flags -> a row for each credited channel (``_e.channel``,
+    its place ``_at``) with the other columns, and the Column of the credit.
+    effect_c = max(p_all - p_without_c, 0); share = effect / sum(effects), or
+    1/19 to every channel when all effects are 0; zero shares dropped; ROUND(share, 6)."""
     z = model.logit()
     n = len(FEATURE_CHANNELS)
     chans = F.array(*[F.struct(F.lit(c).alias("channel"), F.lit(float(w)).alias("w"),
                                F.col(f).cast("double").alias("x"))
                       for c, f, w in zip(FEATURE_CHANNELS, model.features, model.weights)])
-    scored = bf.select(*[c for c in bf.columns if c not in FEATURES], z.alias("_z"), chans.alias("_ch"))
+    scored = flagged.select(*[c for c in flagged.columns if c not in FEATURES], z.alias("_z"), chans.alias("_ch"))
     eff = F.transform(F.col("_ch"), lambda e: F.struct(
         e["channel"].alias("channel"),
         F.greatest(sigmoid(F.col("_z")) - sigmoid(F.col("_z") - e["w"] * e["x"]), F.lit(0.0)).alias("eff")))
@@ -175,8 +175,12 @@ def data_driven(journeys_df: DataFrame, model: LogisticModel, cfg: AttributionCo
     s = s.withColumn("_tot", F.aggregate("_eff", F.lit(0.0), lambda acc, e: acc + e["eff"]))
     keep = F.filter("_eff", lambda e: (e["eff"] > 0) | (F.col("_tot") == 0))
     e = s.select(*[c for c in s.columns if c not in ("_eff",)], F.posexplode(keep).alias("_at", "_e"))
-    share = F.when(F.col("_tot") == 0, F.lit(1.0 / n)).otherwise(F.col("_e.eff") / F.col("_tot"))
-    credit = F.round(share, 6)
+    return e, F.round(F.when(F.col("_tot") == 0, F.lit(1.0 / n)).otherwise(F.col("_e.eff") / F.col("_tot")), 6)
+
+
+def data_driven(journeys_df: DataFrame, model: LogisticModel, cfg: AttributionConfig) -> DataFrame:
+    """Removal-effect attribution (``removal_shares``), with the mart's count columns."""
+    e, credit = removal_shares(base_features(journeys_df), model)
     return e.select(
         "user_pseudo_id", "conversion_id", "conversion_ts", "conversion_event", "transaction_id",
         "conversion_value_local", "conversion_value_usd", "path_length", "source", "medium", "campaign",

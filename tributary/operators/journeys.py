@@ -66,19 +66,20 @@ def lookback_lower_bound(conv_us, lookback_days, cfg: AttributionConfig):
 
 
 def touchpoints(sessions: DataFrame, conversions: DataFrame, cfg: AttributionConfig,
-                session_fields=PATH_FIELDS, lookback=None) -> DataFrame:
+                session_fields=PATH_FIELDS, lookback=None, carry=()) -> DataFrame:
     """All (conversion key, session) pairs with the session inside the
     conversion's lookback window, as flat rows.
 
     ``lookback``: Column of days per conversion (default: per-event config).
+    ``carry``: more columns of the conversions to take along.
     """
     bucket_us = cfg.join_bucket_micros
     lb = lookback if lookback is not None else lookback_case(F.col("conversion_event"), cfg)
-    c = conversions.select(*CONV_KEY, lb.cast("long").alias("_lb"))
+    c = conversions.select(*CONV_KEY, *carry, lb.cast("long").alias("_lb"))
     # never null (conversion times are not): stated, so that no null test on it is
     # pushed below the conversions' aggregate
     c = c.withColumn("_lo", F.coalesce(lookback_lower_bound(F.col("conversion_us"), F.col("_lb"), cfg), F.lit(0)))
-    c = c.select(*CONV_KEY, "_lo", explode_buckets(F.col("_lo"), F.col("conversion_us"), bucket_us))
+    c = c.select(*CONV_KEY, *carry, "_lo", explode_buckets(F.col("_lo"), F.col("conversion_us"), bucket_us))
     wanted = [f for f in session_fields if f not in ("hours_before_conversion",)]
     s = sessions.select(
         F.col("user_pseudo_id").alias("_su"), "session_start_us",

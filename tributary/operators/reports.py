@@ -42,6 +42,12 @@ def cross_channel(mart: DataFrame, cfg: AttributionConfig) -> DataFrame:
         exact_sum("attributed_value_usd").alias("_usd"),
         exact_sum("attributed_value_local").alias("_local"),
     )
+    return with_variance(agg)
+
+
+def with_variance(agg: DataFrame) -> DataFrame:
+    """Totals by model, event and channel (``_credit``, ``_usd``, ``_local``)
+    rounded, with averages and the variance from last click."""
     credit = F.col("_credit").cast("double")
     base = agg.select(
         "model", "conversion_event", "value_mode", "channel", "attributed_conversions",

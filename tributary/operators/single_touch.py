@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import MICROS_PER_DAY, AttributionConfig
@@ -40,35 +40,41 @@ def timeline(sessions: DataFrame, conversions: DataFrame, cfg: AttributionConfig
     return s.unionByName(c, allowMissingColumns=True).withColumn("bucket", F.floor(F.col("t") / F.lit(MICROS_PER_DAY)))
 
 
-def touches(line: DataFrame) -> DataFrame:
-    """user, conv, path_length (> 0), first, last, last_non_direct. ``line`` is
-    read twice: hand in a stored one."""
+def touches(line: DataFrame, hits: dict[str, Column] | None = None) -> DataFrame:
+    """user, conv, path_length (> 0), first, last, last_non_direct; with
+    ``hits`` also, by name, how many sessions of the window meet a condition.
+    ``line`` is read twice: hand in a stored one."""
+    counts = {n: F.count(F.when(c, 1)) for n, c in (hits or {}).items()}
     non_direct = F.when(F.col("touch.channel") != "Direct", F.col("touch"))
     count = F.count("touch")
     here = Window.partitionBy("user_pseudo_id", "bucket").orderBy("t", "kind", "tie")
     back, ahead = here.rowsBetween(Window.unboundedPreceding, 0), here.rowsBetween(0, Window.unboundedFollowing)
     inside = line.select(
         "user_pseudo_id", "bucket", "kind", "conv", count.over(back).alias("n"), F.last("touch", True).over(back).alias("last"),
-        F.last(non_direct, True).over(back).alias("last_nd"), F.first("touch", True).over(ahead).alias("next")
+        F.last(non_direct, True).over(back).alias("last_nd"), F.first("touch", True).over(ahead).alias("next"),
+        *[c.over(back).alias(n) for n, c in counts.items()]
     ).where(F.col("kind") != _SESSION)
     ends = line.groupBy("user_pseudo_id", "bucket").agg(
-        count.alias("n"), F.min("touch").alias("next"), F.max("touch").alias("last"), F.max(non_direct).alias("last_nd"))
+        count.alias("n"), F.min("touch").alias("next"), F.max("touch").alias("last"), F.max(non_direct).alias("last_nd"),
+        *[c.alias(n) for n, c in counts.items()])
     over = Window.partitionBy("user_pseudo_id").orderBy("bucket")  # one row for each active day of the user
     before, after = over.rowsBetween(Window.unboundedPreceding, -1), over.rowsBetween(1, Window.unboundedFollowing)
     carry = ends.select(
         "user_pseudo_id", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("c_n"), F.last("last", True).over(before).alias("c_last"),
-        F.last("last_nd", True).over(before).alias("c_nd"), F.first("next", True).over(after).alias("c_next"))
+        F.last("last_nd", True).over(before).alias("c_nd"), F.first("next", True).over(after).alias("c_next"),
+        *[F.coalesce(F.sum(n).over(before), F.lit(0)).alias(f"c_{n}") for n in counts])
     j = inside.join(carry, ["user_pseudo_id", "bucket"])
     upto, start = F.col("kind") == _CONVERSION, F.col("kind") == _START
     total = F.col("n") + F.col("c_n")
     out = j.groupBy("user_pseudo_id", "conv").agg(
         F.max(F.when(upto, total)).alias("_upto"), F.max(F.when(start, total)).alias("_before"),
         F.max(F.when(upto, F.coalesce("last", "c_last"))).alias("last"), F.max(F.when(upto, F.coalesce("last_nd", "c_nd"))).alias("last_nd"),
-        F.max(F.when(start, F.coalesce("next", "c_next"))).alias("first"))
+        F.max(F.when(start, F.coalesce("next", "c_next"))).alias("first"),
+        *[F.sum(F.when(upto, 1).otherwise(-1) * (F.col(n) + F.col(f"c_{n}"))).alias(n) for n in counts])
     out = out.withColumn("path_length", F.col("_upto") - F.col("_before")).where(F.col("path_length") > 0)
     in_window = F.col("last_nd.session_start_us") >= F.col("conv.lo")
     return out.select("user_pseudo_id", "conv", "path_length", "first", "last",
-                      F.when(in_window, F.col("last_nd")).otherwise(F.col("last")).alias("last_non_direct"))
+                      F.when(in_window, F.col("last_nd")).otherwise(F.col("last")).alias("last_non_direct"), *counts)
 
 
 def single_touch(sessions: DataFrame, conversions: DataFrame, cfg: AttributionConfig, models=SINGLE_TOUCH_MODELS,

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import FIXTURE_CONFIG, AttributionConfig
+from ..operators import channel_credits as credit_ops
 from ..operators import conversions as conv_ops
 from ..operators import cost as cost_ops
 from ..operators import data_driven as dd_ops
@@ -143,6 +144,16 @@ class Pipeline:
     # -- marts and reports ---------------------------------------------------
     @cached_property
     def cross_channel(self) -> DataFrame:
+        return credit_ops.cross_channel(self.channel_credits, self.cfg)
+
+    @cached_property
+    def channel_credits(self) -> DataFrame:
+        """Credits of all eight models by conversion and channel, without paths or pairs."""
+        return credit_ops.channel_credits(self.sessions, self.conversions, self.cfg, self.dd_model, self._store("credits"))
+
+    @cached_property
+    def cross_channel_of_mart(self) -> DataFrame:
+        """The same report from the mart's rows."""
         return report_ops.cross_channel(self.counted, self.cfg)
 
     @cached_property
@@ -183,7 +194,7 @@ class Pipeline:
 
     @cached_property
     def roas(self) -> DataFrame:
-        return cost_ops.roas(self.counted, self.unified_cost, self.cfg)
+        return cost_ops.roas(credit_ops.attribution_daily(self.channel_credits, self.cfg), self.unified_cost)
 
     # -- stand-alone layer -------------------------------------------------
     @cached_property
