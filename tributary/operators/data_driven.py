@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from ..config import MICROS_PER_HOUR, AttributionConfig
 from ..functions.channels import FEATURE_CHANNELS, feature_name
 from ..functions.conversion import value_expr
+from . import logistic
 from .models import COUNT_COLUMNS, MART_COLUMNS
 
 FEATURES = tuple(feature_name(c) for c in FEATURE_CHANNELS)
@@ -85,6 +86,10 @@ class LogisticModel:
             z = z + F.lit(float(w)) * c.cast("double")
         return z
 
+    def rounded(self, digits: int) -> LogisticModel:
+        """The model with its numbers rounded, as it is reported and saved."""
+        return LogisticModel(round(self.intercept, digits), tuple(round(w, digits) for w in self.weights), self.features)
+
     def save(self, spark, path: str) -> None:
         """Write the fitted numbers under ``path`` (a named model)."""
         rows = [(i, f, float(w)) for i, (f, w) in enumerate(zip(self.features, self.weights))] + [(-1, INTERCEPT, float(self.intercept))]
@@ -106,36 +111,53 @@ def sigmoid(z: Column) -> Column:
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-z))
 
 
+def _stored(df: DataFrame) -> DataFrame:
+    """Written to the cluster's shared folder and read back."""
+    import uuid
+
+    from ..plans.session import shared_dir, stored
+    return stored(df, f"{shared_dir(df.sparkSession)}/training/{uuid.uuid4().hex}")
+
+
+def class_weighted(compact: DataFrame, label: str = "converted") -> DataFrame:
+    """The compact table with ``_w``: the multiplicity times N / (2 N_class)."""
+    tot = compact.groupBy(label).agg(F.sum("n").alias("_nc"))
+    n_all = F.sum("_nc").over(Window.partitionBy())  # over the 2 class rows
+    cw = tot.select(label, (n_all / (F.lit(2.0) * F.col("_nc"))).alias("_cw"))
+    # cw has one row per class (2 rows): broadcast is bounded by construction
+    return compact.join(F.broadcast(cw), label).withColumn("_w", F.col("n") * F.col("_cw"))
+
+
 def train_model(compact: DataFrame, max_iter: int = MAX_ITER, auto_class_weights: bool = True,
                 features=FEATURES, label: str = "converted") -> LogisticModel:
     """Weighted logistic regression (no regularisation). With
-    ``auto_class_weights`` each class is weighted by N / (2 N_class)."""
-    from pyspark.ml.classification import LogisticRegression
-    from pyspark.ml.feature import VectorAssembler
-
-    from ..plans.session import shared_dir
-
-    # The optimiser makes one pass per iteration: cut the lineage first, so
-    # no pass (and no retry after an executor loss) recomputes the journeys.
-    # The compact table is bounded (<= 2 x 2^19 rows) -- checkpointed to the
-    # cluster's shared checkpoint folder, never to a node-local one.
-    shared_dir(compact.sparkSession)
-    compact = compact.checkpoint(eager=True)
+    ``auto_class_weights`` each class is weighted by N / (2 N_class). The
+    compact table (at most 2 x 2^19 rows) is stored first, so no step of the
+    fit, and no retry after an executor loss, recomputes the journeys."""
+    compact = _stored(compact)
     assert_non_empty(compact)
-    if auto_class_weights:
-        tot = compact.groupBy(label).agg(F.sum("n").alias("_nc"))
-        n_all = F.sum("_nc").over(Window.partitionBy())  # over the 2 class rows
-        cw = tot.select(label, (n_all / (F.lit(2.0) * F.col("_nc"))).alias("_cw"))
-        # cw has one row per class (2 rows): broadcast is bounded by construction
-        data = compact.join(F.broadcast(cw), label).withColumn("_w", F.col("n") * F.col("_cw"))
-    else:
-        data = compact.withColumn("_w", F.col("n").cast("double"))
-    vec = VectorAssembler(inputCols=list(features), outputCol="_x").transform(
-        data.select(*[F.col(f).cast("double") for f in features], F.col(label).cast("double"), "_w"))
-    lr = LogisticRegression(featuresCol="_x", labelCol=label, weightCol="_w", maxIter=max_iter, regParam=0.0,
-                            elasticNetParam=0.0, standardization=True, family="binomial")
-    m = lr.fit(vec)
-    return LogisticModel(float(m.intercept), tuple(float(x) for x in m.coefficients), tuple(features))
+    data = class_weighted(compact, label) if auto_class_weights else compact.withColumn("_w", F.col("n").cast("double"))
+    intercept, weights, _ = logistic.fit(data, list(features), label, "_w", _stored, max_iter)
+    return LogisticModel(intercept, tuple(weights), tuple(features))
+
+
+def model_certificate(compact: DataFrame, model: LogisticModel, label: str = "converted", auto_class_weights: bool = True) -> DataFrame:
+    """What a fit must satisfy: by feature (and for the intercept) the score
+    equation sum w (y - p) x, as a share of the total weight and rounded, and the
+    weight of the positive and the negative rows that have the feature."""
+    data = class_weighted(compact, label) if auto_class_weights else compact.withColumn("_w", F.col("n").cast("double"))
+    p = sigmoid(model.logit())
+    named = [(f, F.col(f).cast("double")) for f in model.features] + [(INTERCEPT, F.lit(1.0))]
+    rows = data.select(F.explode(F.array(*[F.struct(F.lit(n).alias("feature"), x.alias("x")) for n, x in named])).alias("e"),
+                       "_w", F.col(label).cast("double").alias("_y"), p.alias("_p"))
+    x = F.col("e.x")
+    total = data.agg(F.sum("_w")).scalar()
+    agg = rows.groupBy(F.col("e.feature").alias("feature")).agg(
+        F.sum(F.col("_w") * (F.col("_y") - F.col("_p")) * x).alias("_s"),
+        F.sum(F.when(x != 0, F.col("_w") * F.col("_y"))).alias("_pos"), F.sum(F.when(x != 0, F.col("_w") * (1 - F.col("_y")))).alias("_neg"))
+    # + 0.0: a rounded negative zero is a zero
+    return agg.select("feature", (F.round(F.col("_s") / total, 5) + F.lit(0.0)).alias("score"),
+                      F.round(F.coalesce("_pos", F.lit(0.0)), 6).alias("positive_weight"), F.round(F.coalesce("_neg", F.lit(0.0)), 6).alias("negative_weight"))
 
 
 def model_evaluate(compact: DataFrame, model: LogisticModel, label: str = "converted") -> DataFrame:
@@ -264,21 +286,20 @@ def journey_features(events: DataFrame, cfg: AttributionConfig) -> DataFrame:
     )
 
 
+def training_rows(features_df: DataFrame, seed: int = 42, train_fraction: float = 0.8) -> DataFrame:
+    """The training split, by a digest of the user id (the script's automatic
+    split; the same whatever the partitioning and the engine)."""
+    digest = F.conv(F.substring(F.md5(F.concat(F.col("user_pseudo_id").cast("string"), F.lit(f"-{seed}"))), 1, 8), 16, 10).cast("long")
+    return features_df.where(digest % 1000 < int(1000 * train_fraction))
+
+
 def train_model_legacy(features_df: DataFrame, seed: int = 42, train_fraction: float = 0.8,
                        max_iter: int = MAX_ITER) -> LogisticModel:
-    """11-feature logistic regression, unweighted, on a training split by a
-    hash of the user id (the script's automatic split; the same whatever the
-    partitioning)."""
-    from pyspark.ml.classification import LogisticRegression
-    from pyspark.ml.feature import VectorAssembler
-
-    feats = [f for f in LEGACY_FEATURES]
-    part = F.pmod(F.xxhash64("user_pseudo_id", F.lit(seed)), F.lit(1000))
-    train = features_df.where(part < int(1000 * train_fraction)).select(
-        *[F.col(f).cast("double") for f in feats], F.col("converted").cast("double"))
-    vec = VectorAssembler(inputCols=feats, outputCol="_x").transform(train)
-    m = LogisticRegression(featuresCol="_x", labelCol="converted", maxIter=max_iter, regParam=0.0).fit(vec)
-    return LogisticModel(float(m.intercept), tuple(float(x) for x in m.coefficients), tuple(feats))
+    """11-feature logistic regression, unweighted, on the training split. The
+    features are stored first: they are computed once."""
+    rows = _stored(training_rows(features_df, seed, train_fraction).select(*LEGACY_FEATURES, "converted", F.lit(1.0).alias("_w")))
+    intercept, weights, _ = logistic.fit(rows, list(LEGACY_FEATURES), "converted", "_w", _stored, max_iter)
+    return LogisticModel(intercept, tuple(weights), LEGACY_FEATURES)
 
 
 def feature_importance(model: LogisticModel, spark) -> DataFrame:

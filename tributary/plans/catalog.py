@@ -58,16 +58,21 @@ def pipe(spark: SparkSession, sf_dir: str) -> Pipeline:
 
 
 _FITTED: dict = {}
+MODEL_DIGITS = 6  # fitted numbers are kept, reported and scored with that many decimals
 
 
 def fitted(p: Pipeline) -> LogisticModel:
     """The model fitted on this pipeline's training table (once)."""
     from ..operators.data_driven import train_model
     if p.run_id not in _FITTED:
-        _FITTED[p.run_id] = train_model(p.train_compact)
+        _FITTED[p.run_id] = train_model(p.train_compact).rounded(MODEL_DIGITS)
     return _FITTED[p.run_id]
 
 
+def fitted_legacy(p: Pipeline) -> LogisticModel:
+    return p.sa_model.rounded(MODEL_DIGITS)
+
+
 def release() -> None:
     """Delete the stored layers of all pipelines and forget them."""
     for p in _PIPES.values():
@@ -612,6 +617,14 @@ def q_model_weights(spark, sf_dir):
     return fitted(pipe(spark, sf_dir)).weights_frame(spark)
 
 
+@register("model_certificate")
+def q_model_certificate(spark, sf_dir):
+    """The fitted model's score equations and the weight of each feature's rows."""
+    from ..operators.data_driven import model_certificate
+    p = pipe(spark, sf_dir)
+    return model_certificate(p.train_compact, fitted(p))
+
+
 @register("model_evaluate")
 def q_model_evaluate(spark, sf_dir):
     from ..operators.data_driven import model_evaluate
@@ -659,14 +672,14 @@ def q_journey_features(spark, sf_dir):
 def q_feature_importance(spark, sf_dir):
     from ..operators.data_driven import feature_importance
     p = pipe(spark, sf_dir)
-    return feature_importance(p.sa_model, spark)
+    return feature_importance(fitted_legacy(p), spark)
 
 
 @register("data_driven_legacy")
 def q_dd_legacy(spark, sf_dir):
     from ..operators.data_driven import data_driven_legacy
     p = pipe(spark, sf_dir)
-    return data_driven_legacy(p.sa_features, p.sa_model)
+    return data_driven_legacy(p.sa_features, fitted_legacy(p))
 
 
 @register("channel_volume")
