@@ -293,3 +293,27 @@ def test_texts_without_letters_are_unknown(spark):
     rows = [(0, "one two three", "en"), (1, "eins zwei drei", "de"), (2, "12 ½", None), (3, "² ① Ⅷ _ 7", None), (5, "ª", None), (8, "一", None)]
     got = {r["doc_id"]: r["lang_pred"] for r in language_id.language_id(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
     assert got[2] == got[3] == "und" and "und" not in (got[5], got[8], got[0], got[1])
+
+
+def test_token_counts_of_texts_without_spaces_are_exact_and_linear():
+    import base64
+    import random
+    import time
+
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    encoder, tok, rng = token_counts.PieceEncoder(path, 300_000), Tokenizer.from_file(path), random.Random(1)
+    lib = lambda t: len(tok.encode(t, add_special_tokens=False))
+    parts = ["a", "Z", "é", "一", "1", "9", "'", "s", "'ll", "re", " ", "  ", "\n", "\t", "\r\n", "!", "(", "、", "<|endoftext|>", "<|", "|>", "endoftext", "_", "½", "ª", "\x1c", "́"]
+    for _ in range(300):
+        t = "".join(rng.choice(parts) for _ in range(rng.randrange(1, 900)))
+        for chunk, overlap in ((64, 8), (200, 64), (32768, 1024)):
+            assert token_counts.count_tokens(encoder, t, chunk, overlap) == lib(t), t
+    for t in ("ab" * 400_000, base64.b64encode(rng.randbytes(600_000)).decode(), "".join(rng.choice("的一是不了人我在有他这中大来上国，。！") for _ in range(800_000)), " " * 300_000 + "x" + "\n" * 300_000):
+        start = time.process_time()
+        got = token_counts.count_tokens(encoder, t, 32768, 1024)
+        mine, start = time.process_time() - start, time.process_time()
+        assert got == lib(t)
+        assert mine < 8 * (time.process_time() - start) + 2

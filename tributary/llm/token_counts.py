@@ -3,16 +3,24 @@
 A huge text is cut into overlapping chunks. Every chunk is encoded with the
 offsets of its stable boundaries, and neighbouring chunks are spliced at a
 boundary that both have. Where the overlap holds no common boundary it is
-widened, at last to the whole rest of the text.
-
-A boundary is proven stable when it stands before a single space with a
-non-space on either side: the byte-level pattern (letters, digits or other
-symbols, each with one optional leading space, or white space) never lets a
-match run across such a place, whatever text surrounds it, and special strings
-hold no space. Tokens left of it depend on the text left of it only, tokens
-right of it on the text right of it. For the same reason the pieces between
-stable boundaries are encoded once each and remembered: the count of a chunk
-is the sum over its pieces.
+widened, at last to the splice before; the chunk that starts there reaches
+twice as far each time, so a stretch without boundaries is encoded in
+proportion to its length, however long it is.
+
+A boundary is proven stable when the byte-level pattern (letters, digits or
+other symbols, each with one optional leading space, or white space; and
+contractions, an apostrophe with letters) never lets a match run across it,
+whatever text surrounds it, and no special string holds it. That is so before a
+single space with a non-space on either side, since special strings hold no
+space. In pieces between such places that are long (texts without spaces,
+encoded data) there are more: where white space follows, and where a letter, a
+digit and a symbol other than the apostrophe meet, outside special strings. A
+special string that a chunk's end cuts is whole in the other chunk, as it is
+shorter than the overlap, so no splice falls inside one. Tokens left of a
+boundary depend on the text left of it only, tokens right of it on the text
+right of it. For the same reason the pieces between stable boundaries are
+encoded once each and remembered: the count of a chunk is the sum over its
+pieces.
 """
 
 from __future__ import annotations
@@ -25,7 +33,12 @@ from pyspark.sql import DataFrame
 
 from tributary.llm.common import map_rows
 
-STABLE = re.compile(r"(?<=\S) (?=\S)")
+STABLE = re.compile(r"(?<=\S)(?= \S)")
+LONG = 256
+#: Characters that are letters or symbols in every version of the pattern's classes.
+LETTERS = "A-Za-zÀ-ÖØ-öø-ÿА-Яа-яぁ-んァ-ヴ一-龥가-힣"
+SYMBOLS = r"!-&(-/:-@\[-`{-~、。「」！？，：；（）"
+FINE = re.compile(f"(?<=[{LETTERS}])(?=[0-9'{SYMBOLS} \\t\\n\\r])|(?<=[0-9])(?=[{LETTERS}'{SYMBOLS} \\t\\n\\r])|(?<=[{SYMBOLS}])(?=[{LETTERS}0-9 \\t\\n\\r])")
 DDL = "doc_id long, n_bytes long, n_tokens long, over_limit boolean"
 ARROW = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_tokens", pa.int64()), ("over_limit", pa.bool_())])
 
@@ -39,28 +52,42 @@ class PieceEncoder:
         from tokenizers import Tokenizer
 
         self.tok, self.most, self.memo = Tokenizer.from_file(path), memo, {}
+        special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
+        self.special = re.compile("|".join(map(re.escape, special))) if special else None
+        self.widest = max(map(len, special), default=1)
+
+    def pieces(self, text: str) -> list[str]:
+        """The text between stable boundaries."""
+        out = []
+        for p in STABLE.split(text):
+            if len(p) <= LONG:
+                out.append(p)
+                continue
+            at = 0  # special strings stay whole
+            for m in self.special.finditer(p) if self.special else ():
+                out += FINE.split(p[at:m.start()]) if m.start() > at else []
+                out.append(m.group())
+                at = m.end()
+            out += FINE.split(p[at:]) if at < len(p) else []
+        return out
 
     def counts(self, pieces: list[str]) -> list[int]:
-        """Token counts of pieces; all but the first follow a space that the split took."""
+        """Token counts of pieces."""
         memo = self.memo
         if len(memo) > self.most:
             memo.clear()
-        rest = pieces[1:]
-        if new := list({p for p in rest if p not in memo and len(p) <= 64}):
-            memo.update(zip(new, map(len, self.tok.encode_batch_fast([" " + p for p in new], add_special_tokens=False)), strict=True))
-        one = lambda s: len(self.tok.encode(s, add_special_tokens=False))
-        out = [one(pieces[0])]
-        out += [memo[p] if len(p) <= 64 else one(" " + p) for p in rest]
-        return out
+        if new := list({p for p in pieces if p not in memo and len(p) <= 65}):
+            memo.update(zip(new, map(len, self.tok.encode_batch_fast(new, add_special_tokens=False)), strict=True))
+        return [memo[p] if len(p) <= 65 else len(self.tok.encode(p, add_special_tokens=False)) for p in pieces]
 
 
 def chunk_boundaries(encoder: PieceEncoder, text: str, start: int, end: int) -> tuple[list[int], list[int]]:
     """Stable boundaries of text[start:end] (offsets in the whole text) and the
     tokens before each; the last entry stands for the chunk's end."""
-    pieces = STABLE.split(text[start:end])
+    pieces = encoder.pieces(text[start:end])
     at, before, offsets, total = start, 0, [], []
     for p, n in zip(pieces, encoder.counts(pieces), strict=True):
-        at += len(p) + (at != start)
+        at += len(p)
         before += n
         offsets.append(at)
         total.append(before)
@@ -71,17 +98,20 @@ def count_tokens(encoder: PieceEncoder, text: str, chunk: int, overlap: int) ->
     """Tokens of the whole text. Chunks cover [start, end); ``base`` is the
     stable boundary up to which tokens are counted."""
     if len(text) <= chunk:
-        return sum(encoder.counts(STABLE.split(text))) if text else 0
-    base, done = 0, 0
+        return sum(encoder.counts(encoder.pieces(text))) if text else 0
+    base, done, reach, overlap = 0, 0, chunk, max(overlap, 2 * encoder.widest)
     end = chunk
     left = chunk_boundaries(encoder, text, 0, end)
     while end < len(text):
-        width = overlap
+        # wide enough for a boundary that the left chunk has, if it has one
+        width = max(overlap, end - left[0][-2] + overlap // 2) if len(left[0]) > 1 else end - base
         while True:
-            start, new_end = max(base, end - width), min(len(text), end + chunk)
+            if end - width <= base:  # all the way back: reach on as far
+                reach = max(reach, end - base)
+            start, new_end = max(base, end - width), min(len(text), end + reach)
             right = chunk_boundaries(encoder, text, start, new_end)
             if start == base:  # widened to the last splice: nothing of the left chunk is needed
-                left = right
+                left, reach = right, 2 * reach
                 break
             common = set(right[0][:-1]).intersection(left[0][:-1])
             if common:
@@ -89,7 +119,7 @@ def count_tokens(encoder: PieceEncoder, text: str, chunk: int, overlap: int) ->
                 done += left[1][left[0].index(x)]
                 skipped = right[1][right[0].index(x)]
                 keep = [(o, t - skipped) for o, t in zip(*right, strict=True) if o > x]
-                left, base = ([o for o, _ in keep], [t for _, t in keep]), x
+                left, base, reach = ([o for o, _ in keep], [t for _, t in keep]), x, chunk
                 break
             width *= 2
         end = new_end
