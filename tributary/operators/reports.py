@@ -8,7 +8,9 @@ never on fact rows. Money and credit totals are exact DECIMAL sums.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import AttributionConfig
@@ -123,32 +125,59 @@ def stage_num_case(event) -> "F.Column":
     return expr.cast("bigint")
 
 
-def purchase_funnel(conversions_df: DataFrame, qualified: bool = False) -> DataFrame:
-    """Five-stage funnel from deduplicated conversions: users, sessions,
-    events, revenue, pct of the largest stage. Session counts are by session id
-    alone (not user-qualified) unless ``qualified``; stage order in time is not
-    enforced. The reference joins a 5-row inline stage table; here the stage
-    number is an in-row CASE, so no join (and no broadcast) is needed."""
-    sess = (F.concat(F.col("user_pseudo_id"), F.lit("-"), F.col("conversion_session_id").cast("string"))
-            if qualified else F.col("conversion_session_id"))
-    stages = [s for s, _ in FUNNEL_STAGES]
-    f = conversions_df.where(F.col("conversion_event").isin(*stages)).select(
-        "user_pseudo_id", sess.alias("_sess"), F.col("conversion_event").alias("stage"),
-        stage_num_case(F.col("conversion_event")).alias("stage_num"), "purchase_revenue_in_usd")
-    agg = f.groupBy("stage_num", "stage").agg(
-        F.countDistinct("user_pseudo_id").alias("unique_users"),
-        F.countDistinct("_sess").alias("unique_sessions"),
-        F.count(F.lit(1)).alias("total_events"),
-        round_to(exact_sum("purchase_revenue_in_usd"), 2).alias("stage_revenue_usd"),
-    )
+def distinct_by_kind(rows: DataFrame, kinds: dict[str, Column]) -> DataFrame:
+    """One row with the exact number of distinct non-null keys of each kind:
+    keys become (kind, key) rows, equal ones meet in one aggregate with partial
+    sums, and the rows left are counted. No row is copied for each distinct."""
+    keyed = F.array(*[F.struct(F.lit(k).alias("kind"), c.cast("string").alias("key")) for k, c in kinds.items()])
+    keys = rows.select(F.explode(keyed).alias("e")).select("e.*").where(F.col("key").isNotNull()).distinct()
+    return keys.agg(*[F.count(F.when(F.col("kind") == k, 1)).alias(k) for k in kinds])
+
+
+def stage_bit(event: Column) -> Column:
+    """1, 2, 4, ... for the configured stages, else NULL."""
+    return reduce(lambda c, s: c.when(event == s[0], 1 << (s[1] - 1)), FUNNEL_STAGES, F)
+
+
+def funnel_shares(stages: DataFrame) -> DataFrame:
+    """stage_num, stage, unique_users, unique_sessions, total_events,
+    stage_revenue_usd -> with the percentages of the largest stage."""
     w = Window.partitionBy()  # <= 5 aggregated rows
-    return agg.select(
+    return stages.select(
         "stage_num", "stage", "unique_users", "unique_sessions", "total_events", "stage_revenue_usd",
         _pct(F.col("unique_users"), F.max("unique_users").over(w)).alias("pct_of_top_users"),
         _pct(F.col("unique_sessions"), F.max("unique_sessions").over(w)).alias("pct_of_top_sessions"),
     )
 
 
+def purchase_funnel(conversions_df: DataFrame, qualified: bool = False) -> DataFrame:
+    """Five-stage funnel from deduplicated conversions: users, sessions,
+    events, revenue, pct of the largest stage. Session counts are by session id
+    alone (not user-qualified) unless ``qualified``; stage order in time is not
+    enforced. The reference joins a 5-row inline stage table; here the stage
+    number is an in-row CASE, so no join (and no broadcast) is needed.
+
+    One pass: every user and every session gathers the bits of its stages (a
+    user also its events and revenue), and the bits are counted."""
+    user = F.col("user_pseudo_id")
+    sess = F.col("conversion_session_id").cast("string")
+    sess = F.concat(user, F.lit("-"), sess) if qualified else sess
+    f = conversions_df.where(F.col("conversion_event").isin(*[s for s, _ in FUNNEL_STAGES])).select(
+        stage_num_case(F.col("conversion_event")).alias("stage_num"), stage_bit(F.col("conversion_event")).alias("bit"),
+        F.col("purchase_revenue_in_usd").cast("decimal(38,10)").alias("usd"),
+        F.explode(F.array(F.struct(F.lit("user").alias("kind"), user.cast("string").alias("key")), F.struct(F.lit("session").alias("kind"), sess.alias("key")))).alias("e"))
+    f = f.withColumn("mine", F.col("e.kind") == "user")  # events and revenue count once
+    sums = [x for _, n in FUNNEL_STAGES for x in (
+        F.count(F.when(F.col("mine") & (F.col("stage_num") == n), 1)).alias(f"n{n}"), F.sum(F.when(F.col("mine") & (F.col("stage_num") == n), F.col("usd"))).alias(f"r{n}"))]
+    keys = f.groupBy("e.kind", "e.key").agg(F.bit_or("bit").alias("bits"), *sums)
+    each = F.array(*[F.struct(F.lit(n).cast("bigint").alias("stage_num"), F.lit(s).alias("stage"), (F.col("bits").bitwiseAND(F.lit(1 << (n - 1))) != 0).alias("hit"),
+                              F.col(f"n{n}").alias("n"), F.col(f"r{n}").alias("r")) for s, n in FUNNEL_STAGES])
+    rows = keys.select("kind", F.col("key").isNotNull().alias("known"), F.explode(each).alias("x")).where("x.hit")
+    seen = lambda kind: F.count(F.when((F.col("kind") == kind) & F.col("known"), 1))
+    return funnel_shares(rows.groupBy("x.stage_num", "x.stage").agg(
+        seen("user").alias("unique_users"), seen("session").alias("unique_sessions"), F.sum("x.n").alias("total_events"), round_to(F.sum("x.r"), 2).alias("stage_revenue_usd")))
+
+
 def _abandonment_row(agg: DataFrame) -> DataFrame:
     return agg.select(
         F.lit("add_to_cart").alias("stage"), "users_with_cart", "sessions_with_cart", "users_converted",
@@ -158,39 +187,27 @@ def _abandonment_row(agg: DataFrame) -> DataFrame:
 
 
 def cart_abandonment(conversions_df: DataFrame, user_scoped: bool = False) -> DataFrame:
-    """Session-scoped abandonment: distinct cart (user, session) left-joined
-    to distinct purchase (user, session) -- a 1:1 join of two distinct sets. A
-    NULL session never matches. One summary row.
+    """Session-scoped abandonment: a (user, session) with a cart converts when
+    it has a purchase too. A NULL session never does. One summary row, from one
+    row of flags for each (user, session): no join.
 
     ``user_scoped=True`` is the per-user variant (purchase in any session
     counts): purchases are semi-joined to cart users, never paired with every
     cart session, and the same distinct counts are taken."""
-    cart = conversions_df.where(F.col("conversion_event") == "add_to_cart") \
-        .select("user_pseudo_id", "conversion_session_id").distinct()
-    purch = conversions_df.where(F.col("conversion_event") == "purchase") \
-        .select("user_pseudo_id", "conversion_session_id").distinct()
+    user, session = F.col("user_pseudo_id"), F.col("conversion_session_id")
+    has = lambda e: F.max((F.col("conversion_event") == e).cast("int")) == 1
+    visits = conversions_df.where(F.col("conversion_event").isin("add_to_cart", "purchase")).groupBy("user_pseudo_id", "conversion_session_id").agg(
+        has("add_to_cart").alias("cart"), has("purchase").alias("bought"))
     if user_scoped:
-        conv = purch.join(cart.select("user_pseudo_id").distinct(), "user_pseudo_id", "left_semi")
-        rows = (cart.withColumn("_t", F.lit("c"))
-                .unionByName(conv.withColumn("_t", F.lit("p"))))
-        is_c, is_p = F.col("_t") == "c", F.col("_t") == "p"
-        agg = rows.agg(
-            F.countDistinct(F.when(is_c, F.col("user_pseudo_id"))).alias("users_with_cart"),
-            F.countDistinct(F.when(is_c, F.col("conversion_session_id"))).alias("sessions_with_cart"),
-            F.countDistinct(F.when(is_p, F.col("user_pseudo_id"))).alias("users_converted"),
-            F.countDistinct(F.when(is_p, F.col("conversion_session_id"))).alias("sessions_converted"),
-        )
-        return _abandonment_row(agg)
-    p = purch.select(F.col("user_pseudo_id").alias("p_user"), F.col("conversion_session_id").alias("p_session"))
-    j = cart.join(p, (F.col("user_pseudo_id") == F.col("p_user"))
-                  & (F.col("conversion_session_id") == F.col("p_session")), "left")
-    agg = j.agg(
-        F.countDistinct("user_pseudo_id").alias("users_with_cart"),
-        F.countDistinct("conversion_session_id").alias("sessions_with_cart"),
-        F.countDistinct("p_user").alias("users_converted"),
-        F.countDistinct("p_session").alias("sessions_converted"),
-    )
-    return _abandonment_row(agg)
+        carted = visits.where("cart").select("user_pseudo_id").distinct()
+        done = visits.where("bought").join(carted, "user_pseudo_id", "left_semi")
+        visits = visits.where("cart").select("user_pseudo_id", "conversion_session_id", "cart", F.lit(False).alias("done")).unionByName(
+            done.select("user_pseudo_id", "conversion_session_id", F.lit(False).alias("cart"), F.lit(True).alias("done")))
+    else:
+        visits = visits.withColumn("done", F.col("cart") & F.col("bought") & session.isNotNull() & user.isNotNull())
+    return _abandonment_row(distinct_by_kind(visits, {
+        "users_with_cart": F.when(F.col("cart"), user), "sessions_with_cart": F.when(F.col("cart"), session),
+        "users_converted": F.when(F.col("done"), user), "sessions_converted": F.when(F.col("done"), session)}))
 
 
 def funnel_dashboard(funnel_df: DataFrame, abandonment_df: DataFrame) -> DataFrame:

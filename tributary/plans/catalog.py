@@ -317,6 +317,18 @@ def q_funnel(spark, sf_dir):
     return pipe(spark, sf_dir).funnel
 
 
+@register("purchase_funnel_by_days")
+def q_funnel_days(spark, sf_dir):
+    """The funnel from stored days: all but the last four, then these (with one more day again)."""
+    from ..operators.day_sets import add_days, funnel_of_days
+    from ..streaming.incremental import days_between
+    p, folder = pipe(spark, sf_dir), _path(spark, "days")
+    days = days_between(p.cfg.scan_start_date, p.cfg.end_date)  # a property's days need not be UTC days
+    add_days(p.conversions, folder, days[:-4])
+    add_days(p.conversions, folder, days[-5:])
+    return funnel_of_days(spark, folder, days[0], days[-1])
+
+
 @register("cart_abandonment")
 def q_abandonment(spark, sf_dir):
     return pipe(spark, sf_dir).abandonment
