@@ -8,6 +8,7 @@ never on fact rows. Money and credit totals are exact DECIMAL sums.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 from ..config import AttributionConfig
 from ..functions.conversion import value_mode_case
 from ..functions.paths import path_string
+from ..plans.topk import by_fingerprint, first_groups, keep
 from ..functions.util import exact_sum, round_to, safe_div, utc_date
 
 # --- fixed values (funnel stages of the pipeline funnel) -----------------------
@@ -83,27 +85,27 @@ def paths_dashboard(journeys_df: DataFrame) -> DataFrame:
     )
 
 
-def path_analysis(journeys_df: DataFrame, top: int = 100, min_conversions: int = 2) -> DataFrame:
+def path_analysis(journeys_df: DataFrame, top: int = 100, min_conversions: int = 2,
+                  store: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Top paths with at least ``min_conversions`` conversions (all events
-    mixed). ``top`` is the report's size (a top-k feature, not a row cap on
-    the input); ties are broken by the path string."""
-    ps = journeys_df.select("user_pseudo_id", "conversion_id", "conversion_value_usd", "path_length",
-                            path_string().alias("path_string"))
-    agg = ps.groupBy("path_string").agg(
+    mixed; one row of ``journeys_df`` each). ``top`` is the report's size (a
+    top-k feature, not a row cap on the input); ties are broken by the path
+    string. Paths are grouped by fingerprint; ``store`` keeps the groups."""
+    keyed, groups = by_fingerprint(journeys_df.select("user_pseudo_id", "conversion_value_usd", "path_length", "path.channel"), F.array_join("channel", " > "), [
         F.countDistinct("user_pseudo_id").alias("unique_users"),
-        F.count("conversion_id").alias("total_conversions"),  # one journey row each
+        F.count(F.lit(1)).alias("total_conversions"),
         exact_sum("conversion_value_usd").alias("_rev"),
         F.count("conversion_value_usd").alias("_nrev"),
         F.avg(F.col("path_length").cast("double")).alias("_len"),
-    ).where(F.col("total_conversions") >= min_conversions)
-    out = agg.select(
+    ])
+    groups = keep(store)(groups.where(F.col("total_conversions") >= min_conversions))
+    out = first_groups(keyed, groups, F.array_join("channel", " > "), "path_string", "total_conversions", top)
+    return out.select(
         "path_string", "unique_users", "total_conversions",
         F.round(safe_div(F.col("_rev").cast("double"), F.col("_nrev")), 2).alias("avg_revenue_usd"),
         round_to(F.col("_rev"), 2).alias("total_revenue_usd"),
         F.round(F.col("_len"), 1).alias("avg_path_length"),
     )
-    out = out.orderBy(F.col("total_conversions").desc(), F.col("path_string"))
-    return out.limit(top) if top else out
 
 
 def daily_traffic_overview(sessions_df: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import AttributionConfig
-from ..functions.paths import path_string_capped
+from ..plans.topk import by_fingerprint, first_groups, keep
 from ..functions.util import exact_sum, round_to, safe_div
 from .models import STANDALONE_MODEL_NAMES, standalone_weights
 
@@ -108,24 +108,25 @@ def attribution_dashboard_long(journeys_sa: DataFrame) -> DataFrame:
     )
 
 
-def path_analysis_top(journeys_sa: DataFrame, cap: int = 20, top: int | None = 50) -> DataFrame:
+def _capped_paths(journeys_sa: DataFrame, cap: int, top: int | None, count: str, aggs: list, store) -> tuple[DataFrame, Column]:
+    """The first capped paths with their counts, grouped by fingerprint, and the count of all."""
+    string = F.array_join("channel", " → ")
+    rows = journeys_sa.select(F.slice("path.channel", 1, cap).alias("channel"), "path_length")
+    keyed, groups = by_fingerprint(rows, string, [F.count(F.lit(1)).alias(count), *aggs])
+    groups = keep(store)(groups)
+    return first_groups(keyed, groups, string, "conversion_path", count, top), groups.agg(F.sum(count)).scalar()
+
+
+def path_analysis_top(journeys_sa: DataFrame, cap: int = 20, top: int | None = 50, store=None) -> DataFrame:
     """Purchase paths capped at ``cap`` touches: count and share."""
-    p = journeys_sa.select(path_string_capped(cap).alias("conversion_path"))
-    agg = p.groupBy("conversion_path").agg(F.count(F.lit(1)).alias("path_count"))
-    total = agg.agg(F.sum("path_count")).scalar()
-    out = agg.select("conversion_path", "path_count", _pct(F.col("path_count"), total).alias("path_pct"))
-    return _top(out, top, F.col("path_count").desc(), "conversion_path")
+    out, total = _capped_paths(journeys_sa, cap, top, "path_count", [], store)
+    return out.select("conversion_path", "path_count", _pct(F.col("path_count"), total).alias("path_pct"))
 
 
-def paths_dashboard_top(journeys_sa: DataFrame, cap: int = 10, top: int | None = 20) -> DataFrame:
+def paths_dashboard_top(journeys_sa: DataFrame, cap: int = 10, top: int | None = 20, store=None) -> DataFrame:
     """Purchase paths capped at ``cap``: conversions, avg touchpoints, share."""
-    p = journeys_sa.select(path_string_capped(cap).alias("conversion_path"), "path_length")
-    agg = p.groupBy("conversion_path").agg(F.count(F.lit(1)).alias("conversions"),
-                                           F.avg(F.col("path_length").cast("double")).alias("_avg"))
-    total = agg.agg(F.sum("conversions")).scalar()
-    out = agg.select("conversion_path", "conversions", F.round("_avg", 1).alias("avg_touchpoints"),
-                     _pct(F.col("conversions"), total).alias("pct_of_total"))
-    return _top(out, top, F.col("conversions").desc(), "conversion_path")
+    out, total = _capped_paths(journeys_sa, cap, top, "conversions", [F.avg(F.col("path_length").cast("double")).alias("_avg")], store)
+    return out.select("conversion_path", "conversions", F.round("_avg", 1).alias("avg_touchpoints"), _pct(F.col("conversions"), total).alias("pct_of_total"))
 
 
 def purchase_funnel_steps(events: DataFrame, cfg: AttributionConfig) -> DataFrame:

@@ -385,13 +385,15 @@ def q_mart_legacy(spark, sf_dir):
 @register("path_analysis_top50")
 def q_path_top50(spark, sf_dir):
     from ..operators.standalone import path_analysis_top
-    return path_analysis_top(pipe(spark, sf_dir).sa_journeys, cap=20, top=50)
+    p = pipe(spark, sf_dir)
+    return path_analysis_top(p.sa_journeys, cap=20, top=50, store=p._store("sa_paths20"))
 
 
 @register("paths_dashboard_top20")
 def q_paths_top20(spark, sf_dir):
     from ..operators.standalone import paths_dashboard_top
-    return paths_dashboard_top(pipe(spark, sf_dir).sa_journeys, cap=10, top=20)
+    p = pipe(spark, sf_dir)
+    return paths_dashboard_top(p.sa_journeys, cap=10, top=20, store=p._store("sa_paths10"))
 
 
 @register("purchase_funnel_steps")

@@ -81,7 +81,12 @@ class Pipeline:
     @cached_property
     def journeys(self) -> DataFrame:
         """Journeys with the path fields that models and reports read."""
-        return journey_ops.journeys(self.sessions, self.conversions, self.cfg, journey_ops.MODEL_FIELDS, self._store("matched"))
+        return journey_ops.numbered(self.matched, self.cfg)
+
+    @cached_property
+    def matched(self) -> DataFrame:
+        """The stored journeys before their numbering."""
+        return self._store("matched")(journey_ops.matched(self.sessions, self.conversions, self.cfg, journey_ops.MODEL_FIELDS))
 
     @cached_property
     def journeys_full(self) -> DataFrame:
@@ -174,7 +179,8 @@ class Pipeline:
 
     @cached_property
     def path_analysis(self) -> DataFrame:
-        return report_ops.path_analysis(self.journeys)
+        """Paths need no numbers: from the journeys before numbering."""
+        return report_ops.path_analysis(self.matched.withColumnRenamed("purchase_revenue_in_usd", "conversion_value_usd"), store=self._store("paths"))
 
     # -- cost --------------------------------------------------------------
     _cost_source = None
