@@ -32,6 +32,7 @@ from ..operators import single_touch as single_ops
 from ..sources.cost import fixture_cost_by_platform
 from ..sources.events import filter_event_dates, flatten_events, read_events
 from ..sources.fixtures import fixture_events
+from ..sources.shards import read_sharded_events
 from .session import delete_path, shared_dir, stored
 
 # Stand-alone scripts run over the whole fixture month.
@@ -56,6 +57,11 @@ class Pipeline:
         """Nested export partitioned by ``event_date`` (partition-pruned scan)."""
         return cls(flatten_events(read_events(spark, path, cfg, fmt), cfg), cfg)
 
+    @classmethod
+    def from_shards(cls, spark: SparkSession, root: str, cfg: AttributionConfig, fmt: str = "parquet") -> Pipeline:
+        """Nested export with one table for each day (only days of the scan are opened)."""
+        return cls(read_sharded_events(spark, root, cfg, fmt), cfg)
+
     @classmethod
     def from_fixture(cls, spark: SparkSession, sf_dir: str, cfg: AttributionConfig = FIXTURE_CONFIG) -> Pipeline:
         """The driver's synthetic event table, mapped per FIXTURES.md, with

@@ -48,26 +48,39 @@ def _field(schema: T.StructType, dotted: str, dtype: str = "string") -> Column:
     return F.col(dotted).cast(dtype) if _has_path(schema, dotted) else F.lit(None).cast(dtype)
 
 
+def _items(schema: T.StructType) -> Column:
+    """The items with the fields of ``ITEM_TYPE``, whatever others they have and lack."""
+    if "items" not in schema.fieldNames():
+        return F.lit(None).cast(ITEM_TYPE)
+    if schema["items"].dataType == ITEM_TYPE:
+        return F.col("items")
+    has = schema["items"].dataType.elementType.fieldNames()
+    one = lambda x: F.struct(*[(x[f.name] if f.name in has else F.lit(None)).cast(f.dataType).alias(f.name) for f in ITEM_TYPE.elementType])
+    return F.transform("items", one)
+
+
 def _require(schema: T.StructType, dotted: str, why: str):
     if not _has_path(schema, dotted):
         raise ValueError(f"column {dotted!r} is required by {why} but is not in the event schema")
 
 
-def resolve_source(schema: T.StructType, cfg: AttributionConfig) -> list[Column]:
-    """source, medium, campaign, content, term by ``cfg.source_mode``."""
-    mode = cfg.source_mode
+def resolve_source(schema: T.StructType, cfg: AttributionConfig, whole: T.StructType | None = None) -> list[Column]:
+    """source, medium, campaign, content, term by ``cfg.source_mode``. What the
+    mode needs must be in ``whole`` (default: ``schema``); where ``schema`` lacks
+    it, it is NULL."""
+    mode, whole = cfg.source_mode, whole or schema
     names = ("source", "medium", "campaign", "content", "term")
     stslc = ("source", "medium", "campaign_name", "content", "term")
     collected = ("manual_source", "manual_medium", "manual_campaign_name", "manual_content", "manual_term")
     if mode in ("session_stslc", "auto"):
-        _require(schema, "session_traffic_source_last_click.cross_channel_campaign", f"source_mode={mode}")
+        _require(whole, "session_traffic_source_last_click.cross_channel_campaign", f"source_mode={mode}")
     if mode in ("collected", "auto"):
-        _require(schema, "collected_traffic_source", f"source_mode={mode}")
+        _require(whole, "collected_traffic_source", f"source_mode={mode}")
     out = []
     for n, s, c in zip(names, stslc, collected):
         from_params = event_param(n, "string")
-        from_stslc = F.col(f"session_traffic_source_last_click.cross_channel_campaign.{s}")
-        from_coll = F.col(f"collected_traffic_source.{c}")
+        from_stslc = _field(schema, f"session_traffic_source_last_click.cross_channel_campaign.{s}")
+        from_coll = _field(schema, f"collected_traffic_source.{c}")
         expr = {"event_params": from_params, "session_stslc": from_stslc, "collected": from_coll,
                 "auto": F.coalesce(from_stslc, from_coll, from_params)}[mode]
         out.append(expr.alias(n))
@@ -83,19 +96,19 @@ def resolve_click_ids(schema: T.StructType, cfg: AttributionConfig) -> list[Colu
         if mode in ("event_params", "session_stslc"):
             e = p
         elif mode == "collected":
-            e = F.col(f"collected_traffic_source.{n}")
+            e = _field(schema, f"collected_traffic_source.{n}")
         else:
-            e = F.coalesce(F.col(f"collected_traffic_source.{n}"), p)
+            e = F.coalesce(_field(schema, f"collected_traffic_source.{n}"), p)
         out.append(e.alias(n))
     out += [event_param(n, "string").alias(n) for n in ("msclkid", "fbclid", "ttclid", "twclid", "li_fat_id")]
     return out
 
 
-def privacy_passthrough(schema: T.StructType, cfg: AttributionConfig) -> list[Column]:
+def privacy_passthrough(schema: T.StructType, cfg: AttributionConfig, whole: T.StructType | None = None) -> list[Column]:
     names = ("analytics_storage", "ads_storage", "uses_transient_token")
     if cfg.has_privacy_info:
-        _require(schema, "privacy_info", "has_privacy_info=True")
-        return [F.col(f"privacy_info.{n}").cast("string").alias(f"privacy_{n}") for n in names]
+        _require(whole or schema, "privacy_info", "has_privacy_info=True")
+        return [_field(schema, f"privacy_info.{n}").alias(f"privacy_{n}") for n in names]
     return [F.lit(None).cast("string").alias(f"privacy_{n}") for n in names]
 
 
@@ -106,19 +119,20 @@ def modeled_events_filter(df: DataFrame, cfg: AttributionConfig) -> DataFrame:
     return df.where(F.coalesce(F.col("privacy_uses_transient_token"), F.lit("No")) != "Yes")
 
 
-def modeled_raw_filter(df: DataFrame, cfg: AttributionConfig) -> DataFrame:
+def modeled_raw_filter(df: DataFrame, cfg: AttributionConfig, whole: T.StructType | None = None) -> DataFrame:
     """The same on the nested export. It reads the raw field whether or not
     the privacy columns are carried along, and needs it to be there."""
     if not cfg.exclude_modeled_events:
         return df
-    _require(df.schema, "privacy_info.uses_transient_token", "exclude_modeled_events=True")
-    return df.where(F.coalesce(F.col("privacy_info.uses_transient_token").cast("string"), F.lit("No")) != "Yes")
+    _require(whole or df.schema, "privacy_info.uses_transient_token", "exclude_modeled_events=True")
+    return df.where(F.coalesce(_field(df.schema, "privacy_info.uses_transient_token"), F.lit("No")) != "Yes")
 
 
-def flatten_events(df: DataFrame, cfg: AttributionConfig) -> DataFrame:
-    """Nested export -> flat events (one row per event, same grain)."""
+def flatten_events(df: DataFrame, cfg: AttributionConfig, whole: T.StructType | None = None) -> DataFrame:
+    """Nested export -> flat events (one row per event, same grain). ``whole``
+    is the schema of the export that ``df`` is a part of (see ``shards``)."""
     sch = df.schema
-    df = modeled_raw_filter(df, cfg)
+    df = modeled_raw_filter(df, cfg, whole)
     eco = lambda f, t: _field(sch, f"ecommerce.{f}", t)
     cols = [
         F.col("event_date").cast("string").alias("event_date"),
@@ -127,7 +141,7 @@ def flatten_events(df: DataFrame, cfg: AttributionConfig) -> DataFrame:
         F.col("user_pseudo_id").cast("string").alias("user_pseudo_id"),
         _field(sch, "platform").alias("platform"),
         event_param("ga_session_id", "int").alias("session_id"),
-        *resolve_source(sch, cfg),
+        *resolve_source(sch, cfg, whole),
         *resolve_click_ids(sch, cfg),
         event_param("page_location").alias("page_location"),
         event_param("page_referrer").alias("page_referrer"),
@@ -141,7 +155,7 @@ def flatten_events(df: DataFrame, cfg: AttributionConfig) -> DataFrame:
         _field(sch, "geo.country").alias("country"),
         _field(sch, "geo.region").alias("region"),
         _field(sch, "geo.city").alias("city"),
-        *privacy_passthrough(sch, cfg),
+        *privacy_passthrough(sch, cfg, whole),
         eco("transaction_id", "string").alias("transaction_id"),
         eco("purchase_revenue", "double").alias("purchase_revenue"),
         eco("purchase_revenue_in_usd", "double").alias("purchase_revenue_in_usd"),
@@ -150,7 +164,7 @@ def flatten_events(df: DataFrame, cfg: AttributionConfig) -> DataFrame:
         eco("tax_value", "double").alias("tax_value"),
         eco("refund_value", "double").alias("refund_value"),
         eco("unique_items", "bigint").alias("unique_items"),
-        (F.col("items") if "items" in sch.fieldNames() else F.lit(None).cast(ITEM_TYPE)).alias("items"),
+        _items(sch).alias("items"),
         event_param("value", "float").alias("event_value"),
         event_param("currency", "string").alias("event_currency"),
         event_param("quantity", "int").alias("event_quantity"),

@@ -60,6 +60,11 @@ DEVICE_CATEGORIES = ("desktop", "mobile", "tablet")
 # Click ids of the nested fixture: present where k is a multiple of n.
 CLICK_IDS = (("gclid", 6), ("dclid", 10), ("srsltid", 14), ("msclkid", 15), ("fbclid", 21), ("ttclid", 22),
              ("twclid", 26), ("li_fat_id", 33))
+# More text of the nested fixture: <prefix>-<k % m>; and numbers: k * unit, where k is no multiple of m.
+NESTED_TEXT = (("content", "ct", 4), ("term", "tm", 7), ("hostname", "h", 5), ("page_referrer", "ref", 9), ("user_first_touch_campaign", "ft", 11),
+               ("device_os", "os", 4), ("device_language", "l", 6), ("browser", "b", 3), ("browser_version", "v", 10), ("region", "r", 8), ("city", "c", 12))
+NESTED_NUMBERS = (("total_item_quantity", 1, 6), ("shipping_value", 0.25, 5), ("tax_value", 0.5, 8), ("refund_value", 0.125, 2), ("unique_items", 2, 7),
+                  ("event_quantity", 3, 4))
 FIXTURE_PLATFORM = "WEB"
 FIXTURE_CURRENCY = "USD"
 # ------------------------------------------------------------------------------
@@ -204,7 +209,13 @@ def fixture_events_nested(spark: SparkSession, sf_dir: str, modern: bool = True)
         "page_location": F.concat(F.lit("https://shop.example/p/"), k.cast("string")),
         "privacy_analytics_storage": F.when(k % 3 == 0, "Yes").otherwise("No"),
         "privacy_ads_storage": F.when(k % 5 == 0, "Yes"),
-        "privacy_uses_transient_token": F.when(k % 10 == 9, "Yes").when(k % 10 == 8, "No")})
+        "privacy_uses_transient_token": F.when(k % 10 == 9, "Yes").when(k % 10 == 8, "No")}
+        | {c: F.concat(F.lit(f"{x}-"), (k % m).cast("string")) for c, x, m in NESTED_TEXT}
+        | {c: F.when(k % m != 0, k * F.lit(unit)) for c, unit, m in NESTED_NUMBERS})
+    item = lambda i: F.struct(F.concat(F.lit(f"i{i}-"), k.cast("string")).alias("item_id"), F.concat(F.lit("n-"), k.cast("string")).alias("item_name"),
+                              (k + i).cast("long").alias("quantity"), (k * F.lit(1.25)).alias("price"))
+    flat = flat.withColumn("items", F.when(k % 4 == 1, F.array(item(1), item(2))).when(k % 4 == 2, F.array(item(1))))
+    told = lambda prefix, c: F.concat(F.lit(prefix), F.col(c))
     collected = F.when(k % 5 != 0, (k + 2) % len(TRAFFIC_ROWS))
     coll = [_lookup([r[i] for r in TRAFFIC_ROWS], collected) for i in range(3)]
 
@@ -228,9 +239,9 @@ def fixture_events_nested(spark: SparkSession, sf_dir: str, modern: bool = True)
     cols = [
         "event_date", "event_timestamp", "event_name", "user_pseudo_id", "platform",
         present.alias("event_params"),
-        F.struct(*[F.col(c) for c in ("transaction_id", "purchase_revenue", "purchase_revenue_in_usd",
-                                       "total_item_quantity", "shipping_value", "tax_value",
-                                       "refund_value", "unique_items")]).alias("ecommerce"),
+        F.struct("transaction_id", "purchase_revenue", "purchase_revenue_in_usd", F.col("total_item_quantity").cast("long").alias("total_item_quantity"),
+                 *[F.col(c).cast("double").alias(c) for c in ("shipping_value", "tax_value", "refund_value")],
+                 F.col("unique_items").cast("long").alias("unique_items")).alias("ecommerce"),
         "items",
         F.struct(F.col("device_category").alias("category"), F.col("device_os").alias("operating_system"),
                  F.col("device_language").alias("language"),
@@ -242,12 +253,12 @@ def fixture_events_nested(spark: SparkSession, sf_dir: str, modern: bool = True)
     if modern:
         cols += [
             F.struct(F.struct(F.col("last_click_source").alias("source"), F.col("last_click_medium").alias("medium"),
-                              F.col("last_click_campaign").alias("campaign_name"), F.col("content").alias("content"),
-                              F.col("term").alias("term")).alias("cross_channel_campaign"))
+                              F.col("last_click_campaign").alias("campaign_name"), told("s-", "content").alias("content"),
+                              told("s-", "term").alias("term")).alias("cross_channel_campaign"))
             .alias("session_traffic_source_last_click"),
             F.struct(coll[0].alias("manual_source"), coll[1].alias("manual_medium"),
-                     coll[2].alias("manual_campaign_name"), F.col("content").alias("manual_content"),
-                     F.col("term").alias("manual_term"),
+                     coll[2].alias("manual_campaign_name"), told("m-", "content").alias("manual_content"),
+                     told("m-", "term").alias("manual_term"),
                      *[F.concat(F.lit("c-"), F.col(c)).alias(c) for c in ("gclid", "dclid", "srsltid")])
             .alias("collected_traffic_source"),
             F.struct(F.col("privacy_analytics_storage").alias("analytics_storage"),
