@@ -86,7 +86,7 @@ def test_host_rules_measures(spark, edge):
     assert host_rules.repeated_words("a b c d a b c".split()) == 6
     assert host_rules.repeated_words("a a a a".split()) == 4
     assert host_rules.repeated_words("a b".split()) == 0
-    assert host_rules.duplicate_lines("x\n\nx\n \nx \n\n") == 1
+    assert host_rules.duplicate_lines("x\n\nx\n \nx \n\n") == (1, 3) and host_rules.duplicate_lines(" ") == (0, 0) and host_rules.duplicate_lines("x") == (0, 1)
     out = host_rules.host_rules(edge).collect()
     assert len(out) == edge.count()
     assert all(r["base_failed"] and not r["kept"] for r in out if r["n_words"] < 50)
@@ -317,3 +317,40 @@ def test_token_counts_of_texts_without_spaces_are_exact_and_linear():
         mine, start = time.process_time() - start, time.process_time()
         assert got == lib(t)
         assert mine < 8 * (time.process_time() - start) + 2
+
+
+def hosts_with_bad_ones(spark):
+    """Twenty ordinary hosts, one that holds most rows; one host full of symbols, one of repeated lines, one of long words,
+    one with most texts too short; and one with a third of them."""
+    word = lambda i, j: f"w{i * 7 + j}xyz"
+    clean = lambda i: " ".join(word(i, j) for j in range(60))
+    rows = []
+    for h in range(20):
+        rows += [(f"host{h}", clean(h * 100 + i) if i % 10 else "short") for i in range(10 + h if h else 600)]
+    rows += [("symbols", clean(i) + " # $ % & | < > * #" if i % 4 else clean(i)) for i in range(60)]
+    rows += [("lines", "\n".join([clean(i), *["again and again"] * 9]) if i % 4 else clean(i)) for i in range(60)]
+    rows += [("lengths", " ".join("pneumonoultra" + word(i, j) for j in range(60)) if i % 5 else clean(i)) for i in range(60)]
+    rows += [("short", "too short" if i % 4 else clean(i)) for i in range(60)] + [("third", "too short" if i % 3 == 0 else clean(i)) for i in range(60)]
+    rows += [(None, clean(1)), (None, None), ("tiny", "short"), ("tiny", clean(2))]
+    return spark.createDataFrame([(i, t, "en", h, 1) for i, (h, t) in enumerate(rows)], SCHEMA)
+
+
+def test_host_verdicts_act_and_equal_duckdb(spark, tmp_path):
+    import duckdb
+
+    import __spark_entry__ as E
+
+    hosts_with_bad_ones(spark).coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    df = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    out = host_rules.host_rules(df).collect()
+    host = {r["doc_id"]: r["source"] for r in df.collect()}
+    rejected = {host[r["doc_id"]]: r["host_failed"] for r in out if r["host_failed"]}
+    assert rejected == {"symbols": ["symbols"], "lines": ["lines"], "lengths": ["lengths"], "short": ["base"]}
+    assert all(r["kept"] == (not r["base_failed"] and host[r["doc_id"]] not in rejected) for r in out)
+    assert sum(r["kept"] for r in out if host[r["doc_id"]] == "third") == 40 and sum(r["kept"] for r in out if host[r["doc_id"]] == "host0") == 540
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    want = con.execute(E.oracle_sql()["op9_host_rules"])
+    names = [c[0] for c in want.description]
+    got = E.queries()["op9_host_rules"](spark, str(tmp_path)).select(names).collect()
+    assert sorted(map(str, want.fetchall())) == sorted(str(tuple(r)) for r in got)

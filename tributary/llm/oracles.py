@@ -74,15 +74,19 @@ triples AS (SELECT doc_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS t FR
 twice AS (SELECT doc_id, i FROM triples QUALIFY count(*) OVER (PARTITION BY doc_id, t) > 1),
 covered AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM twice) GROUP BY doc_id),
 base AS (SELECT d.doc_id, source, len(w) AS n_words, CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
-  coalesce(len(regexp_extract_all(text, '[#*$%&|<>]')), 0) AS n_symbols, len(l) - len(list_distinct(l)) AS n_dup_lines, coalesce(c.n, 0) AS n_repeat_words
+  coalesce(len(regexp_extract_all(text, '[#*$%&|<>]')), 0) AS n_symbols, len(l) - len(list_distinct(l)) AS n_dup_lines, len(l) AS n_lines, coalesce(c.n, 0) AS n_repeat_words
   FROM d JOIN lines USING (doc_id) LEFT JOIN covered c USING (doc_id)),
 judged AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM base),
-hosts AS (SELECT source, count(*) AS n, sum(base_failed::INT) AS failed FROM judged WHERE source IS NOT NULL GROUP BY source),
-prior AS (SELECT avg(failed / n) AS m, coalesce(var_pop(failed / n), 0) AS v FROM hosts),
-k AS (SELECT m, CASE WHEN v > 0 THEN least(1e6, greatest(1e-6, m * (1 - m) / v - 1)) ELSE 1e6 END AS k FROM prior),
-rates AS (SELECT source, (failed + m * k) / (n + k) AS rate FROM hosts, k)
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT coalesce(rate > 0.8, FALSE) AS kept
-FROM judged LEFT JOIN rates USING (source)"""
+ruled AS (SELECT source, unnest([0, 1, 2, 3]) AS rule, unnest([base_failed, 10 * n_symbols > n_words, 10 * n_dup_lines > 3 * n_lines,
+  word_chars < 2 * n_words OR word_chars > 15 * n_words]) AS f FROM judged WHERE source IS NOT NULL),
+hosts AS (SELECT source, rule, CAST(count(*) AS DOUBLE) AS n, CAST(count_if(f) AS DOUBLE) AS x FROM ruled GROUP BY 1, 2),
+shares AS (SELECT rule, count(*) - 1 AS free, sum(n) AS t, sum(n * n) AS sq, sum(x) / sum(n) AS m FROM hosts GROUP BY 1),
+spread AS (SELECT s.*, (SELECT sum(h.n * (h.x / h.n - s.m) * (h.x / h.n - s.m)) FROM hosts h WHERE h.rule = s.rule) AS ss FROM shares s),
+inside AS (SELECT *, CASE WHEN m * (1 - m) > 0 AND t - sq / t - free > 1e-9 * t THEN (ss / (m * (1 - m)) - free) / (t - sq / t - free) END AS r FROM spread),
+prior AS (SELECT *, CASE WHEN r > 0 THEN least(1e6, greatest(1e-6, 1 / r - 1)) ELSE 1e6 END AS k FROM inside),
+verdict AS (SELECT source, bool_or((x + m * k) / (n + k) > least(0.8, greatest(0.5, m + 3 * sqrt(m * (1 - m) / (k + 1))))) AS bad FROM hosts JOIN prior USING (rule) GROUP BY 1)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT coalesce(bad, FALSE) AS kept
+FROM judged LEFT JOIN verdict USING (source)"""
 
 OP11 = """WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
     list_transform(embedding, lambda c: floor(256 * CAST(c AS DOUBLE))) AS x FROM embeddings

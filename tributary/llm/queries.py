@@ -52,7 +52,7 @@ def op8_quote_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return host_rules.host_rules(_table(spark, sf_dir, "documents")).drop("host_rate")
+    return host_rules.host_rules(_table(spark, sf_dir, "documents")).drop("host_rate", "host_failed")
 
 
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
