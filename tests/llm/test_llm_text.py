@@ -354,3 +354,23 @@ def test_host_verdicts_act_and_equal_duckdb(spark, tmp_path):
     names = [c[0] for c in want.description]
     got = E.queries()["op9_host_rules"](spark, str(tmp_path)).select(names).collect()
     assert sorted(map(str, want.fetchall())) == sorted(str(tuple(r)) for r in got)
+
+
+@pytest.mark.parametrize("kind", ["null ids", "one id", "one row"])
+def test_mixing_meets_targets_without_ids(spark, kind):
+    """Ids that are null or the same, and a third of all rows identical."""
+    text = lambda i: "same words in all of them" if kind == "one row" and i % 3 == 0 else " ".join(f"w{i}" for _ in range(1 + i % 17))
+    rows = [(7 if kind == "one id" else None if kind == "null ids" or i % 3 == 0 else i, text(i), "en", ["a", "b", "c"][i * i % 3], 1) for i in range(900)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    results = []
+    for parts in (3, 8):
+        out = mixing.mix(df.repartition(parts)).collect()
+        by = {}
+        for r in out:
+            got = by.setdefault((r["source_size"], r["target"]), [0, 0])
+            got[0] += r["taken"]
+            got[1] += r["size"]
+        assert len(out) == 900 and all(size == got[1] for (size, _), got in by.items())
+        assert all(abs(got[0] - target) <= 17 / 2 + 1 for (_, target), got in by.items())
+        results.append(sorted(map(str, (tuple(r) for r in out))))
+    assert results[0] == results[1]

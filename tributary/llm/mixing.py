@@ -4,7 +4,8 @@ Words are summed by source and bucket of a document hash; within each source
 the bucket in which the budget falls is found, and only that bucket is refined
 by the next bits, until the threshold has all its bits. Documents are then
 filtered by comparing their hash with their source's threshold; nothing is
-sorted.
+sorted. The hash is that of id and text, so that only identical rows share it;
+where several stand at a threshold, bits of their row numbers tell them apart.
 """
 
 from __future__ import annotations
@@ -14,14 +15,18 @@ from pyspark.sql import functions as F
 
 from tributary.llm.common import WORD, written
 
-BITS, LEVELS = 12, 3
+BITS, LEVELS, TIE_LEVELS = 12, 3, 2
+TIE_BITS = BITS * TIE_LEVELS
 
 
 def sizes(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, source, size in words, and a 36-bit key from the id's MD5."""
-    key = F.conv(F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), 1, BITS * LEVELS // 4), 16, 10)
+    """doc_id, source, size in words, and a key: 36 bits of the MD5 of id and
+    text, then 24 bits of the row's number."""
+    whole = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit("\n"), F.coalesce("text", F.lit("")))
+    key = F.conv(F.substring(F.md5(whole), 1, BITS * LEVELS // 4), 16, 10).cast("long")
+    row = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(1 << TIE_BITS))
     return docs.select("doc_id", F.col("source").cast("string").alias("source"), F.coalesce(
-        F.regexp_count(F.col("text"), F.lit(WORD)), F.lit(0)).cast("long").alias("size"), key.cast("long").alias("key"),
+        F.regexp_count(F.col("text"), F.lit(WORD)), F.lit(0)).cast("long").alias("size"), (F.shiftleft(key, TIE_BITS) + row).alias("key"),
         *([F.struct(*carry).alias("carried")] if carry else []))
 
 
@@ -53,25 +58,28 @@ def targets(items: DataFrame, most: int = 3) -> DataFrame:
 
 def thresholds(items: DataFrame, goals: DataFrame) -> DataFrame:
     """goals with ``threshold`` (documents with a smaller key are in the
-    partial pass) and ``edge`` (so are those with this very key, when that
-    comes nearer)."""
+    partial pass), ``edge`` (so are those with this very key, when that comes
+    nearer) and ``shift`` (bits that a key loses before it is compared: those of
+    row numbers, unless several rows share a threshold)."""
     state = goals.withColumns({"prefix": F.lit(0).cast("long"), "below": F.lit(0).cast("long")})
-    for level in range(LEVELS):
-        shift = BITS * (LEVELS - 1 - level)
+    for level in range(LEVELS + TIE_LEVELS):
+        shift = BITS * (LEVELS + TIE_LEVELS - 1 - level)
         now = F.shiftright("key", shift)
         inside = items.alias("i").join(state.select("source", "prefix").alias("s"), F.expr("i.source <=> s.source")).filter(
             F.shiftright("key", shift + BITS) == F.col("prefix")) if level else items.alias("i")
-        hist = inside.groupBy(F.col("i.source").alias("source"), now.alias("bucket")).agg(F.sum("size").alias("words"))
+        hist = inside.groupBy(F.col("i.source").alias("source"), now.alias("bucket")).agg(F.sum("size").alias("words"), F.count("*").alias("rows"))
         g = state.select(F.col("source").alias("of"), "rest", "below")
         hist = hist.join(g, F.expr("source <=> of"))
         here = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)  # 4096 rows at most
         hist = hist.withColumn("upto", F.col("below") + F.coalesce(F.sum("words").over(here), F.lit(0)))
         edge = hist.filter(F.col("upto") <= F.col("rest")).groupBy("source").agg(
-            F.max(F.struct("bucket", "upto", "words")).alias("e")).select(
-            F.col("source").alias("of"), F.col("e.bucket").alias("prefix"), F.col("e.upto").alias("below"), F.col("e.words").alias("words"))
+            F.max(F.struct("bucket", "upto", "words", "rows")).alias("e")).select(F.col("source").alias("of"), F.col("e.bucket").alias("prefix"),
+                                                                                 F.col("e.upto").alias("below"), F.col("e.words").alias("words"), F.col("e.rows").alias("rows"))
         state = written(goals.join(edge, F.expr("source <=> of")).drop("of"), f"mix-edge{level}")
+        if level == LEVELS - 1 and not state.filter("rows > 1").limit(1).count():
+            break
     near = F.abs(F.col("below") + F.col("words") - F.col("rest")) < F.abs(F.col("below") - F.col("rest"))
-    return state.select("source", "source_size", "target", "repeats", F.col("prefix").alias("threshold"), near.alias("edge"))
+    return state.select("source", "source_size", "target", "repeats", F.col("prefix").alias("threshold"), near.alias("edge"), F.lit(shift).alias("shift"))
 
 
 def mix(docs: DataFrame, most: int = 3) -> DataFrame:
@@ -81,9 +89,10 @@ def mix(docs: DataFrame, most: int = 3) -> DataFrame:
     share all words; a source's target stops at ``most`` times its size and
     the rest is shared anew by weight. ``taken`` is a whole multiple of the
     document's size, at most ``most`` times. A null text has size 0, a null
-    source is a source of its own, a null id has a fixed key; rows with equal
-    ids go together, so reruns agree. Extra columns are not read; an empty
-    table gives an empty result.
+    source is a source of its own. Null and repeated ids are told apart by their
+    texts, and of identical rows as many are taken as come nearest to the
+    target (which ones makes no difference), so reruns agree. Extra columns are
+    not read; an empty table gives an empty result.
 
     The slim sizes are written once. What joins back is one row for each
     source, read from a written table: Spark broadcasts it by its file size.
@@ -106,5 +115,6 @@ def _cut(items: DataFrame, most: int) -> DataFrame:
 
 
 def _taken(items: DataFrame, cut: DataFrame) -> DataFrame:
-    part = (F.col("key") < F.col("threshold")) | (F.col("edge") & (F.col("key") == F.col("threshold")))
+    key = F.expr("shiftright(key, shift)")
+    part = (key < F.col("threshold")) | (F.col("edge") & (key == F.col("threshold")))
     return items.alias("i").join(cut.alias("c"), F.expr("i.source <=> c.source")).withColumn("times", F.col("repeats") + part.cast("long"))

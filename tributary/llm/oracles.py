@@ -28,7 +28,7 @@ SELECT vec_id, coalesce(n, 0) AS n_links, least(vec_id, coalesce(b, vec_id)) AS
 FROM embeddings LEFT JOIN lowest ON lowest.a = vec_id LEFT JOIN degree ON degree.a = vec_id"""
 
 OP7 = f"""WITH items AS (SELECT doc_id, source, CAST(len({WORDS}) AS BIGINT) AS size,
-  CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 9) AS BIGINT) AS key FROM documents),
+  CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || chr(10) || coalesce(text, '')), 1, 9) AS BIGINT) AS key FROM documents),
 sources AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM items GROUP BY source),
 weighed AS (SELECT *, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS weight FROM sources),
 levels AS (SELECT *, CAST(sum(source_size) OVER () - 3 * coalesce(sum(source_size) OVER before, 0) AS DOUBLE)
