@@ -129,3 +129,22 @@ def test_word_hashes_know_bytes_and_length_only():
     h, g = (substring_dedup.word_hashes(content, start, end, s) for s in (1, 2))
     assert len(set(h.tolist())) == len(words) and not set(h.tolist()) & set(g.tolist())
     assert h[:12].tolist() == h[12:][::-1].tolist()
+
+
+def test_chunk_tables_grow_in_buckets_and_are_released(spark):
+    import os
+
+    from tributary.llm import chunks, common
+
+    common.release(spark)
+    df = frame(spark, ["some text " * 50] * 40 + [None])
+    many = chunks.pack(df, b"\n", chunk_bytes=16)
+    buckets = int(spark.sql(f"DESCRIBE EXTENDED {spark.sparkContext._tributary_scratch[-1][1]}").filter("col_name = 'Num Buckets'").first()["data_type"])
+    assert buckets == -(-40 * 500 // (64 * 16)) > int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert many.count() == 41 or many.agg(F.sum(F.size("doc_ids"))).first()[0] == 41
+    out = substring_dedup.substring_dedup(df).count()
+    paths = [p for p, _ in spark.sparkContext._tributary_scratch]
+    assert out == 41 and len(paths) >= 4
+    assert common.release(spark) == len(paths) and common.release(spark) == 0
+    assert not any(os.path.exists(p.removeprefix("file:")) for p in paths)
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("llm_chunks_")]

@@ -17,8 +17,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tributary.llm.common import shared_dir
+from tributary.llm.common import remember, shared_dir
 
+CHUNKS_A_TASK = 64
 ONE = np.uint64(1)
 BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
@@ -64,8 +65,11 @@ def pack(docs: DataFrame, separator: bytes, chunk_bytes: int, carry: tuple[str,
     """docs (doc_id, text) -> a written table (chunk, doc_ids, sizes, n_bytes,
     content), bucketed by chunk. Chunks follow the input's own partitions; a
     text larger than ``chunk_bytes`` is a chunk of its own. A null text is
-    empty. Columns named in ``carry`` come along as a list of structs."""
+    empty. Columns named in ``carry`` come along as a list of structs. The table
+    has a bucket for each ``CHUNKS_A_TASK`` chunks, so that a task's share does
+    not grow with the input."""
     spark = docs.sparkSession
+    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     docs = docs.select("doc_id", "text", *([F.struct(*carry).alias("carried")] if carry else []))
     kind = docs.schema["carried"].dataType if carry else None
 
@@ -102,8 +106,10 @@ def pack(docs: DataFrame, separator: bytes, chunk_bytes: int, carry: tuple[str,
     made = docs.mapInArrow(run, "chunk long, doc_ids array<long>, sizes array<long>, n_bytes long, content binary"
                            + (f", carried array<{kind.simpleString()}>" if carry else ""))
     name = f"llm_chunks_{uuid.uuid4().hex}"
-    made.write.option("path", f"{shared_dir(spark)}/{name}").option("compression", "zstd").bucketBy(
-        min(100_000, int(spark.conf.get("spark.sql.shuffle.partitions"))), "chunk").saveAsTable(name, format="parquet")
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // (CHUNKS_A_TASK * chunk_bytes)))
+    path = f"{shared_dir(spark)}/{name}"
+    remember(spark, path, name)
+    made.write.option("path", path).option("compression", "zstd").bucketBy(min(100_000, buckets), "chunk").saveAsTable(name, format="parquet")
     return spark.table(name)
 
 

@@ -41,11 +41,35 @@ def shared_dir(spark: SparkSession) -> str:
     return d.rstrip("/")
 
 
+def remember(spark: SparkSession, path: str, table: str | None = None) -> None:
+    """Note a folder (and catalog table) of this session for ``release``."""
+    sc = spark.sparkContext
+    if not hasattr(sc, "_tributary_scratch"):
+        sc._tributary_scratch = []
+    sc._tributary_scratch.append((path, table))
+
+
+def release(spark: SparkSession) -> int:
+    """Delete all folders and catalog tables that this session's operators have
+    written on their way. Call it when their results have been stored: frames
+    that were not yet computed can't be read after. Returns how many there were."""
+    scratch = getattr(spark.sparkContext, "_tributary_scratch", [])
+    n = len(scratch)
+    while scratch:
+        path, table = scratch.pop()
+        if table:
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+    return n
+
+
 def written(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
     """Write ``df`` to a new folder of the shared checkpoint folder and read it
     back: cuts the lineage, survives lost executors, is computed once."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/llm-{name}-{uuid.uuid4().hex}"
+    remember(spark, path)
     writer = df.write.option("compression", "zstd")
     (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
