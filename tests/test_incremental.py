@@ -8,7 +8,7 @@ from tributary.config import FIXTURE_CONFIG, AttributionConfig
 from tributary.sources.fixtures import fixture_events, fixture_events_nested
 from tributary.streaming import incremental
 from tributary.streaming.incremental import days_between, incremental_stream, refresh_staging
-from tributary.streaming.tables import open_view, read_table, register_view, vacuum, write_incremental, write_table
+from tributary.streaming.tables import AuditError, open_view, read_table, register_view, vacuum, write_audited, write_incremental, write_table
 
 ALL_DAYS = days_between(FIXTURE_CONFIG.scan_start_date, FIXTURE_CONFIG.end_date)
 CFG = AttributionConfig(start_date="20240110", end_date="20240131")
@@ -162,3 +162,32 @@ def test_days_that_are_taken_back_take_their_sessions_along(spark, tmp_path):
     got = [(r.user_pseudo_id, str(r.session_date), r.source) for r in read_table(spark, f"{out}/stg_sessions").collect()]
     assert got == [("u", "2024-01-21", "google")]
     assert [(r.session_id, r.event_date) for r in read_table(spark, f"{out}/session_days").collect()] == [(1, "20240121")]
+
+
+def test_a_table_that_fails_its_audit_is_not_published(spark, tmp_path):
+    path = str(tmp_path / "t")
+    metrics = [F.count(F.when(F.col("v") < 0, 1)).alias("negative"), F.sum("v").alias("total")]
+    audit = lambda m: ["negative"] if m["negative"] else []
+    got = write_audited(spark.createDataFrame([("a", 1), ("b", 2)], "k string, v int"), path, metrics, audit)
+    assert got == {"negative": 0, "total": 3}
+    with pytest.raises(AuditError, match="negative") as e:
+        write_audited(spark.createDataFrame([("a", 1), ("b", -2)], "k string, v int"), path, metrics, audit, ["k"])
+    assert e.value.metrics == {"negative": 1, "total": -1}
+    assert rows(spark, path) == [("a", 1), ("b", 2)]
+    assert len([p for p in (tmp_path / "t").iterdir() if p.name.startswith("version=")]) == 1
+
+
+def test_the_mart_is_audited_in_the_job_that_writes_it(spark, tmp_path):
+    from tributary.operators.quality import mart_metrics, mart_report
+    from tributary.plans.catalog import broken_mart, pipe
+    p = pipe(spark, SF_SMALL)
+    metrics = mart_metrics(p.cfg, ("last_click", "linear"))
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("audit", "audit")
+    report = {}
+    failing = lambda m: report.update(mart_report(m)) or [c for c, n in mart_report(m) if n]
+    with pytest.raises(AuditError, match="unknown_event"):
+        write_audited(broken_mart(p), str(tmp_path / "mart"), metrics, failing, ["model"])
+    assert tracker.getJobIdsForGroup("audit")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert report["unknown_event"] > 0 and report["unknown_channel"] > 0 and report["count_mode_value"] > 0 and report["credit:linear"] == 1 and report["null_key"] == 0

@@ -3,6 +3,9 @@ as a DataFrame; nothing is collected unless the caller asks."""
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -148,3 +151,43 @@ def lnd_forms_agree(one_pass: DataFrame, full_outer: DataFrame) -> DataFrame:
     cols = ["conversion_id", "channel", "attributed_credit"]
     a, b = one_pass.select(*cols), full_outer.select(*cols)
     return a.exceptAll(b).unionByName(b.exceptAll(a))
+
+
+# -- checks taken while a table is written ---------------------------------------------
+
+def mart_metrics(cfg: AttributionConfig, models, tolerance: float = 0.01) -> list[Column]:
+    """Aggregates of the mart, all from one pass over its rows as they are
+    written: failing rows by check, and by model the attributed and the raw
+    revenue (a model that gives one row to each conversion holds it) and the credit
+    beyond one for each conversion."""
+    event, value, credit, model = (F.col(c) for c in ("conversion_event", "attributed_value_usd", "attributed_credit", "model"))
+    fails = {
+        "null_key": reduce(or_, [F.col(c).isNull() for c in ("user_pseudo_id", "conversion_id", "conversion_event", "model", "channel", "attributed_credit")]),
+        "unknown_event": ~event.isin(*cfg.event_names),
+        "unknown_channel": ~F.col("channel").isin(*CHANNELS),
+        "count_mode_value": event.isin(*cfg.events_by_mode("count")) & value.isNotNull(),
+        "fixed_mode_value": reduce(or_, [(event == e.event) & (F.abs(value - credit * F.lit(float(e.fixed_value_usd))) > tolerance)
+                                         for e in cfg.conversion_events if e.value_mode == "fixed"], F.lit(False)),
+        "credit_range": (credit < 0) | (credit > 1),
+    }
+    out = [F.count(F.when(c, 1)).alias(f"rows:{n}") for n, c in fails.items()]
+    revenue = event.isin(*cfg.events_by_mode("revenue"))
+    total = lambda c, x: F.sum(F.when(c, x.cast("decimal(38,10)")))
+    out.append(total(revenue & (model == "last_click"), F.col("conversion_value_usd")).alias("raw_revenue"))
+    out.append(F.count(F.when(model == "last_click", 1)).alias("conversions"))
+    for m in models:
+        out += [total(revenue & (model == m), value).alias(f"revenue:{m}"), total(model == m, credit).alias(f"credit:{m}"), F.count(F.when(model == m, 1)).alias(f"n:{m}")]
+    return out
+
+
+def mart_report(metrics: dict, tolerance: float = 5.0, credit_drift: float = 0.001) -> list[tuple[str, int]]:
+    """(check, failing rows; for totals 1 or 0) of ``mart_metrics``. Credits are
+    rounded by row, so a model's total may drift by that much a conversion."""
+    out = [(n.removeprefix("rows:"), int(v)) for n, v in metrics.items() if n.startswith("rows:")]
+    raw, conversions = metrics["raw_revenue"] or 0, metrics["conversions"]
+    for n, v in metrics.items():
+        if n.startswith("revenue:") and metrics["n:" + n.removeprefix("revenue:")]:
+            out.append((n, int(abs((v or 0) - raw) > tolerance)))
+        elif n.startswith("credit:") and metrics["n:" + n.removeprefix("credit:")]:
+            out.append((n, int(abs(float(v or 0) - conversions) > credit_drift * conversions)))
+    return out

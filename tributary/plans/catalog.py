@@ -579,6 +579,30 @@ for _name, _check in {
     register(_name)(_broken(_check))
 
 
+def _audited(spark, p: Pipeline, mart: DataFrame) -> DataFrame:
+    """The checks of a mart that is written with them, published or not."""
+    from ..operators.quality import mart_metrics, mart_report
+    from ..streaming.tables import AuditError, write_audited
+    failing = lambda m: [c for c, n in mart_report(m) if n]
+    try:
+        metrics = write_audited(mart, _path(spark, "mart"), mart_metrics(p.cfg, (*RULE_MODELS, "data_driven_bqml")), failing, ["model"])
+    except AuditError as e:
+        metrics = e.metrics
+    return spark.createDataFrame(mart_report(metrics), "check string, failing_rows long")
+
+
+@register("dq_mart_audit")
+def q_dq_audit(spark, sf_dir):
+    p = pipe(spark, sf_dir)
+    return _audited(spark, p, p.mart)
+
+
+@register("dq_mart_audit_broken")
+def q_dq_audit_broken(spark, sf_dir):
+    p = pipe(spark, sf_dir)
+    return _audited(spark, p, broken_mart(p))
+
+
 @register("value_fixed_mode")
 def q_value_fixed(spark, sf_dir):
     """The linear model with add_to_cart worth a fixed 2.5 USD."""

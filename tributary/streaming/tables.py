@@ -12,8 +12,9 @@ second fails and may try again.
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import types as T
 
 from ..plans.session import delete_path
@@ -76,6 +77,31 @@ def _write(df: DataFrame, path: str, partition_by: list[str], fmt: str, old: dic
             "parts": {p: [version] for p in _partitions(spark, folder, len(partition_by))}}
 
 
+def write_audited(df: DataFrame, path: str, metrics: list, audit: Callable[[dict], list[str]], partition_by: list[str] | None = None,
+                  fmt: str = "parquet") -> dict:
+    """Write, audit, publish: the aggregates ``metrics`` are taken from the rows
+    while they are written, in the same job; ``audit`` gets them by name and
+    names what is wrong. With nothing wrong the version is published; else its
+    files go, readers keep the version before, and ``AuditError`` is raised.
+    Returns the metrics."""
+    spark, seen = df.sparkSession, Observation()
+    new = _write(df.observe(seen, *metrics), path, list(partition_by or []), fmt, _manifest(spark, path))
+    wrong = audit(seen.get)
+    if wrong:
+        delete_path(spark, f"{path}/{VERSION}={new['version']}")
+        raise AuditError(f"{path}: not published: {', '.join(wrong)}", seen.get)
+    _publish(spark, path, new)
+    return seen.get
+
+
+class AuditError(ValueError):
+    """A table that was not published; ``metrics`` says what its rows held."""
+
+    def __init__(self, message: str, metrics: dict):
+        super().__init__(message)
+        self.metrics = metrics
+
+
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by: list[str] | None = None, fmt: str = "parquet") -> None:
     """Full-refresh materialisation (CREATE OR REPLACE TABLE AS), published at
     once; ``mode="append"`` adds to what is there."""
