@@ -53,21 +53,21 @@ def secular_roots(d: np.ndarray, z2: np.ndarray) -> tuple[np.ndarray, np.ndarray
     low, high = np.where(above, -half, 0.0), np.where(above, 0.0, half)
     high[-1] = last - d[-1]
     t = (low + high) / 2
-    left = np.arange(k)[:, None] <= np.arange(k)[None, :]
+    left = (np.arange(k)[:, None] <= np.arange(k)[None, :]).astype(np.float64)
     d1, d2 = d - origin, right - origin
-    for _ in range(60):
-        gap = delta - t[None, :]
-        with np.errstate(divide="ignore", invalid="ignore", over="ignore"):
+    with np.errstate(divide="ignore", invalid="ignore", over="ignore"):
+        for _ in range(60):
+            gap = delta - t
             term = z2[:, None] / gap
             slope = term / gap
-            psi = np.where(left, term, 0.0).sum(axis=0)
-            phi = term.sum(axis=0) - psi
+            psi, psi1 = np.einsum("ij,ij->j", term, left), np.einsum("ij,ij->j", slope, left)
+            phi, phi1 = term.sum(axis=0) - psi, slope.sum(axis=0) - psi1
             f = 1 + psi + phi
             low, high = np.where(f < 0, t, low), np.where(f > 0, t, high)
-            if (np.abs(f) <= 4 * k * EPS * (1 + np.abs(psi) + np.abs(phi))).all():
+            # what rounding leaves in f: of its sum, and of t itself
+            done = np.abs(f) <= 8 * EPS * (1 + np.abs(psi) + np.abs(phi)) + 2 * EPS * np.abs(t) * (psi1 + phi1)
+            if done.all():
                 break
-            psi1 = np.where(left, slope, 0.0).sum(axis=0)
-            phi1 = slope.sum(axis=0) - psi1
             g1, g2 = d1 - t, d2 - t
             c = 1 + (psi - g1 * psi1) + (phi - g2 * phi1)
             c[-1] = 1 + psi[-1] - g1[-1] * psi1[-1]
@@ -76,12 +76,12 @@ def secular_roots(d: np.ndarray, z2: np.ndarray) -> tuple[np.ndarray, np.ndarray
             root = np.sqrt(np.maximum(0.0, a * a - 4 * b * c))
             move = np.where(a <= 0, (a - root) / (2 * c), 2 * b / (a + root))
             move[-1] = g1[-1] + g1[-1] ** 2 * psi1[-1] / c[-1]
-            new = t + move
-            bad = ~((new > low) & (new < high))
-        new[bad] = (low[bad] + high[bad]) / 2
-        if (new == t).all():
-            break
-        t = new
+            new = np.where(done, t, t + move)
+            bad = ~(done | ((new > low) & (new < high)))
+            new[bad] = (low[bad] + high[bad]) / 2
+            if (new == t).all():
+                break
+            t = new
     return delta - t[None, :], origin + t
 
 
