@@ -3,7 +3,10 @@ suffix-array dedup, mixing sources, byte-level BPE.
 
 Every stage takes the documents that the one before kept and, but for the
 last, returns the columns of documents. Null and empty texts leave with the
-first stage; rows with equal ids are documents of their own throughout.
+first stage; rows with equal ids are documents of their own throughout. Texts
+of any length pass whole. An empty table gives an empty result at every stage;
+extra columns are not read. Where rows of a group tie for the smallest id, the
+first one read stays.
 """
 
 from __future__ import annotations

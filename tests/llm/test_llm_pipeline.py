@@ -71,3 +71,17 @@ def test_mix_comes_near_the_targets(stages):
 def test_every_mixed_row_is_encoded(stages):
     sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
     assert sorted(r["decoded_sha256"] for r in stages[5]) == sorted(sha(r["text"]) for r in stages[4])
+
+
+def test_empty_tables_and_tables_without_a_letter_run_through(spark, tmp_path):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    for name, df in (("none", docs.limit(0)), ("mute", docs.limit(3).withColumn("text", F.when(F.col("doc_id") % 2 == 0, "12 34")))):
+        df.withColumns({"row": F.lit("r"), "kept": F.lit(1), "text_bytes": F.lit(None)}).write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        assert P.run(spark, f"{tmp_path}/{name}").collect() == []
+
+
+def test_one_document_with_a_very_long_text_runs_through(spark, tmp_path):
+    text = "".join(f"word{i * 7919 % 1_000_003} " for i in range(300_000))
+    spark.createDataFrame([(1, text, "en", "s", len(text))], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    out = P.run(spark, str(tmp_path)).collect()
+    assert len(out) == 1 and out[0]["n_tokens"] > 300_000
