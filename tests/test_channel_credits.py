@@ -47,6 +47,7 @@ def test_credits_by_counts_equal_credits_by_paths(spark, most):
     want = report(cross_channel(p.counted, p.cfg))
     credits = C.channel_credits(p.sessions, p.conversions, p.cfg, p.dd_model, p._store(f"x{most}"), most)
     assert report(C.cross_channel(credits, p.cfg)) == want and len(want) > 100
+    assert report(C.cross_channel_of_days(C.daily_totals(credits, p.cfg))) == want
     assert report(C.attribution_daily(credits, p.cfg)) == report(attribution_daily(p.counted, p.cfg))
     p.cleanup()
 

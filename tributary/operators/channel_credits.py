@@ -145,7 +145,9 @@ def channel_credits(sessions: DataFrame, conversions: DataFrame, cfg: Attributio
     """Credit rows of the seven rule models, and of the data-driven one with
     ``model``: the mart's touches by conversion and channel, with equal ones counted."""
     counts = channel_counts(sessions, conversions, cfg, store)
-    out = counted_credits(counts, cfg).unionByName(paired_decay(sessions, counts, cfg, most)).unionByName(hourly_decay(sessions, counts, cfg, most))
+    out = counted_credits(counts, cfg).unionByName(paired_decay(sessions, counts, cfg, most))
+    if not counts.where(F.col("path_length") > most).isEmpty():  # else there is nothing to look up by hours
+        out = out.unionByName(hourly_decay(sessions, counts, cfg, most))
     return out.unionByName(data_driven_credits(counts, model)) if model is not None else out
 
 
@@ -164,6 +166,17 @@ def cross_channel(credits: DataFrame, cfg: AttributionConfig) -> DataFrame:
     return with_variance(_totals(credits, cfg))
 
 
+def daily_totals(credits: DataFrame, cfg: AttributionConfig) -> DataFrame:
+    """Exact totals by day: a small table that the report and ROAS both read."""
+    return _totals(credits, cfg, utc_date_from_micros("conversion_us").alias("date"))
+
+
+def cross_channel_of_days(totals: DataFrame) -> DataFrame:
+    """The report from ``daily_totals`` (a conversion has one date)."""
+    return with_variance(totals.groupBy("model", "conversion_event", "value_mode", "channel").agg(
+        *[F.sum(c).alias(c) for c in ("attributed_conversions", "_credit", "_usd", "_local")]))
+
+
 def attribution_daily(credits: DataFrame, cfg: AttributionConfig) -> DataFrame:
     """The totals of ``cost.attribution_daily``, from credit rows."""
-    return _totals(credits, cfg, utc_date_from_micros("conversion_us").alias("date")).withColumnRenamed("_usd", "_value").drop("_local")
+    return daily_totals(credits, cfg).withColumnRenamed("_usd", "_value").drop("_local")

@@ -155,7 +155,12 @@ class Pipeline:
     # -- marts and reports ---------------------------------------------------
     @cached_property
     def cross_channel(self) -> DataFrame:
-        return credit_ops.cross_channel(self.channel_credits, self.cfg)
+        return credit_ops.cross_channel_of_days(self.channel_totals)
+
+    @cached_property
+    def channel_totals(self) -> DataFrame:
+        """Stored totals of the credits by day, model, event and channel."""
+        return self._store("totals")(credit_ops.daily_totals(self.channel_credits, self.cfg))
 
     @cached_property
     def channel_credits(self) -> DataFrame:
@@ -206,7 +211,7 @@ class Pipeline:
 
     @cached_property
     def roas(self) -> DataFrame:
-        return cost_ops.roas(credit_ops.attribution_daily(self.channel_credits, self.cfg), self.unified_cost)
+        return cost_ops.roas(self.channel_totals.withColumnRenamed("_usd", "_value").drop("_local"), self.unified_cost)
 
     # -- stand-alone layer -------------------------------------------------
     @cached_property
