@@ -93,3 +93,21 @@ def test_a_user_with_very_many_sessions_and_conversions(spark):
     total = by["linear", "Email"].total_credit + by["linear", "Organic Search"].total_credit
     assert 0.8 * 4000 < total < 1.2 * 4000 and by["linear", "Email"].total_credit == pytest.approx(2 * by["linear", "Organic Search"].total_credit, rel=0.01)
     p.cleanup()
+
+
+def test_no_window_is_computed_anew_for_each_row(spark):
+    """A frame up to the end of its rows costs their square: a user's busy day."""
+    from tributary.operators.single_touch import timeline, touches
+    p = Pipeline(make_events(spark, busy_events(4, users=2)), CFG)
+    plan = touches(timeline(p.sessions, p.conversions, p.cfg))._jdf.queryExecution().optimizedPlan().toString()
+    assert "unboundedpreceding$()" in plan and "unboundedfollowing$()" not in plan
+
+
+def test_conversions_without_value_are_counted_before_they_are_credited(spark):
+    """Equal conversions of a day, not worth anything themselves, share their credit rows."""
+    t = us(2024, 1, 20)
+    ev = [e for u in range(300) for e in (session_event(f"u{u}", 1, t, "google", "organic"), conversion_event(f"u{u}", t + u + 1, "add_to_cart"))]
+    p = Pipeline(make_events(spark, ev), CFG)
+    e = C.counted_credits(C.channel_counts(p.sessions, p.conversions, p.cfg), p.cfg)
+    assert {(r.model, r.times, r.hit) for r in e.collect()} >= {("linear", 300, 300), ("last_click", 300, 300), ("time_decay", 0, 300)}
+    assert e.count() <= 10
