@@ -38,3 +38,24 @@ def most_memory(tmp_path, body):
 
 def test_day_tables_are_written_without_a_sort(tmp_path):
     assert most_memory(tmp_path, SHARDS) < 2 << 20
+
+
+AUDITED = """
+from tributary.streaming.tables import read_table, write_audited
+mart = spark.range(3000).select((F.col("id") % 8).cast("string").alias("model"), F.repeat(F.lit("x"), 500).alias("path"), "id")
+seen = write_audited(mart, f"{out}/mart", [F.count(F.lit(1)).alias("n")], lambda m: [], ["model"])
+assert seen == {"n": 3000} and read_table(spark, f"{out}/mart").agg(F.sum("id")).first()[0] == 2999 * 1500
+"""
+MANY = """
+from tributary.streaming.tables import read_table, write_table
+write_table(spark.range(3000).withColumn("day", F.col("id") % 100), f"{out}/days", partition_by=["day"])
+assert {tuple(r) for r in read_table(spark, f"{out}/days").collect()} == {(i, i % 100) for i in range(3000)}
+"""
+
+
+def test_audited_mart_is_written_without_a_sort(tmp_path):
+    assert most_memory(tmp_path, AUDITED) < 2 << 20
+
+
+def test_more_folders_than_open_files(tmp_path):
+    most_memory(tmp_path, MANY)  # asserts inside: no row is lost where the writer turns to sorting

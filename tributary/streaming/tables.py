@@ -17,7 +17,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import types as T
 
-from ..plans.session import delete_path
+from ..plans.session import delete_path, save_partitioned
 
 MANIFESTS = "_manifests"
 VERSION = "version"
@@ -72,7 +72,10 @@ def _write(df: DataFrame, path: str, partition_by: list[str], fmt: str, old: dic
     spark, number = df.sparkSession, (old["number"] if old else 0) + 1
     version = f"{number}-{uuid.uuid4().hex[:12]}"
     folder = f"{path}/{VERSION}={version}"
-    (df.write.partitionBy(*partition_by) if partition_by else df.write).format(fmt).save(folder)
+    if partition_by:
+        save_partitioned(df, folder, partition_by, fmt)
+    else:
+        df.write.format(fmt).save(folder)
     return {"number": number, "version": version, "format": fmt, "partition_by": partition_by, "schema": df.schema.json(),
             "parts": {p: [version] for p in _partitions(spark, folder, len(partition_by))}}
 
